@@ -299,6 +299,79 @@ def events_sequence(spark, sf_dir):
         F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("ts"), _big("count"), _big("row_number"))
 
 
+# ------------------------------------------------- factor scoring and ANN
+TOPK_VECTORS = 100           # neighbours per vector (the source's list length)
+ANN_TABLES, ANN_BITS, ANN_SEED = 8, 4, 20
+EVAL_K_VECTORS = 10
+
+
+def _vectors(spark, sf_dir):
+    return fx.factor_table(spark, sf_dir)
+
+
+def _exact(spark, sf_dir, k=TOPK_VECTORS):
+    from spark_recs.operators import scoring
+    v = _vectors(spark, sf_dir)
+    return scoring.blocked_topk(v, v, k, exclude_self=True)
+
+
+def _ann(spark, sf_dir, k=TOPK_VECTORS):
+    from spark_recs.operators import ann
+    v = _vectors(spark, sf_dir)
+    return ann.ann_topk(v, v, k, ANN_TABLES, ANN_BITS, ANN_SEED, exclude_self=True)
+
+
+def _recs_out(df: DataFrame) -> DataFrame:
+    return df.select(_big("user_id"), _big("rank"), _big("item_id"), _r6("score"))
+
+
+def exact_topk(spark, sf_dir):
+    """Exact maximum-inner-product top-100 of every vector among the others."""
+    return _recs_out(_exact(spark, sf_dir))
+
+
+def biased_topk(spark, sf_dir):
+    """Biased factor scoring u·i + b_u + b_i, best 100 per user."""
+    from spark_recs.operators import scoring
+    v = _vectors(spark, sf_dir)
+    recs = scoring.blocked_topk(v, v, TOPK_VECTORS, user_bias=fx.user_bias(), item_bias=fx.item_bias(),
+                                exclude_self=True)
+    return _recs_out(recs)
+
+
+def recs_long(spark, sf_dir):
+    """Match matrix (one array per user) flattened back to ranked rows."""
+    from spark_recs.operators import scoring
+    arrays = scoring.recs_as_arrays(_exact(spark, sf_dir))
+    return scoring.flatten_recs(arrays).select(_big("user_id"), _big("rank"), _big("item_id"))
+
+
+def ann_candidates(spark, sf_dir):
+    from spark_recs.operators import ann
+    v = _vectors(spark, sf_dir)
+    planes = ann.hyperplanes(len(v.select("features").first()[0]), ANN_TABLES, ANN_BITS, ANN_SEED)
+    return ann.candidates(v, v, planes, exclude_self=True)
+
+
+def ann_topk(spark, sf_dir):
+    return _recs_out(_ann(spark, sf_dir))
+
+
+def ann_recall(spark, sf_dir):
+    from spark_recs.operators import ann
+    r = ann.recall_at_k(_ann(spark, sf_dir, EVAL_K_VECTORS), _exact(spark, sf_dir, EVAL_K_VECTORS))
+    return r.select(_r6("recall"), _big("n_queries"))
+
+
+def eval_topk_inner(spark, sf_dir):
+    """Per-user rec table (approximate top-10) scored against the exact
+    top-10 as labels; users with both count."""
+    recs = _ann(spark, sf_dir, EVAL_K_VECTORS)
+    labels = _exact(spark, sf_dir, EVAL_K_VECTORS).select("user_id", "item_id")
+    pu = metrics.per_user_metrics(recs, labels, EVAL_K_VECTORS, users="both")
+    return _metric_row(pu)
+
+
 QUERIES = {name: fn for name, fn in list(globals().items())
            if callable(fn) and getattr(fn, "__module__", None) == __name__
            and not name.startswith("_") and name != "Tables"}

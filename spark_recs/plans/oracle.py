@@ -72,13 +72,13 @@ def _idcg(n: str) -> str:
             f"list_sum(list_transform(range(1, {n} + 1), lambda j: 1.0 / ln(j + 1))) END")
 
 
-def _per_user(hits: str, population: str) -> str:
+def _per_user(hits: str, population: str, k: int = K) -> str:
     """hits(user_id, rank); population(user_id, n_labels) -> per-user metrics."""
     return f"""
   SELECT p.user_id, CAST(p.n_labels AS BIGINT) AS n_labels, CAST(coalesce(h.n_hits, 0) AS BIGINT) AS n_hits,
-         CASE WHEN p.n_labels > 0 THEN coalesce(h.n_hits, 0) / {float(K)} ELSE 0.0 END AS precision,
-         CASE WHEN p.n_labels > 0 THEN coalesce(h.ap, 0) / least(p.n_labels, {K}) ELSE 0.0 END AS ap,
-         CASE WHEN p.n_labels > 0 THEN coalesce(h.dcg, 0) / ({_idcg(f'least(p.n_labels, {K})')}) ELSE 0.0 END AS ndcg
+         CASE WHEN p.n_labels > 0 THEN coalesce(h.n_hits, 0) / {float(k)} ELSE 0.0 END AS precision,
+         CASE WHEN p.n_labels > 0 THEN coalesce(h.ap, 0) / least(p.n_labels, {k}) ELSE 0.0 END AS ap,
+         CASE WHEN p.n_labels > 0 THEN coalesce(h.dcg, 0) / ({_idcg(f'least(p.n_labels, {k})')}) ELSE 0.0 END AS ndcg
   FROM {population} p LEFT JOIN (
     SELECT user_id, count(*) AS n_hits, sum(c / "rank") AS ap, sum(1.0 / ln("rank" + 1)) AS dcg
     FROM (SELECT user_id, "rank", row_number() OVER (PARTITION BY user_id ORDER BY "rank") AS c FROM {hits})
@@ -197,4 +197,80 @@ def oracle_sql() -> dict[str, str]:
             "row_number() OVER (PARTITION BY user_id ORDER BY ts, item_id) AS row_number "
             "FROM event_interactions WHERE user_id IS NOT NULL) WHERE row_number * 100 <= \"count\" * 80"),
     }
+    q.update(_vector_sql())
     return q
+
+
+# ----------------------------------------------------------- vector queries
+TOPK_VECTORS, EVAL_K_VECTORS = 100, 10
+ANN_TABLES, ANN_BITS, ANN_SEED = 8, 4, 20
+
+
+def _vec_prelude(dim: int) -> str:
+    from spark_recs.operators.ann import hyperplanes
+    from spark_recs.sources.fixtures import ITEM_BIAS_MOD, USER_BIAS_MOD
+    planes = hyperplanes(dim, ANN_TABLES, ANN_BITS, ANN_SEED)
+
+    def codes(v: str) -> str:
+        out = []
+        for t in range(planes.shape[0]):
+            terms = []
+            for j in range(planes.shape[1]):
+                lit = "[" + ", ".join(repr(float(x)) for x in planes[t, j]) + "]::DOUBLE[]"
+                terms.append(f"(CASE WHEN list_inner_product({v}, {lit}) > 0 THEN {1 << j} ELSE 0 END)")
+            out.append("(" + " + ".join(terms or ["0"]) + ")")
+        return "[" + ", ".join(out) + "]"
+
+    def topk(src: str, k: int) -> str:
+        return (f'SELECT user_id, item_id, score, row_number() OVER (PARTITION BY user_id '
+                f'ORDER BY score DESC, item_id) AS "rank" FROM {src} QUALIFY "rank" <= {k}')
+
+    m2 = "(SELECT max(list_inner_product(features, features)) FROM factors)"
+    return f""",
+vec_scores AS (
+  SELECT q.id AS user_id, i.id AS item_id, list_inner_product(q.features, i.features) AS score,
+         CAST(q.id % {USER_BIAS_MOD} AS DOUBLE) / 100.0 AS ub, CAST(i.id % {ITEM_BIAS_MOD} AS DOUBLE) / 100.0 AS ib
+  FROM factors q JOIN factors i ON q.id <> i.id),
+exact_k AS ({topk("vec_scores", TOPK_VECTORS)}),
+exact_10 AS ({topk("vec_scores", EVAL_K_VECTORS)}),
+biased_k AS ({topk("(SELECT user_id, item_id, score + ub + ib AS score FROM vec_scores)", TOPK_VECTORS)}),
+qcodes AS (
+  SELECT id AS user_id, unnest(range({ANN_TABLES})) AS "table", unnest(codes) AS code
+  FROM (SELECT id, {codes("list_append(features, 0.0)")} AS codes FROM factors)),
+icodes AS (
+  SELECT id AS item_id, unnest(range({ANN_TABLES})) AS "table", unnest(codes) AS code
+  FROM (SELECT id, {codes(f"list_append(features, sqrt(greatest({m2} - list_inner_product(features, features), 0.0)))")} AS codes
+        FROM factors)),
+ann_pairs AS (
+  SELECT DISTINCT q.user_id, i.item_id FROM qcodes q JOIN icodes i ON q."table" = i."table" AND q.code = i.code
+  WHERE q.user_id <> i.item_id),
+ann_scored AS (
+  SELECT p.user_id, p.item_id, list_inner_product(q.features, i.features) AS score
+  FROM ann_pairs p JOIN factors q ON q.id = p.user_id JOIN factors i ON i.id = p.item_id),
+ann_k AS ({topk("ann_scored", TOPK_VECTORS)}),
+ann_10 AS ({topk("ann_scored", EVAL_K_VECTORS)})
+"""
+
+
+def _vector_sql(dim: int = 64) -> dict[str, str]:
+    pre = PRELUDE + _vec_prelude(dim)
+
+    def q(body: str) -> str:
+        return "WITH " + pre + "\n" + body
+
+    recs = lambda src: (f'SELECT CAST(user_id AS BIGINT) AS user_id, CAST("rank" AS BIGINT) AS "rank", '
+                        f"CAST(item_id AS BIGINT) AS item_id, round(score, 6) AS score FROM {src}")
+    inner_hits = "(SELECT a.user_id, a.\"rank\" FROM ann_10 a JOIN exact_10 e ON e.user_id = a.user_id AND e.item_id = a.item_id)"
+    inner_pop = ("(SELECT user_id, count(DISTINCT item_id) AS n_labels FROM exact_10 "
+                 "WHERE user_id IN (SELECT user_id FROM ann_10) GROUP BY user_id)")
+    return {
+        "exact_topk": q(recs("exact_k")),
+        "biased_topk": q(recs("biased_k")),
+        "recs_long": q('SELECT CAST(user_id AS BIGINT) AS user_id, CAST("rank" AS BIGINT) AS "rank", '
+                       "CAST(item_id AS BIGINT) AS item_id FROM exact_k"),
+        "ann_candidates": q("SELECT CAST(user_id AS BIGINT) AS user_id, CAST(item_id AS BIGINT) AS item_id FROM ann_pairs"),
+        "ann_topk": q(recs("ann_k")),
+        "ann_recall": q("SELECT round(count(a.user_id) / count(*), 6) AS recall, count(DISTINCT e.user_id) AS n_queries "
+                        "FROM exact_10 e LEFT JOIN ann_10 a ON a.user_id = e.user_id AND a.item_id = e.item_id"),
+        "eval_topk_inner": q(_metric_row(_per_user(inner_hits, inner_pop, EVAL_K_VECTORS))),
+    }
