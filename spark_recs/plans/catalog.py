@@ -372,6 +372,127 @@ def eval_topk_inner(spark, sf_dir):
     return _metric_row(pu)
 
 
+# -------------------------------------------------------------------- ALS
+ALS_K = 100
+ALS_SUBSET_K = 20
+_MODELS: dict = {}
+
+
+def _als_data(spark, sf_dir):
+    t = Tables(spark, sf_dir)
+    tr = matrix.count_matrix(split.train_split(t.encoded))
+    va = matrix.count_matrix(split.val_split(t.encoded))
+    return tr, va
+
+
+def _als_model(spark, sf_dir, params=None):
+    """Fitted model for (session, tables, params); fitted once per session
+    and kept in the model store, as the source trains once and reloads."""
+    from spark_recs.operators import als
+    params = params or als.ALSParams()
+    key = (id(spark.sparkContext), sf_dir, params)
+    if key not in _MODELS:
+        tr, _ = _als_data(spark, sf_dir)
+        tr = tr.persist()
+        als.check_int_ids(tr)
+        model = als.fit(tr, params)
+        path = als.save_in_store(model, params)
+        tr.unpersist()
+        _MODELS[key] = path
+    return als.load(_MODELS[key])
+
+
+def _factor_shape(model):
+    u, i = model.userFactors, model.itemFactors
+    return (u.select(F.lit("user").alias("side"), _big("id"), F.size("features").cast("long").alias("n_features"))
+             .unionByName(i.select(F.lit("item").alias("side"), _big("id"),
+                                   F.size("features").cast("long").alias("n_features"))))
+
+
+def als_factors(spark, sf_dir):
+    """Exported factor tables: one row per user / item with its vector length."""
+    return _factor_shape(_als_model(spark, sf_dir))
+
+
+def als_model_roundtrip(spark, sf_dir):
+    """Save a fitted model, load it back, read its factors."""
+    from spark_recs.operators import als
+    model = _als_model(spark, sf_dir)
+    path = als.save(model, scratch_path(spark, "models/roundtrip"))
+    return _factor_shape(als.load(path))
+
+
+def als_recommend_all(spark, sf_dir):
+    from spark_recs.operators import als
+    recs = als.recommend_all(_als_model(spark, sf_dir), ALS_K)
+    return recs.groupBy("user_id").agg(F.count(F.lit(1)).alias("n_recs"))
+
+
+def als_recommend_ids(spark, sf_dir):
+    """Id-only lists, flattened to (user_id, rank, track_id)."""
+    from spark_recs.operators import als, scoring
+    ids_ = als.recommend_ids(_als_model(spark, sf_dir), ALS_K)
+    return scoring.flatten_recs(ids_.withColumnRenamed("reco", "reco"), "reco").withColumnRenamed("item_id", "track_id")
+
+
+def als_recommend_subset(spark, sf_dir):
+    """Lists of 20 for the users that have validation rows."""
+    from spark_recs.operators import als
+    t = Tables(spark, sf_dir)
+    recs = als.recommend_subset(_als_model(spark, sf_dir), t.val.select("user_id"), ALS_SUBSET_K)
+    return recs.groupBy("user_id").agg(F.count(F.lit(1)).alias("n_recs"))
+
+
+def als_recommend_unseen(spark, sf_dir):
+    """Top-100 per user among items not in the user's training rows;
+    reports list length and how many listed items were seen (must be 0)."""
+    from spark_recs.operators import als
+    tr, _ = _als_data(spark, sf_dir)
+    recs = als.recommend_unseen(_als_model(spark, sf_dir), tr, ALS_K)
+    seen = tr.select("user_id", "track_id").withColumn("_seen", F.lit(1))
+    return (recs.join(seen, ["user_id", "track_id"], "left")
+                .groupBy("user_id").agg(F.count(F.lit(1)).alias("n_recs"),
+                                        F.count("_seen").alias("n_seen_in_recs")))
+
+
+def als_eval(spark, sf_dir):
+    """ALS top-100 scored on the validation counts (every rec user counts)."""
+    from spark_recs.operators import als
+    _, va = _als_data(spark, sf_dir)
+    recs = als.recommend_all(_als_model(spark, sf_dir), ALS_K)
+    m = als.evaluate(recs, va, ALS_K, users="recommended")
+    return m.select(_r6("precision"), _r6("map"), _r6("ndcg"), "n_users")
+
+
+def als_sweep(spark, sf_dir):
+    """Small grid over rank; fit / recommend / evaluate times per setting."""
+    from spark_recs.operators import als
+    tr, va = _als_data(spark, sf_dir)
+    grid = [als.ALSParams(rank=r, max_iter=5) for r in (10, 25)]
+    return als.sweep(tr.persist(), va.persist(), grid, ALS_K)
+
+
+def experiment_results_csv(spark, sf_dir):
+    """Popularity beta sweep evaluated on validation, written as CSV with a
+    header and read back."""
+    from pyspark.sql import types as T_
+    t = Tables(spark, sf_dir)
+    rows = None
+    for beta in BETAS:
+        ranked = popularity.popularity(t.train, "damped", K, beta=beta)
+        m = metrics.summarize(metrics.per_user_metrics_shared(ranked, t.val, K, rec_users=t.train,
+                                                              users="both"))
+        m = m.select(F.lit(float(beta)).alias("beta"), "precision", "map", "ndcg", "n_users")
+        rows = m if rows is None else rows.unionByName(m)
+    path = scratch_path(spark, "results_csv")
+    schemas.write_csv(rows.coalesce(1), path)
+    schema = T_.StructType([T_.StructField("beta", T_.DoubleType()), T_.StructField("precision", T_.DoubleType()),
+                            T_.StructField("map", T_.DoubleType()), T_.StructField("ndcg", T_.DoubleType()),
+                            T_.StructField("n_users", T_.LongType())])
+    back = schemas.read_csv(spark, path, schema)
+    return back.select("beta", _r6("precision"), _r6("map"), _r6("ndcg"), "n_users")
+
+
 QUERIES = {name: fn for name, fn in list(globals().items())
            if callable(fn) and getattr(fn, "__module__", None) == __name__
            and not name.startswith("_") and name != "Tables"}

@@ -187,6 +187,12 @@ def oracle_sql() -> dict[str, str]:
             "SELECT CAST(user_id AS BIGINT) AS user_id, n_labels, n_hits, round(precision, 6) AS precision, "
             f"round(ap, 6) AS ap, round(ndcg, 6) AS ndcg FROM ({_shared_eval('pop_damped', 'val', 'both')})"),
         "metrics_at_k": _q(_metric_row(_shared_eval("pop_damped", "val", "both"))),
+        "experiment_results_csv": _q(" UNION ALL ".join(
+            f"SELECT CAST({float(b)} AS DOUBLE) AS beta, * FROM ("
+            + _metric_row(_shared_eval(
+                f"(SELECT recording_mbid, row_number() OVER (ORDER BY n_interactions / (n_users + {float(b)}) DESC, "
+                f"recording_mbid) AS \"rank\" FROM item_stats QUALIFY \"rank\" <= {K})", "val", "both")) + ")"
+            for b in BETAS)),
         "eval_topk_left": _q(_metric_row(_shared_eval("pop_users", "val", "recommended"))),
         "events_counts": _q("SELECT user_id, item_id, count(*) AS interactions_count FROM event_interactions "
                             "GROUP BY user_id, item_id"),
@@ -198,6 +204,7 @@ def oracle_sql() -> dict[str, str]:
             "FROM event_interactions WHERE user_id IS NOT NULL) WHERE row_number * 100 <= \"count\" * 80"),
     }
     q.update(_vector_sql())
+    q.update(_als_sql())
     return q
 
 
@@ -274,3 +281,27 @@ def _vector_sql(dim: int = 64) -> dict[str, str]:
                         "FROM exact_10 e LEFT JOIN ann_10 a ON a.user_id = e.user_id AND a.item_id = e.item_id"),
         "eval_topk_inner": q(_metric_row(_per_user(inner_hits, inner_pop, EVAL_K_VECTORS))),
     }
+
+
+# ------------------------------------------------------- ALS (shape checks)
+ALS_RANK, ALS_K, ALS_SUBSET_K = 25, 100, 20
+
+
+def _als_sql() -> dict[str, str]:
+    tr = 'enc WHERE row_number * 100 <= "count" * 80'
+    n_items = f"(SELECT count(DISTINCT track_id) FROM {tr})"
+    factors = _q(f"SELECT 'user' AS side, CAST(user_id AS BIGINT) AS id, {ALS_RANK}::BIGINT AS n_features "
+                 f"FROM (SELECT DISTINCT user_id FROM {tr}) UNION ALL "
+                 f"SELECT 'item', CAST(track_id AS BIGINT), {ALS_RANK}::BIGINT FROM (SELECT DISTINCT track_id FROM {tr})")
+    return {
+        "als_factors": factors,
+        "als_model_roundtrip": factors,
+        "als_recommend_all": _q(f"SELECT DISTINCT CAST(user_id AS BIGINT) AS user_id, "
+                                f"CAST(least({ALS_K}, {n_items}) AS BIGINT) AS n_recs FROM {tr}"),
+        "als_recommend_subset": _q(f"SELECT DISTINCT CAST(user_id AS BIGINT) AS user_id, "
+                                   f"CAST(least({ALS_SUBSET_K}, {n_items}) AS BIGINT) AS n_recs FROM val "
+                                   f"WHERE user_id IN (SELECT user_id FROM {tr})"),
+        "als_recommend_unseen": _q(f"SELECT CAST(user_id AS BIGINT) AS user_id, "
+                                   f"CAST(least({ALS_K}, {n_items} - count(DISTINCT track_id)) AS BIGINT) AS n_recs, "
+                                   f"CAST(0 AS BIGINT) AS n_seen_in_recs FROM {tr} GROUP BY user_id"),
+    }
