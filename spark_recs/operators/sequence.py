@@ -11,8 +11,8 @@ computed here from a global sort instead:
    partition layout is fixed (re-sampling on recompute would move the
    bounds) and a lost executor re-reads it instead of re-running the sort;
 3. position in partition = ``monotonically_increasing_id`` low bits;
-   per-partition row counts (one row per partition: a proven-small table,
-   broadcast) give a global rank;
+   per-partition row counts (one number per partition, bounded by the
+   partition count) give each partition's offset and so a global rank;
 4. per group, ``min(rank)`` and ``count`` come from a partial aggregate
    (map-side combine, so a hot group costs one row per task) and are joined
    back; AQE broadcasts that table when its runtime size allows, and
@@ -23,7 +23,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from spark_recs.session import checkpoint_root
@@ -52,16 +52,18 @@ def global_rank(df: DataFrame, order: Sequence[str | Column], out: str = "_grank
     ranged = df.repartitionByRange(n, *ocols).sortWithinPartitions(*ocols).checkpoint(eager=True)
     pos = (ranged.withColumn("_pid", F.spark_partition_id())
                  .withColumn("_pos", F.monotonically_increasing_id().bitwiseAND(F.lit(_LOW_BITS))))
-    # one row per non-empty partition: bounded by the partition count
-    sizes = pos.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
-    offsets = sizes.select(
-        "_pid",
-        (F.sum("_n").over(Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)))
-        .alias("_off"))
-    offsets = offsets.fillna(0, subset=["_off"])
-    return (pos.join(F.broadcast(offsets), "_pid")
-               .withColumn(out, F.col("_off") + F.col("_pos") + F.lit(1))
-               .drop("_pid", "_pos", "_off"))
+    # Row count of each range partition: one number per partition, the same
+    # metadata RDD.zipWithIndex gathers.  Their running sums become a literal
+    # array indexed by partition id, so no join and no single-partition step.
+    sizes = dict(pos.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n")).collect())
+    offsets, acc = [], 0
+    for pid in range(ranged.rdd.getNumPartitions()):
+        offsets.append(acc)
+        acc += sizes.get(pid, 0)
+    off = F.element_at(F.array(*[F.lit(o).cast("long") for o in offsets] or [F.lit(0).cast("long")]),
+                       F.col("_pid") + 1)
+    return (pos.withColumn(out, off + F.col("_pos") + F.lit(1))
+               .drop("_pid", "_pos"))
 
 
 def sequence_within(df: DataFrame, group: Sequence[str], order: Sequence[str | Column],
