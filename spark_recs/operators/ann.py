@@ -8,19 +8,31 @@ in any table — an equi join on (table, code) — and are re-scored exactly
 before the per-query top-k.  More tables raise recall, more bits shrink
 buckets; zero bits puts everything in one bucket (exact search).
 
-Hot buckets are split: a bucket holding more than ``bucket_rows`` items is
-spread over ``ceil(n / bucket_rows)`` salts on the item side and the query
-rows of that bucket are replicated per salt, so no join task holds a
-bucket's whole item list.  The salt table has at most tables · 2^bits rows.
+Top-k never ships vectors per candidate pair.  Query and item vectors are
+cogrouped per bucket (table, code) and each bucket is scored as one dense
+tile (NumPy matmul) keeping each query's best k; the per-table lists are
+then de-duplicated and cut to k.  This is exact over the candidate union:
+an item in the union's top-k is in the top-k of every bucket it shares with
+the query.
+
+Hot buckets are split on both sides: a bucket with more than
+``bucket_rows`` items (queries) is spread over ``ceil(n / bucket_rows)``
+item (query) salts, and each side is replicated over the other side's
+salts, so a tile holds at most ``bucket_rows``² scores.  The salt table has
+at most tables · 2^bits rows, a bound fixed by the parameters, so it is
+broadcast.
 """
 
 from __future__ import annotations
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from spark_recs.functions.columns import dot
+from spark_recs.operators.scoring import _OUT, _tile_topk
 
 DEFAULT_BUCKET_ROWS = 50_000
 
@@ -32,49 +44,77 @@ def hyperplanes(dim: int, tables: int, bits: int, seed: int) -> np.ndarray:
     return np.round(rs.standard_normal((tables, bits, dim + 1)), 6)
 
 
-def max_sq_norm(items: DataFrame) -> float:
-    """Largest squared item norm (one scalar action)."""
-    return float(items.agg(F.max(dot(F.col("features"), F.col("features")))).first()[0] or 0.0)
-
-
-def _augmented(df: DataFrame, m2: float | None) -> F.Column:
-    if m2 is None:  # query side
-        extra = F.lit(0.0)
-    else:
-        extra = F.sqrt(F.greatest(F.lit(m2) - dot(F.col("features"), F.col("features")), F.lit(0.0)))
-    return F.concat(F.col("features"), F.array(extra))
+def item_stats(items: DataFrame) -> tuple[float, int]:
+    """(largest squared item norm, vector length) in one small action."""
+    row = items.agg(F.max(dot(F.col("features"), F.col("features"))).alias("m2"),
+                    F.max(F.size("features")).alias("dim")).first()
+    return float(row["m2"] or 0.0), int(row["dim"] or 0)
 
 
-def bucket_codes(df: DataFrame, planes: np.ndarray, m2: float | None) -> DataFrame:
-    """(id, table, code): one row per vector and table."""
-    tables, bits, _ = planes.shape
-    v = _augmented(df, m2)
-    codes = []
-    for t in range(tables):
-        code = F.lit(0).cast("long")
-        for j in range(bits):
-            h = F.array(*[F.lit(float(x)) for x in planes[t, j]])
-            code = code + F.when(dot(v, h) > 0, F.lit(1 << j)).otherwise(F.lit(0))
-        codes.append(code)
-    arr = F.array(*codes) if codes else F.array(F.lit(0).cast("long"))
-    return df.select("id", F.posexplode(arr).alias("table", "code"))
+def max_sq_norm(items: DataFrame) -> float:
+    return item_stats(items)[0]
+
+
+def _codes_udf(planes: np.ndarray, m2: float | None):
+    """Arrow-batched hashing: one (n × d+1) @ (d+1 × tables·bits) matmul per
+    batch, sign bits packed into one code per table."""
+    tables, bits, width = planes.shape
+    P = planes.reshape(tables * bits, width).T.copy()
+    weights = (1 << np.arange(bits, dtype=np.int64))
+
+    @F.pandas_udf(T.ArrayType(T.LongType()))
+    def codes(features: pd.Series) -> pd.Series:
+        if len(features) == 0:
+            return pd.Series([], dtype=object)
+        X = np.vstack(features.to_numpy()).astype(np.float64)
+        if m2 is None:
+            extra = np.zeros(len(X))
+        else:
+            extra = np.sqrt(np.maximum(m2 - np.einsum("ij,ij->i", X, X), 0.0))
+        V = np.hstack([X, extra[:, None]])
+        if bits == 0:
+            packed = np.zeros((len(V), tables), dtype=np.int64)
+        else:
+            signs = (V @ P > 0).reshape(len(V), tables, bits).astype(np.int64)
+            packed = signs @ weights
+        return pd.Series(list(packed))
+    return codes
+
+
+def bucket_codes(df: DataFrame, planes: np.ndarray, m2: float | None, keep=()) -> DataFrame:
+    """(id, table, code, *keep): one row per vector and table.  ``m2`` is
+    the items' largest squared norm (item side) or None (query side)."""
+    codes = _codes_udf(planes, m2)(F.col("features"))
+    return df.select("id", *keep, F.posexplode(codes).alias("table", "code"))
+
+
+def _salted(queries: DataFrame, items: DataFrame, planes: np.ndarray, bucket_rows: int,
+            keep=()) -> tuple[DataFrame, DataFrame]:
+    """Both sides keyed by (table, code, qs, is) with hot buckets split."""
+    m2, _ = item_stats(items)
+    qc = bucket_codes(queries, planes, None, keep).withColumnRenamed("id", "user_id")
+    ic = bucket_codes(items, planes, m2, keep).withColumnRenamed("id", "item_id")
+    qn = qc.groupBy("table", "code").agg(F.count(F.lit(1)).alias("nq"))
+    iN = ic.groupBy("table", "code").agg(F.count(F.lit(1)).alias("ni"))
+    salts = (qn.join(iN, ["table", "code"])
+               .select("table", "code",
+                       F.ceil(F.col("nq") / F.lit(bucket_rows)).cast("int").alias("q_salts"),
+                       F.ceil(F.col("ni") / F.lit(bucket_rows)).cast("int").alias("i_salts")))
+    salts = F.broadcast(salts)  # at most tables * 2^bits rows
+    qs = (qc.join(salts, ["table", "code"])
+            .withColumn("qs", F.pmod(F.xxhash64("user_id"), F.col("q_salts")).cast("int"))
+            .withColumn("is", F.explode(F.sequence(F.lit(0), F.col("i_salts") - 1))))
+    is_ = (ic.join(salts, ["table", "code"])
+             .withColumn("is", F.pmod(F.xxhash64("item_id"), F.col("i_salts")).cast("int"))
+             .withColumn("qs", F.explode(F.sequence(F.lit(0), F.col("q_salts") - 1))))
+    return qs, is_
 
 
 def candidates(queries: DataFrame, items: DataFrame, planes: np.ndarray,
                exclude_self: bool = True, bucket_rows: int = DEFAULT_BUCKET_ROWS) -> DataFrame:
     """Distinct (user_id, item_id) pairs that share a bucket in some table."""
-    m2 = max_sq_norm(items)
-    qc = bucket_codes(queries, planes, None).withColumnRenamed("id", "user_id")
-    ic = bucket_codes(items, planes, m2).withColumnRenamed("id", "item_id")
-    sizes = ic.groupBy("table", "code").agg(F.count(F.lit(1)).alias("n"))
-    salts = F.broadcast(sizes.select("table", "code",
-                                     F.greatest(F.lit(1), F.ceil(F.col("n") / F.lit(bucket_rows)))
-                                     .cast("int").alias("n_salts")))
-    ic = (ic.join(salts, ["table", "code"])
-            .withColumn("salt", F.pmod(F.xxhash64("item_id"), F.col("n_salts"))))
-    qc = (qc.join(salts, ["table", "code"])
-            .withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("n_salts") - 1))))
-    pairs = qc.join(ic, ["table", "code", "salt"]).select(
+    qs, is_ = _salted(queries, items, planes, bucket_rows)
+    pairs = qs.join(is_, ["table", "code", "qs", "is"]).select(
         F.col("user_id").cast("long"), F.col("item_id").cast("long"))
     if exclude_self:
         pairs = pairs.filter(F.col("user_id") != F.col("item_id"))
@@ -82,12 +122,17 @@ def candidates(queries: DataFrame, items: DataFrame, planes: np.ndarray,
 
 
 def rescore_topk(pairs: DataFrame, queries: DataFrame, items: DataFrame, k: int) -> DataFrame:
-    """Exact inner product for candidate pairs, then the per-query top-k:
-    (user_id, rank, item_id, score)."""
+    """Exact inner product for given candidate pairs, then the per-query
+    top-k: (user_id, rank, item_id, score).  For small pair lists; the
+    bucketed path in ``ann_topk`` avoids shipping vectors per pair."""
     q = queries.select(F.col("id").cast("long").alias("user_id"), F.col("features").alias("qf"))
     i = items.select(F.col("id").cast("long").alias("item_id"), F.col("features").alias("if_"))
     scored = (pairs.join(q, "user_id").join(i, "item_id")
                    .select("user_id", "item_id", dot(F.col("qf"), F.col("if_")).alias("score")))
+    return _final_topk(scored, k)
+
+
+def _final_topk(scored: DataFrame, k: int) -> DataFrame:
     w = Window.partitionBy("user_id").orderBy(F.desc("score"), F.asc("item_id"))
     return (scored.withColumn("rank", F.row_number().over(w).cast("long"))
                   .filter(F.col("rank") <= k).select("user_id", "rank", "item_id", "score"))
@@ -95,10 +140,21 @@ def rescore_topk(pairs: DataFrame, queries: DataFrame, items: DataFrame, k: int)
 
 def ann_topk(queries: DataFrame, items: DataFrame, k: int, tables: int, bits: int, seed: int,
              exclude_self: bool = True, bucket_rows: int = DEFAULT_BUCKET_ROWS) -> DataFrame:
-    dim = len(items.select("features").first()[0])
+    """Per-query top-k among bucket-mates, scored bucket by bucket."""
+    _, dim = item_stats(items)
     planes = hyperplanes(dim, tables, bits, seed)
-    pairs = candidates(queries, items, planes, exclude_self, bucket_rows)
-    return rescore_topk(pairs, queries, items, k)
+    qs, is_ = _salted(queries, items, planes, bucket_rows, keep=("features",))
+    # fresh column ids on each side: queries and items may be one frame
+    left = qs.select("table", "code", "qs", "is", "user_id", F.col("features").alias("features"),
+                     F.lit(0.0).alias("bias"))
+    right = is_.select("table", "code", "qs", "is", F.lit(None).cast("long").alias("user_id"), "item_id",
+                       F.col("features").alias("features"), F.lit(0.0).alias("bias"), F.lit(0).alias("kind"))
+    keys = ["table", "code", "qs", "is"]
+    partial = (left.groupBy(*keys).cogroup(right.groupBy(*keys))
+                   .applyInPandas(_tile_topk(k, exclude_self), _OUT))
+    # the same pair can come from several tables with the same score
+    dedup = partial.groupBy("user_id", "item_id").agg(F.max("score").alias("score"))
+    return _final_topk(dedup, k)
 
 
 def recall_at_k(approx: DataFrame, exact: DataFrame) -> DataFrame:
