@@ -7,11 +7,12 @@ computed here from a global sort instead:
 
 1. range-partition on (g, o) and sort inside partitions — the sampled range
    bounds split a hot group across many tasks;
-2. checkpoint that frame to the reliable checkpoint directory, so the
-   partition layout is fixed (re-sampling on recompute would move the
-   bounds) and a lost executor re-reads it instead of re-running the sort;
-3. position in partition = ``monotonically_increasing_id`` low bits;
-   per-partition row counts (one number per partition, bounded by the
+2. in the same tasks, record the partition id and the position inside the
+   partition (``monotonically_increasing_id`` low bits) and write the frame
+   as Parquet under the reliable checkpoint directory: the layout is fixed
+   (re-sampling on recompute would move the bounds), lineage is cut, and a
+   lost executor re-reads the table instead of re-running the sort;
+3. per-partition row counts (one number per partition, bounded by the
    partition count) give each partition's offset and so a global rank;
 4. per group, ``min(rank)`` and ``count`` come from a partial aggregate
    (map-side combine, so a hot group costs one row per task) and are joined
@@ -26,7 +27,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from spark_recs.session import checkpoint_root
+from spark_recs.session import scratch_path
 
 _LOW_BITS = (1 << 33) - 1  # monotonically_increasing_id keeps the row index in the low 33 bits
 
@@ -46,24 +47,29 @@ def global_rank(df: DataFrame, order: Sequence[str | Column], out: str = "_grank
     """Add a 1-based global rank in ``order`` (ties broken arbitrarily but
     consistently), without a single-partition exchange."""
     spark = df.sparkSession
-    checkpoint_root(spark)
     n = _num_partitions(df, num_partitions)
     ocols = _as_cols(order)
-    ranged = df.repartitionByRange(n, *ocols).sortWithinPartitions(*ocols).checkpoint(eager=True)
-    pos = (ranged.withColumn("_pid", F.spark_partition_id())
-                 .withColumn("_pos", F.monotonically_increasing_id().bitwiseAND(F.lit(_LOW_BITS))))
+    # partition id and position are taken in the task that sorted the range
+    # and stored with the rows, so the ranks survive any later re-planning
+    # or file-to-partition mapping on read-back
+    ranked = (df.repartitionByRange(n, *ocols).sortWithinPartitions(*ocols)
+                .withColumn("_pid", F.spark_partition_id())
+                .withColumn("_pos", F.monotonically_increasing_id().bitwiseAND(F.lit(_LOW_BITS))))
+    path = scratch_path(spark, "ranked")
+    ranked.write.mode("errorifexists").parquet(path)
+    stored = spark.read.parquet(path)
     # Row count of each range partition: one number per partition, the same
     # metadata RDD.zipWithIndex gathers.  Their running sums become a literal
     # array indexed by partition id, so no join and no single-partition step.
-    sizes = dict(pos.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n")).collect())
+    sizes = dict(stored.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n")).collect())
     offsets, acc = [], 0
-    for pid in range(ranged.rdd.getNumPartitions()):
+    for pid in range(max(sizes, default=-1) + 1):
         offsets.append(acc)
         acc += sizes.get(pid, 0)
     off = F.element_at(F.array(*[F.lit(o).cast("long") for o in offsets] or [F.lit(0).cast("long")]),
                        F.col("_pid") + 1)
-    return (pos.withColumn(out, off + F.col("_pos") + F.lit(1))
-               .drop("_pid", "_pos"))
+    return (stored.withColumn(out, off + F.col("_pos") + F.lit(1))
+                  .drop("_pid", "_pos"))
 
 
 def sequence_within(df: DataFrame, group: Sequence[str], order: Sequence[str | Column],
