@@ -47,7 +47,8 @@ def val_split(seq: DataFrame, pct: int = 80) -> DataFrame:
 
 def val_by_anti_join(seq: DataFrame, train: DataFrame) -> DataFrame:
     """Validation as everything not in train, keyed by (user_id, row_number)."""
-    return seq.join(train.select("user_id", "row_number"), ["user_id", "row_number"], "left_anti")
+    keys = train.select("user_id", "row_number")
+    return seq.join(keys, ["user_id", "row_number"], "left_anti").select(*seq.columns)
 
 
 def with_split_column(seq: DataFrame, pct: int = 80) -> DataFrame:
@@ -68,7 +69,7 @@ def sample(df: DataFrame, percent: int, seed: int, by: str = "row",
     """Reproducible ``percent`` % subsample by a seeded hash bucket —
     of rows (``by="row"``) or of whole users (``by="user"``).  A map-only
     filter: no shuffle, no dependence on partitioning."""
-    cols = list(row_keys) if by == "row" else [user_col]
     if by not in ("row", "user"):
         raise ValueError("by must be 'row' or 'user'")
+    cols = list(row_keys) if by == "row" else [user_col]
     return df.filter(hash_unit(seed, cols, 100) < percent)
