@@ -248,6 +248,17 @@ def interactions_coo(spark, sf_dir):
     return matrix.coo(t.train, umap, imap)
 
 
+def interactions_coo_weighted(spark, sf_dir):
+    """Weighted COO of a subsample: the 50 % user sample's count table
+    (user, interactions_count, item) summed into (user_idx, item_idx, weight)."""
+    t = Tables(spark, sf_dir)
+    sub = split.sample(t.train, 50, SAMPLE_SEED, by="user")
+    counts = matrix.count_matrix(sub, ("user_id", "recording_mbid"), "interactions_count")
+    umap = ids.user_id_map(sub, start=0)
+    imap = ids.item_id_map(sub, out="item_idx").withColumn("item_idx", F.col("item_idx") - 1)
+    return matrix.coo(counts, umap, imap, weight="interactions_count")
+
+
 # ---------------------------------------------------------------- metrics
 def _metric_row(per_user: DataFrame) -> DataFrame:
     s = metrics.summarize(per_user)
@@ -410,8 +421,17 @@ def _factor_shape(model):
 
 
 def als_factors(spark, sf_dir):
-    """Exported factor tables: one row per user / item with its vector length."""
-    return _factor_shape(_als_model(spark, sf_dir))
+    """Factor export: user and item factor tables written as Parquet and
+    read back; one row per user / item with its vector length."""
+    from spark_recs.operators import als
+    model = _als_model(spark, sf_dir)
+    up, ip = scratch_path(spark, "user_factors"), scratch_path(spark, "item_factors")
+    als.export_factors(model, up, ip)
+    u = schemas.read_parquet(spark, up, schemas.FACTORS)
+    i = schemas.read_parquet(spark, ip, schemas.FACTORS)
+    return (u.select(F.lit("user").alias("side"), _big("id"), F.size("features").cast("long").alias("n_features"))
+             .unionByName(i.select(F.lit("item").alias("side"), _big("id"),
+                                   F.size("features").cast("long").alias("n_features"))))
 
 
 def als_model_roundtrip(spark, sf_dir):
@@ -493,6 +513,17 @@ def experiment_results_csv(spark, sf_dir):
     return back.select("beta", _r6("precision"), _r6("map"), _r6("ndcg"), "n_users")
 
 
+def eval_stored_recs(spark, sf_dir):
+    """Score a stored rec table without the model: approximate top-10 lists
+    written as Parquet, read back with an explicit schema, evaluated
+    against the exact top-10."""
+    path = scratch_path(spark, "stored_recs")
+    schemas.write_parquet(_ann(spark, sf_dir, EVAL_K_VECTORS).select("user_id", "rank", "item_id"), path)
+    recs = schemas.read_parquet(spark, path, schemas.RECS_LONG, strict_types=True)
+    labels = _exact(spark, sf_dir, EVAL_K_VECTORS).select("user_id", "item_id")
+    return _metric_row(metrics.per_user_metrics(recs, labels, EVAL_K_VECTORS, users="both"))
+
+
 QUERIES = {name: fn for name, fn in list(globals().items())
            if callable(fn) and getattr(fn, "__module__", None) == __name__
            and not name.startswith("_") and name != "Tables"}

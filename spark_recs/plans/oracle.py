@@ -120,6 +120,7 @@ def oracle_sql() -> dict[str, str]:
     item_counts = ("SELECT coalesce(t.recording_mbid, i.recording_msid) AS recording_mbid, "
                    "count(t.track_name) AS interaction_count FROM interactions_v i "
                    "JOIN tracks t ON t.recording_msid = i.recording_msid GROUP BY 1")
+    sub_users = f"(SELECT * FROM train WHERE {_hash_unit(SAMPLE_SEED, ['user_id'], 100)} < 50)"
     q = {
         "scan_interactions": _q('SELECT CAST(user_id AS BIGINT) AS user_id, recording_msid, '
                                 'strftime("timestamp", \'%Y-%m-%d %H:%M:%S\') AS "timestamp" FROM interactions_v'),
@@ -182,6 +183,15 @@ def oracle_sql() -> dict[str, str]:
             "ON u.user_id = p.user_id "
             "JOIN (SELECT recording_mbid, row_number() OVER (ORDER BY recording_mbid) - 1 AS item_idx "
             "FROM (SELECT DISTINCT recording_mbid FROM train)) i ON i.recording_mbid = p.recording_mbid"),
+        "interactions_coo_weighted": _q(
+            "SELECT CAST(u.user_idx AS BIGINT) AS user_idx, CAST(i.item_idx AS BIGINT) AS item_idx, "
+            "CAST(sum(c.interactions_count) AS BIGINT) AS weight FROM "
+            f"(SELECT user_id, recording_mbid, count(*) AS interactions_count FROM {sub_users} GROUP BY 1, 2) c "
+            "JOIN (SELECT user_id, row_number() OVER (ORDER BY user_id) - 1 AS user_idx "
+            f"FROM (SELECT DISTINCT user_id FROM {sub_users})) u ON u.user_id = c.user_id "
+            "JOIN (SELECT recording_mbid, row_number() OVER (ORDER BY recording_mbid) - 1 AS item_idx "
+            f"FROM (SELECT DISTINCT recording_mbid FROM {sub_users})) i ON i.recording_mbid = c.recording_mbid "
+            "GROUP BY u.user_idx, i.item_idx"),
         "eval_popularity": _q(_metric_row(_shared_eval("pop_interactions", "test_canon", "labelled"))),
         "metrics_per_user": _q(
             "SELECT CAST(user_id AS BIGINT) AS user_id, n_labels, n_hits, round(precision, 6) AS precision, "
@@ -280,6 +290,7 @@ def _vector_sql(dim: int = 64) -> dict[str, str]:
         "ann_recall": q("SELECT round(count(a.user_id) / count(*), 6) AS recall, count(DISTINCT e.user_id) AS n_queries "
                         "FROM exact_10 e LEFT JOIN ann_10 a ON a.user_id = e.user_id AND a.item_id = e.item_id"),
         "eval_topk_inner": q(_metric_row(_per_user(inner_hits, inner_pop, EVAL_K_VECTORS))),
+        "eval_stored_recs": q(_metric_row(_per_user(inner_hits, inner_pop, EVAL_K_VECTORS))),
     }
 
 
