@@ -8,8 +8,10 @@ NumPy matmul scores one tile, seen pairs are masked, and only each user's
 best k of that tile leave the task.  A final per-user window keeps the best
 k of the B_i partial lists (planned with a partial WindowGroupLimit).
 
-Block counts come from the row counts, so a tile stays near ``block_rows``²
-scores whatever the table sizes; hashing keeps blocks even under skewed ids.
+Block counts come from the row counts: item blocks as wide as allowed (each
+user emits up to k rows per item block), user blocks sized so a tile stays
+within ``max_tile_cells`` scores, and hashing keeps blocks even under skewed
+ids.  Tile top-k is vectorised (argpartition + row-wise lexsort).
 """
 
 from __future__ import annotations
@@ -22,24 +24,67 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-DEFAULT_BLOCK_ROWS = 2048
+MAX_TILE_CELLS = 1 << 23      # scores per tile (64 MiB of float64)
+MAX_ITEM_BLOCK = 1 << 16      # items per block; fewer item blocks = fewer partial rows
 
 _OUT = T.StructType([
     T.StructField("user_id", T.LongType()),
     T.StructField("item_id", T.LongType()),
     T.StructField("score", T.DoubleType()),
+    T.StructField("tile_rank", T.LongType()),
 ])
 
 
-def _blocks(n: int, block_rows: int, min_blocks: int) -> int:
-    return max(1, math.ceil(n / block_rows), min_blocks)
+def block_counts(n_users: int, n_items: int, parallelism: int,
+                 max_tile_cells: int = MAX_TILE_CELLS, max_item_block: int = MAX_ITEM_BLOCK) -> tuple[int, int]:
+    """(user blocks, item blocks).  Each user emits up to k rows per item
+    block, so item blocks are made as wide as allowed; user blocks then
+    keep a tile within ``max_tile_cells``, and there are at least as many
+    tiles as task slots."""
+    bi = max(1, math.ceil(n_items / max_item_block))
+    items_per_block = max(1, math.ceil(n_items / bi))
+    users_per_block = max(1, max_tile_cells // items_per_block)
+    bu = max(1, math.ceil(n_users / users_per_block))
+    if bu * bi < parallelism:
+        bu = max(bu, min(max(n_users, 1), math.ceil(parallelism / bi)))
+    return bu, bi
+
+
+def _rows_topk(S: np.ndarray, iid: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Per row: column indices of the best k (score desc, item id asc) and
+    how many are valid (finite).  Vectorised; rows with ties straddling the
+    k-th place take an exact per-row path."""
+    n_rows, n_items = S.shape
+    kk = min(k, n_items)
+    if n_items > kk:
+        part = np.argpartition(-S, kk - 1, axis=1)[:, :kk]
+        kth = np.take_along_axis(S, part, axis=1).min(axis=1)
+        ties = (S >= kth[:, None]).sum(axis=1) > kk
+    else:
+        part = np.broadcast_to(np.arange(n_items), (n_rows, n_items)).copy()
+        ties = np.zeros(n_rows, dtype=bool)
+    sc = np.take_along_axis(S, part, axis=1)
+    order = np.lexsort((iid[part], -sc), axis=1)
+    pick = np.take_along_axis(part, order, axis=1)
+    for r in np.flatnonzero(ties):
+        s = S[r]
+        cand = np.flatnonzero(s >= np.sort(s)[::-1][kk - 1])
+        o = np.lexsort((iid[cand], -s[cand]))[:kk]
+        pick[r] = cand[o]
+    valid = np.isfinite(np.take_along_axis(S, pick, axis=1)).sum(axis=1)
+    return pick, valid
+
+
+def _empty() -> pd.DataFrame:
+    return pd.DataFrame({"user_id": np.array([], np.int64), "item_id": np.array([], np.int64),
+                         "score": np.array([], np.float64), "tile_rank": np.array([], np.int64)})
 
 
 def _tile_topk(k: int, exclude_self: bool):
     def run(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         items = right[right["kind"] == 0]
         if left.empty or items.empty:
-            return pd.DataFrame({"user_id": [], "item_id": [], "score": []})
+            return _empty()
         uid = left["user_id"].to_numpy(np.int64)
         iid = items["item_id"].to_numpy(np.int64)
         U = np.vstack(left["features"].to_numpy()).astype(np.float64)
@@ -57,31 +102,20 @@ def _tile_topk(k: int, exclude_self: bool):
             c = ipos.reindex(seen["item_id"].to_numpy()).to_numpy()
             ok = ~(np.isnan(r) | np.isnan(c))
             S[r[ok].astype(np.int64), c[ok].astype(np.int64)] = -np.inf
-        n_items = S.shape[1]
-        out_u, out_i, out_s = [], [], []
-        if n_items > k:
-            kth = -np.partition(-S, k - 1, axis=1)[:, k - 1]
-        for row in range(S.shape[0]):
-            s = S[row]
-            cand = np.flatnonzero(s >= kth[row]) if n_items > k else np.arange(n_items)
-            cand = cand[np.isfinite(s[cand])]
-            # best score first, smaller item id on ties
-            order = np.lexsort((iid[cand], -s[cand]))[:k]
-            pick = cand[order]
-            out_u.append(np.full(len(pick), uid[row], np.int64))
-            out_i.append(iid[pick])
-            out_s.append(s[pick])
-        if not out_u:
-            return pd.DataFrame({"user_id": [], "item_id": [], "score": []})
-        return pd.DataFrame({"user_id": np.concatenate(out_u), "item_id": np.concatenate(out_i),
-                             "score": np.concatenate(out_s)})
+        pick, valid = _rows_topk(S, iid, k)
+        mask = np.arange(pick.shape[1])[None, :] < valid[:, None]
+        rows = np.broadcast_to(np.arange(len(uid))[:, None], pick.shape)[mask]
+        ranks = np.broadcast_to(np.arange(1, pick.shape[1] + 1)[None, :], pick.shape)[mask]
+        cols = pick[mask]
+        return pd.DataFrame({"user_id": uid[rows], "item_id": iid[cols], "score": S[rows, cols],
+                             "tile_rank": ranks.astype(np.int64)})
     return run
 
 
 def blocked_topk(users: DataFrame, items: DataFrame, k: int,
                  user_bias: F.Column | None = None, item_bias: F.Column | None = None,
                  exclude: DataFrame | None = None, exclude_self: bool = False,
-                 block_rows: int = DEFAULT_BLOCK_ROWS) -> DataFrame:
+                 max_tile_cells: int = MAX_TILE_CELLS, max_item_block: int = MAX_ITEM_BLOCK) -> DataFrame:
     """Best ``k`` items per user by ``u·i (+ b_u + b_i)``.
 
     users / items: (id, features array<double>); ``user_bias`` /
@@ -91,15 +125,14 @@ def blocked_topk(users: DataFrame, items: DataFrame, k: int,
     """
     spark = users.sparkSession
     n_u, n_i = users.count(), items.count()
-    par = spark.sparkContext.defaultParallelism
-    side = max(1, math.isqrt(par))
-    bu, bi = _blocks(n_u, block_rows, side), _blocks(n_i, block_rows, side)
+    bu, bi = block_counts(n_u, n_i, spark.sparkContext.defaultParallelism, max_tile_cells, max_item_block)
 
-    u = users.select(F.col("id").cast("long").alias("user_id"), "features",
+    # fresh column ids on each side: users and items may be one frame
+    u = users.select(F.col("id").cast("long").alias("user_id"), F.col("features").alias("features"),
                      (user_bias if user_bias is not None else F.lit(0.0)).cast("double").alias("bias"))
     u = (u.withColumn("ub", F.pmod(F.xxhash64("user_id"), F.lit(bu)))
           .withColumn("ib", F.explode(F.sequence(F.lit(0), F.lit(bi - 1)).cast("array<long>"))))
-    i = items.select(F.col("id").cast("long").alias("item_id"), "features",
+    i = items.select(F.col("id").cast("long").alias("item_id"), F.col("features").alias("features"),
                      (item_bias if item_bias is not None else F.lit(0.0)).cast("double").alias("bias"))
     i = (i.withColumn("ib", F.pmod(F.xxhash64("item_id"), F.lit(bi)))
           .withColumn("ub", F.explode(F.sequence(F.lit(0), F.lit(bu - 1)).cast("array<long>")))
@@ -114,6 +147,8 @@ def blocked_topk(users: DataFrame, items: DataFrame, k: int,
         i = i.unionByName(ex)
     partial = (u.groupBy("ub", "ib").cogroup(i.groupBy("ub", "ib"))
                 .applyInPandas(_tile_topk(k, exclude_self), _OUT))
+    if bi == 1:  # one item block: each user's tile list is final and ranked
+        return partial.select("user_id", F.col("tile_rank").alias("rank"), "item_id", "score")
     w = Window.partitionBy("user_id").orderBy(F.desc("score"), F.asc("item_id"))
     return (partial.withColumn("rank", F.row_number().over(w).cast("long"))
                    .filter(F.col("rank") <= k)

@@ -30,7 +30,7 @@ def _brute(U, V, k, ub=None, ib=None, exclude=()):
 def test_blocked_topk_matches_brute_force(spark):
     users, U = _vectors(spark, 37, 8, 1)
     items, V = _vectors(spark, 53, 8, 2, scale=True)
-    got = scoring.blocked_topk(users, items, 5, block_rows=10).collect()
+    got = scoring.blocked_topk(users, items, 5, max_tile_cells=60, max_item_block=12).collect()
     by_user = {}
     for r in sorted(got, key=lambda r: (r.user_id, r.rank)):
         by_user.setdefault(r.user_id, []).append(r.item_id)
@@ -43,7 +43,7 @@ def test_blocked_topk_biases_and_exclusions(spark):
     ex_pairs = {(u, (u * 7) % 30) for u in range(20)} | {(3, i) for i in range(25)}
     ex = spark.createDataFrame(sorted(ex_pairs), "user_id long, item_id long")
     got = scoring.blocked_topk(users, items, 4, user_bias=F.col("id") % 7 / 100.0,
-                               item_bias=F.col("id") % 11 / 100.0, exclude=ex, block_rows=7).collect()
+                               item_bias=F.col("id") % 11 / 100.0, exclude=ex, max_tile_cells=40, max_item_block=8).collect()
     by_user = {}
     for r in sorted(got, key=lambda r: (r.user_id, r.rank)):
         by_user.setdefault(r.user_id, []).append(r.item_id)
@@ -56,7 +56,7 @@ def test_ann_zero_bits_is_exact(spark):
     vecs, X = _vectors(spark, 40, 5, 5, scale=True)
     planes = ann.hyperplanes(5, 1, 0, 0)
     got = ann.rescore_topk(ann.candidates(vecs, vecs, planes, exclude_self=True), vecs, vecs, 3)
-    exact = scoring.blocked_topk(vecs, vecs, 3, exclude_self=True, block_rows=16)
+    exact = scoring.blocked_topk(vecs, vecs, 3, exclude_self=True, max_tile_cells=100, max_item_block=16)
     a = {(r.user_id, r.rank, r.item_id) for r in got.collect()}
     b = {(r.user_id, r.rank, r.item_id) for r in exact.collect()}
     assert a == b
@@ -100,7 +100,7 @@ def test_als_seeded_fit_is_reproducible_and_unseen_excludes(spark):
     assert per_user == {u: min(10, n_items - s) for u, s in seen.items()}
     exact = scoring.blocked_topk(model.userFactors.select("id", F.col("features").cast("array<double>").alias("features")),
                                  model.itemFactors.select("id", F.col("features").cast("array<double>").alias("features")), 5)
-    lib = als.recommend_all(model, 5)
+    lib = als.recommend_all(model, 5, method="library")
     a = {(r.user_id, r.item_id) for r in exact.collect()}
     b = {(r.user_id, r.track_id) for r in lib.collect()}
     assert len(a & b) / len(b) > 0.95  # float32 library scores vs float64 here
