@@ -27,21 +27,29 @@ def canonical_log(interactions: DataFrame, tracks: DataFrame) -> DataFrame:
 
 
 def user_interaction_counts(users: DataFrame, interactions: DataFrame) -> DataFrame:
-    """Per known user: number of listens with a track id (``count(col)``)."""
-    return (users.select("user_id")
-            .join(interactions.select("user_id", "recording_msid"), "user_id")
-            .groupBy("user_id")
-            .agg(F.count("recording_msid").alias("interaction_count")))
+    """Per known user: number of listens with a track id (``count(col)``).
+
+    Equal to joining users with listens and counting, but both sides are
+    aggregated to one row per user first (map-side combine), so a heavy
+    user never skews the join; a user listed twice counts twice, as in the
+    join."""
+    listens = (interactions.groupBy("user_id")
+               .agg(F.count("recording_msid").alias("_n")))
+    known = users.groupBy("user_id").agg(F.count(F.lit(1)).alias("_m"))
+    return listens.join(known, "user_id").select(
+        "user_id", (F.col("_n") * F.col("_m")).alias("interaction_count"))
 
 
 def item_interaction_counts(interactions: DataFrame, tracks: DataFrame) -> DataFrame:
     """Per canonical item: listens whose track has a name (``count`` skips
-    null names)."""
+    null names).  Listens are counted per msid before the join, so a hot
+    track costs one row per task."""
+    listens = interactions.groupBy("recording_msid").agg(F.count(F.lit(1)).alias("_n"))
     t = tracks.select("recording_msid", "recording_mbid", "track_name")
-    return (interactions.select("recording_msid")
-            .join(t, "recording_msid")
+    named = F.when(F.col("track_name").isNotNull(), F.col("_n")).otherwise(F.lit(0))
+    return (listens.join(t, "recording_msid")
             .groupBy(canonical_item().alias("recording_mbid"))
-            .agg(F.count("track_name").alias("interaction_count")))
+            .agg(F.sum(named).cast("long").alias("interaction_count")))
 
 
 def percentile_profile(counts: DataFrame, col: str = "interaction_count",
