@@ -2,8 +2,10 @@
 
 ``row_number() OVER (PARTITION BY g ORDER BY o)`` hash-partitions on ``g``,
 so one hot group (a user holding a third of the log) lands in one task, and
-``row_number() OVER (ORDER BY o)`` runs in a single partition.  Both are
-computed here from a global sort instead:
+``row_number() OVER (ORDER BY o)`` runs in a single partition.  Here group
+sizes are measured first (partial aggregate); groups within a per-task row
+budget use the plain window, and hot groups — and the global order of dense
+ids — are numbered from a global sort instead:
 
 1. range-partition on (g, o) and sort inside partitions — the sampled range
    bounds split a hot group across many tasks;
@@ -24,7 +26,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from spark_recs.session import scratch_path
@@ -72,14 +74,19 @@ def global_rank(df: DataFrame, order: Sequence[str | Column], out: str = "_grank
                   .drop("_pid", "_pos"))
 
 
-def sequence_within(df: DataFrame, group: Sequence[str], order: Sequence[str | Column],
-                    out: str = "row_number", count_out: str | None = "count",
-                    num_partitions: int | None = None) -> DataFrame:
-    """``row_number() over (partition by group order by order)`` (1-based)
-    plus, optionally, the group's row count, robust to hot groups.
+DEFAULT_MAX_GROUP_ROWS = 1 << 22  # rows one task may sort for a single group
 
-    Rows whose group keys are null are numbered like any other group.
-    """
+
+def _max_group_rows(df: DataFrame, value: int | None) -> int:
+    if value:
+        return value
+    conf = df.sparkSession.conf.get("spark_recs.sequence.maxGroupRows", None)
+    return int(conf) if conf else DEFAULT_MAX_GROUP_ROWS
+
+
+def _ranged_sequence(df: DataFrame, group: Sequence[str], order: Sequence[str | Column], out: str,
+                     count_out: str | None, num_partitions: int | None) -> DataFrame:
+    """Row numbers from a global range sort: any group size."""
     ranked = global_rank(df, list(group) + list(order), "_grank", num_partitions)
     aggs = [F.min("_grank").alias("_gstart")]
     if count_out:
@@ -92,6 +99,44 @@ def sequence_within(df: DataFrame, group: Sequence[str], order: Sequence[str | C
                   .drop("_grank", "_gstart"))
 
 
+def _windowed_sequence(df: DataFrame, group: Sequence[str], order: Sequence[str | Column], out: str,
+                       count_out: str | None) -> DataFrame:
+    """Row numbers and group counts from one window (one shuffle): only for
+    groups known to fit a task."""
+    w = Window.partitionBy(*group).orderBy(*_as_cols(order))
+    res = df.withColumn(out, F.row_number().over(w).cast("long"))
+    if count_out:
+        res = res.withColumn(count_out, F.count(F.lit(1)).over(Window.partitionBy(*group)))
+    return res
+
+
+def sequence_within(df: DataFrame, group: Sequence[str], order: Sequence[str | Column],
+                    out: str = "row_number", count_out: str | None = "count",
+                    num_partitions: int | None = None, max_group_rows: int | None = None) -> DataFrame:
+    """``row_number() over (partition by group order by order)`` (1-based)
+    plus, optionally, the group's row count, robust to hot groups.
+
+    Group sizes come first, from a partial aggregate.  Groups larger than
+    ``max_group_rows`` (at most total / max_group_rows of them, so the list
+    is small and broadcast) are numbered from a global range sort that
+    spreads each of them over many tasks; all other groups take a plain
+    window, where no task sorts more than ``max_group_rows`` rows of one
+    group.  Rows whose group keys are null are numbered as one group.
+    """
+    cap = _max_group_rows(df, max_group_rows)
+    spark = df.sparkSession
+    sizes = df.groupBy(*group).agg(F.count(F.lit(1)).alias("_size"))
+    hot_rows = sizes.filter(F.col("_size") > cap).select(*group).collect()
+    if not hot_rows:
+        return _windowed_sequence(df, group, order, out, count_out)
+    hot = F.broadcast(spark.createDataFrame(hot_rows, df.select(*group).schema))
+    cond = lambda d: [d[g].eqNullSafe(hot[g]) for g in group]
+    cold = _windowed_sequence(df.join(hot, cond(df), "left_anti"), group, order, out, count_out)
+    warm = _ranged_sequence(df.join(hot, cond(df), "left_semi"), group, order, out, count_out,
+                            num_partitions)
+    return cold.unionByName(warm.select(*cold.columns))
+
+
 def dense_ids(df: DataFrame, key: str, out: str, start: int = 1,
               num_partitions: int | None = None) -> DataFrame:
     """``row_number() over (order by key)`` over the distinct keys: a dense
