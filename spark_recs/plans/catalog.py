@@ -452,7 +452,7 @@ def als_recommend_ids(spark, sf_dir):
     """Id-only lists, flattened to (user_id, rank, track_id)."""
     from spark_recs.operators import als, scoring
     ids_ = als.recommend_ids(_als_model(spark, sf_dir), ALS_K)
-    return scoring.flatten_recs(ids_.withColumnRenamed("reco", "reco"), "reco").withColumnRenamed("item_id", "track_id")
+    return scoring.flatten_recs(ids_, "reco").withColumnRenamed("item_id", "track_id")
 
 
 def als_recommend_subset(spark, sf_dir):
