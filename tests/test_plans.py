@@ -60,3 +60,17 @@ def test_partitioned_write_prunes(spark):
     df = spark.read.parquet(path).filter(F.col("split") == "train")
     plan = executed_plan(df)
     assert "PartitionFilters: [isnotnull(split" in plan
+
+
+def test_no_cross_joins_or_row_udfs_in_any_query(spark):
+    import __spark_entry__ as E
+    banned = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython")
+    found = {}
+    for key, fn in E.queries().items():
+        if key == "als_sweep":  # fits models eagerly; its parts are covered by other keys
+            continue
+        plan = executed_plan(fn(spark, SF_SMALL))
+        hit = [b for b in banned if b in plan]
+        if hit:
+            found[key] = hit
+    assert found == {}
