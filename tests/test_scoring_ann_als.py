@@ -1,7 +1,6 @@
 """Blocked scoring vs brute force, ANN properties, ALS behaviour."""
 
 import numpy as np
-import pytest
 from pyspark.sql import functions as F
 
 from spark_recs.operators import ann, scoring

@@ -1,7 +1,6 @@
 """Sources and sinks: checked reads, sink modes, CSV header, cutoff split,
 fixtures and the ALS id guard."""
 
-import datetime as dt
 
 import pytest
 from pyspark.sql import functions as F
