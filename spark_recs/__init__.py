@@ -12,3 +12,15 @@ streaming/  intentionally empty: the source project has no streaming stage
 """
 
 __version__ = "0.1.0"
+
+# Functions that run inside Python workers (tile scoring, hashing) are
+# shipped by value, so executors need neither this package installed nor
+# a particular working directory.
+try:  # pragma: no cover - depends on the PySpark build
+    import sys as _sys
+
+    from pyspark import cloudpickle as _cloudpickle
+
+    _cloudpickle.register_pickle_by_value(_sys.modules[__name__])
+except Exception:  # noqa: BLE001
+    pass

@@ -34,12 +34,6 @@ from spark_recs.session import scratch_path
 _LOW_BITS = (1 << 33) - 1  # monotonically_increasing_id keeps the row index in the low 33 bits
 
 
-def _num_partitions(df: DataFrame, num_partitions: int | None) -> int:
-    if num_partitions:
-        return num_partitions
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-
-
 def _as_cols(cols: Sequence[str | Column]) -> list[Column]:
     return [F.col(c) if isinstance(c, str) else c for c in cols]
 
@@ -49,12 +43,14 @@ def global_rank(df: DataFrame, order: Sequence[str | Column], out: str = "_grank
     """Add a 1-based global rank in ``order`` (ties broken arbitrarily but
     consistently), without a single-partition exchange."""
     spark = df.sparkSession
-    n = _num_partitions(df, num_partitions)
     ocols = _as_cols(order)
-    # partition id and position are taken in the task that sorted the range
+    # Without an explicit count AQE may coalesce adjacent ranges; they stay
+    # in order, so partition id + position still follow the global order.
+    # Partition id and position are taken in the task that sorted the range
     # and stored with the rows, so the ranks survive any later re-planning
-    # or file-to-partition mapping on read-back
-    ranked = (df.repartitionByRange(n, *ocols).sortWithinPartitions(*ocols)
+    # or file-to-partition mapping on read-back.
+    ranged = df.repartitionByRange(num_partitions, *ocols) if num_partitions else df.repartitionByRange(*ocols)
+    ranked = (ranged.sortWithinPartitions(*ocols)
                 .withColumn("_pid", F.spark_partition_id())
                 .withColumn("_pos", F.monotonically_increasing_id().bitwiseAND(F.lit(_LOW_BITS))))
     path = scratch_path(spark, "ranked")
