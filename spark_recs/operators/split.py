@@ -9,31 +9,38 @@ from pyspark.sql import functions as F
 
 from spark_recs.functions.columns import hash_key, hash_unit, split_is_train, split_is_val
 from spark_recs.operators.sequence import sequence_within
+from spark_recs.sources import schemas
 
 SEQUENCE_COLUMNS = ["user_id", "recording_msid", "timestamp", "recording_mbid", "count", "row_number"]
 RANDOM_SEED = 2023  # seed of the random split
 
 
-def _sequenced(canon: DataFrame, order: list, num_partitions: int | None) -> DataFrame:
+def _sequenced(canon: DataFrame, order: list, num_partitions: int | None,
+               materialize: bool) -> DataFrame:
     # a null user has no per-user count and belongs to no split
     rows = canon.filter(F.col("user_id").isNotNull())
     seq = sequence_within(rows, ["user_id"], order, "row_number", "count", num_partitions)
-    return seq.select(*SEQUENCE_COLUMNS)
+    seq = seq.select(*SEQUENCE_COLUMNS)
+    # Train, validation, id maps and count matrices all read the sequenced
+    # log: write it once instead of repeating the join and the per-user
+    # shuffle for each of them.
+    return schemas.materialize(seq, "sequenced") if materialize else seq
 
 
-def temporal_sequence(canon: DataFrame, num_partitions: int | None = None) -> DataFrame:
+def temporal_sequence(canon: DataFrame, num_partitions: int | None = None,
+                      materialize: bool = True) -> DataFrame:
     """Number each user's listens by day; ties broken by every other column
     so the numbering is reproducible."""
-    return _sequenced(canon, ["timestamp", "recording_msid", "recording_mbid"], num_partitions)
+    return _sequenced(canon, ["timestamp", "recording_msid", "recording_mbid"], num_partitions, materialize)
 
 
 def random_sequence(canon: DataFrame, seed: int = RANDOM_SEED,
-                    num_partitions: int | None = None) -> DataFrame:
+                    num_partitions: int | None = None, materialize: bool = True) -> DataFrame:
     """Number each user's listens in a seeded pseudo-random order (md5 of
     seed and row keys), independent of partitioning."""
     key = hash_key(seed, ["user_id", "recording_msid", "timestamp"])
     return _sequenced(canon.withColumn("_h", key),
-                      ["_h", "recording_msid", "timestamp", "recording_mbid"], num_partitions)
+                      ["_h", "recording_msid", "timestamp", "recording_mbid"], num_partitions, materialize)
 
 
 def train_split(seq: DataFrame, pct: int = 80) -> DataFrame:

@@ -111,6 +111,17 @@ def write_parquet(df: DataFrame, path: str, mode: str = "errorifexists",
     return path
 
 
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` as Parquet under the shared checkpoint root and read it
+    back: lineage is cut (a lost executor re-reads instead of recomputing
+    joins and shuffles), and later consumers get pruned columnar reads."""
+    from spark_recs.session import scratch_path
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.mode("errorifexists").parquet(path)
+    return spark.read.parquet(path)
+
+
 def write_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> str:
     df.write.mode(mode).option("header", True).csv(path)
     return path
