@@ -14,7 +14,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from spark_recs.operators import ids, matrix, metrics, popularity, prepare, split
+from spark_recs.operators import als, ann, ids, matrix, metrics, popularity, prepare, scoring, split
+from spark_recs.operators.sequence import sequence_within
 from spark_recs.session import scratch_path
 from spark_recs.sources import fixtures as fx
 from spark_recs.sources import schemas
@@ -302,7 +303,6 @@ def events_counts(spark, sf_dir):
 def events_sequence(spark, sf_dir):
     """Temporal 80 % train cut of the event log: ``ts`` is unique, so the
     per-user order is strict."""
-    from spark_recs.operators.sequence import sequence_within
     ev = fx.event_interactions(spark, sf_dir).filter(F.col("user_id").isNotNull())
     seq = sequence_within(ev, ["user_id"], ["ts", "item_id"])
     return split.train_split(seq).select(
@@ -321,13 +321,11 @@ def _vectors(spark, sf_dir):
 
 
 def _exact(spark, sf_dir, k=TOPK_VECTORS):
-    from spark_recs.operators import scoring
     v = _vectors(spark, sf_dir)
     return scoring.blocked_topk(v, v, k, exclude_self=True)
 
 
 def _ann(spark, sf_dir, k=TOPK_VECTORS):
-    from spark_recs.operators import ann
     v = _vectors(spark, sf_dir)
     return ann.ann_topk(v, v, k, ANN_TABLES, ANN_BITS, ANN_SEED, exclude_self=True)
 
@@ -343,7 +341,6 @@ def exact_topk(spark, sf_dir):
 
 def biased_topk(spark, sf_dir):
     """Biased factor scoring u·i + b_u + b_i, best 100 per user."""
-    from spark_recs.operators import scoring
     v = _vectors(spark, sf_dir)
     recs = scoring.blocked_topk(v, v, TOPK_VECTORS, user_bias=fx.user_bias(), item_bias=fx.item_bias(),
                                 exclude_self=True)
@@ -352,13 +349,11 @@ def biased_topk(spark, sf_dir):
 
 def recs_long(spark, sf_dir):
     """Match matrix (one array per user) flattened back to ranked rows."""
-    from spark_recs.operators import scoring
     arrays = scoring.recs_as_arrays(_exact(spark, sf_dir))
     return scoring.flatten_recs(arrays).select(_big("user_id"), _big("rank"), _big("item_id"))
 
 
 def ann_candidates(spark, sf_dir):
-    from spark_recs.operators import ann
     v = _vectors(spark, sf_dir)
     planes = ann.hyperplanes(len(v.select("features").first()[0]), ANN_TABLES, ANN_BITS, ANN_SEED)
     return ann.candidates(v, v, planes, exclude_self=True)
@@ -369,7 +364,6 @@ def ann_topk(spark, sf_dir):
 
 
 def ann_recall(spark, sf_dir):
-    from spark_recs.operators import ann
     r = ann.recall_at_k(_ann(spark, sf_dir, EVAL_K_VECTORS), _exact(spark, sf_dir, EVAL_K_VECTORS))
     return r.select(_r6("recall"), _big("n_queries"))
 
@@ -399,7 +393,6 @@ def _als_data(spark, sf_dir):
 def _als_model(spark, sf_dir, params=None):
     """Fitted model for (session, tables, params); fitted once per session
     and kept in the model store, as the source trains once and reloads."""
-    from spark_recs.operators import als
     params = params or als.ALSParams()
     key = (id(spark.sparkContext), sf_dir, params)
     if key not in _MODELS:
@@ -423,7 +416,6 @@ def _factor_shape(model):
 def als_factors(spark, sf_dir):
     """Factor export: user and item factor tables written as Parquet and
     read back; one row per user / item with its vector length."""
-    from spark_recs.operators import als
     model = _als_model(spark, sf_dir)
     up, ip = scratch_path(spark, "user_factors"), scratch_path(spark, "item_factors")
     als.export_factors(model, up, ip)
@@ -436,28 +428,24 @@ def als_factors(spark, sf_dir):
 
 def als_model_roundtrip(spark, sf_dir):
     """Save a fitted model, load it back, read its factors."""
-    from spark_recs.operators import als
     model = _als_model(spark, sf_dir)
     path = als.save(model, scratch_path(spark, "models/roundtrip"))
     return _factor_shape(als.load(path))
 
 
 def als_recommend_all(spark, sf_dir):
-    from spark_recs.operators import als
     recs = als.recommend_all(_als_model(spark, sf_dir), ALS_K)
     return recs.groupBy("user_id").agg(F.count(F.lit(1)).alias("n_recs"))
 
 
 def als_recommend_ids(spark, sf_dir):
     """Id-only lists, flattened to (user_id, rank, track_id)."""
-    from spark_recs.operators import als, scoring
     ids_ = als.recommend_ids(_als_model(spark, sf_dir), ALS_K)
     return scoring.flatten_recs(ids_, "reco").withColumnRenamed("item_id", "track_id")
 
 
 def als_recommend_subset(spark, sf_dir):
     """Lists of 20 for the users that have validation rows."""
-    from spark_recs.operators import als
     t = Tables(spark, sf_dir)
     recs = als.recommend_subset(_als_model(spark, sf_dir), t.val.select("user_id"), ALS_SUBSET_K)
     return recs.groupBy("user_id").agg(F.count(F.lit(1)).alias("n_recs"))
@@ -466,7 +454,6 @@ def als_recommend_subset(spark, sf_dir):
 def als_recommend_unseen(spark, sf_dir):
     """Top-100 per user among items not in the user's training rows;
     reports list length and how many listed items were seen (must be 0)."""
-    from spark_recs.operators import als
     tr, _ = _als_data(spark, sf_dir)
     recs = als.recommend_unseen(_als_model(spark, sf_dir), tr, ALS_K)
     seen = tr.select("user_id", "track_id").withColumn("_seen", F.lit(1))
@@ -477,7 +464,6 @@ def als_recommend_unseen(spark, sf_dir):
 
 def als_eval(spark, sf_dir):
     """ALS top-100 scored on the validation counts (every rec user counts)."""
-    from spark_recs.operators import als
     _, va = _als_data(spark, sf_dir)
     recs = als.recommend_all(_als_model(spark, sf_dir), ALS_K)
     m = als.evaluate(recs, va, ALS_K, users="recommended")
@@ -486,7 +472,6 @@ def als_eval(spark, sf_dir):
 
 def als_sweep(spark, sf_dir):
     """Small grid over rank; fit / recommend / evaluate times per setting."""
-    from spark_recs.operators import als
     tr, va = _als_data(spark, sf_dir)
     grid = [als.ALSParams(rank=r, max_iter=5) for r in (10, 25)]
     return als.sweep(tr.persist(), va.persist(), grid, ALS_K)
@@ -495,7 +480,6 @@ def als_sweep(spark, sf_dir):
 def experiment_results_csv(spark, sf_dir):
     """Popularity beta sweep evaluated on validation, written as CSV with a
     header and read back."""
-    from pyspark.sql import types as T_
     t = Tables(spark, sf_dir)
     rows = None
     for beta in BETAS:
@@ -506,9 +490,9 @@ def experiment_results_csv(spark, sf_dir):
         rows = m if rows is None else rows.unionByName(m)
     path = scratch_path(spark, "results_csv")
     schemas.write_csv(rows.coalesce(1), path)
-    schema = T_.StructType([T_.StructField("beta", T_.DoubleType()), T_.StructField("precision", T_.DoubleType()),
-                            T_.StructField("map", T_.DoubleType()), T_.StructField("ndcg", T_.DoubleType()),
-                            T_.StructField("n_users", T_.LongType())])
+    schema = T.StructType([T.StructField("beta", T.DoubleType()), T.StructField("precision", T.DoubleType()),
+                            T.StructField("map", T.DoubleType()), T.StructField("ndcg", T.DoubleType()),
+                            T.StructField("n_users", T.LongType())])
     back = schemas.read_csv(spark, path, schema)
     return back.select("beta", _r6("precision"), _r6("map"), _r6("ndcg"), "n_users")
 
