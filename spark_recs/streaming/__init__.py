@@ -1,0 +1,8 @@
+"""Structured Streaming: intentionally empty.
+
+The source project is a set of batch jobs over Parquet files; it has no
+stream source, watermark, windowed aggregation or stateful operator, so no
+streaming operator is built here.  Every operator in ``spark_recs`` takes
+and returns DataFrames, so a future stream stage would apply the same
+column expressions inside ``foreachBatch``.
+"""
