@@ -462,6 +462,29 @@ def als_recommend_unseen(spark, sf_dir):
                                         F.count("_seen").alias("n_seen_in_recs")))
 
 
+def _als_ann(spark, sf_dir, k=ALS_K):
+    """Approximate top-k over the fitted factors: user vectors query the
+    item vectors (maximum inner product through the norm augmentation)."""
+    model = _als_model(spark, sf_dir)
+    u, i = als._factors(model.userFactors), als._factors(model.itemFactors)
+    recs = ann.ann_topk(u, i, k, ANN_TABLES, ANN_BITS, ANN_SEED, exclude_self=False)
+    return recs, u, i
+
+
+def als_ann_topk(spark, sf_dir):
+    """Approximate top-100 per user from the ALS factors."""
+    recs, _, _ = _als_ann(spark, sf_dir)
+    return recs.select(_big("user_id"), _big("rank"), F.col("item_id").cast("long").alias("track_id"))
+
+
+def als_ann_recall(spark, sf_dir):
+    """Recall@100 of the approximate lists against the exact blocked top-100
+    over the same factors."""
+    recs, u, i = _als_ann(spark, sf_dir)
+    exact = scoring.blocked_topk(u, i, ALS_K)
+    return ann.recall_at_k(recs, exact).select(_r6("recall"), _big("n_queries"))
+
+
 def als_eval(spark, sf_dir):
     """ALS top-100 scored on the validation counts (every rec user counts)."""
     _, va = _als_data(spark, sf_dir)
