@@ -396,14 +396,14 @@ def _als_model(spark, sf_dir, params=None):
     params = params or als.ALSParams()
     key = (id(spark.sparkContext), sf_dir, params)
     if key not in _MODELS:
-        tr, _ = _als_data(spark, sf_dir)
-        tr = tr.persist()
+        t = Tables(spark, sf_dir)
+        tr = matrix.count_matrix(split.train_split(t.encoded)).persist()
         als.check_int_ids(tr)
         model = als.fit(tr, params)
-        path = als.save_in_store(model, params)
+        path = als.save_in_store(model, params, item_map=t.item_map)
         tr.unpersist()
         _MODELS[key] = path
-    return als.load(_MODELS[key])
+    return als.load_from_store(_MODELS[key])[0]
 
 
 def _factor_shape(model):
@@ -493,6 +493,23 @@ def als_eval(spark, sf_dir):
     return m.select(_r6("precision"), _r6("map"), _r6("ndcg"), "n_users")
 
 
+def als_eval_test(spark, sf_dir):
+    """The final score: ALS top-100 against the held-out test listens,
+    encoded with the model's own item map (cold items drop out), for every
+    user with both recommendations and test listens."""
+    model, item_map = als.load_from_store(_MODELS_path(spark, sf_dir))
+    t = Tables(spark, sf_dir)
+    test = matrix.count_matrix(ids.encode(t.test, item_map, "recording_mbid", "inner"))
+    recs = als.recommend_all(model, ALS_K)
+    m = als.evaluate(recs, test, ALS_K, users="both")
+    return m.select(_r6("precision"), _r6("map"), _r6("ndcg"), "n_users")
+
+
+def _MODELS_path(spark, sf_dir, params=None):
+    _als_model(spark, sf_dir, params)
+    return _MODELS[(id(spark.sparkContext), sf_dir, params or als.ALSParams())]
+
+
 def als_sweep(spark, sf_dir):
     """Small grid over rank; fit / recommend / evaluate times per setting."""
     tr, va = _als_data(spark, sf_dir)
