@@ -103,3 +103,18 @@ def test_als_seeded_fit_is_reproducible_and_unseen_excludes(spark):
     a = {(r.user_id, r.item_id) for r in exact.collect()}
     b = {(r.user_id, r.track_id) for r in lib.collect()}
     assert len(a & b) / len(b) > 0.95  # float32 library scores vs float64 here
+
+
+def test_model_store_keeps_item_map(spark):
+    from spark_recs.operators import als
+    counts = spark.createDataFrame([(u, i, 1) for u in range(6) for i in range(5) if (u + i) % 2 == 0],
+                                   "user_id long, track_id long, interactions_count long")
+    imap = spark.createDataFrame([(i, f"mb-{i}") for i in range(5)], "track_id long, recording_mbid string")
+    p = als.ALSParams(rank=2, max_iter=2)
+    path = als.save_in_store(als.fit(counts, p), p, item_map=imap)
+    model, stored = als.load_from_store(path)
+    assert sorted(stored.collect()) == sorted(imap.collect())
+    decoded = als.decode_recs(als.recommend_all(model, 2), stored)
+    assert decoded.filter(F.col("recording_mbid").isNull()).count() == 0
+    bare = als.save_in_store(model, p)
+    assert als.load_from_store(bare)[1] is None
