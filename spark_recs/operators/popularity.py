@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+# Fixed values (as in the source): list length 100, damping beta 1000.
 DEFAULT_K = 100
 DEFAULT_BETA = 1000
 

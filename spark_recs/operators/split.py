@@ -12,7 +12,10 @@ from spark_recs.operators.sequence import sequence_within
 from spark_recs.sources import schemas
 
 SEQUENCE_COLUMNS = ["user_id", "recording_msid", "timestamp", "recording_mbid", "count", "row_number"]
-RANDOM_SEED = 2023  # seed of the random split
+# Fixed values (as in the source): random-split seed 2023, 80 % of each
+# user's rows to train.
+RANDOM_SEED = 2023
+TRAIN_PERCENT = 80
 
 
 def _sequenced(canon: DataFrame, order: list, num_partitions: int | None,
@@ -43,12 +46,12 @@ def random_sequence(canon: DataFrame, seed: int = RANDOM_SEED,
                       ["_h", "recording_msid", "timestamp", "recording_mbid"], num_partitions, materialize)
 
 
-def train_split(seq: DataFrame, pct: int = 80) -> DataFrame:
+def train_split(seq: DataFrame, pct: int = TRAIN_PERCENT) -> DataFrame:
     """First ``floor(pct% * count)`` rows of each user."""
     return seq.filter(split_is_train(pct=pct))
 
 
-def val_split(seq: DataFrame, pct: int = 80) -> DataFrame:
+def val_split(seq: DataFrame, pct: int = TRAIN_PERCENT) -> DataFrame:
     return seq.filter(split_is_val(pct=pct))
 
 
@@ -58,7 +61,7 @@ def val_by_anti_join(seq: DataFrame, train: DataFrame) -> DataFrame:
     return seq.join(keys, ["user_id", "row_number"], "left_anti").select(*seq.columns)
 
 
-def with_split_column(seq: DataFrame, pct: int = 80) -> DataFrame:
+def with_split_column(seq: DataFrame, pct: int = TRAIN_PERCENT) -> DataFrame:
     """Tag rows 'train' / 'val' so a write can partition by split and reads
     prune to one side."""
     return seq.withColumn("split", F.when(split_is_train(pct=pct), F.lit("train")).otherwise(F.lit("val")))
