@@ -118,3 +118,18 @@ def test_model_store_keeps_item_map(spark):
     assert decoded.filter(F.col("recording_mbid").isNull()).count() == 0
     bare = als.save_in_store(model, p)
     assert als.load_from_store(bare)[1] is None
+
+
+def test_users_beyond_int_are_encoded_and_decoded(spark):
+    from spark_recs.operators import als
+    big = 2**40
+    rows = [(big + u, i, 1 + (u * i) % 3) for u in range(8) for i in range(6) if (u + i) % 3]
+    counts = spark.createDataFrame(rows, "user_id long, track_id long, interactions_count long")
+    enc, umap = als.encode_users(counts)
+    als.check_int_ids(enc)
+    assert umap.count() == 8
+    model = als.fit(enc, als.ALSParams(rank=2, max_iter=2))
+    recs = als.decode_users(als.recommend_all(model, 3), umap)
+    got = {r.user_id for r in recs.select("user_id").distinct().collect()}
+    assert got == {big + u for u in range(8)}
+    assert recs.columns[0] == "user_id"
