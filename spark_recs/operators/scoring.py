@@ -124,7 +124,8 @@ def blocked_topk(users: DataFrame, items: DataFrame, k: int,
     Returns (user_id, rank, item_id, score); ties go to the smaller item id.
     """
     spark = users.sparkSession
-    n_u, n_i = users.count(), items.count()
+    n_u = users.count()
+    n_i = n_u if items is users else items.count()  # all-vs-all: count once
     bu, bi = block_counts(n_u, n_i, spark.sparkContext.defaultParallelism, max_tile_cells, max_item_block)
 
     # fresh column ids on each side: users and items may be one frame
