@@ -242,6 +242,12 @@ def matrix_shape(spark, sf_dir):
     return matrix.matrix_shape(Tables(spark, sf_dir).train)
 
 
+def matrix_shape_approx(spark, sf_dir):
+    """Matrix shape from HyperLogLog++ sketches (``approx_count_distinct``,
+    1 % relative error): mergeable partial aggregates, no distinct shuffle."""
+    return matrix.matrix_shape(Tables(spark, sf_dir).train, approx=True, rsd=0.01)
+
+
 def interactions_coo(spark, sf_dir):
     t = Tables(spark, sf_dir)
     umap = ids.user_id_map(t.train, start=0)
