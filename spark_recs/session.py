@@ -42,7 +42,9 @@ def build_session(master: str | None = None, app: str = "spark_recs",
 
 
 def _is_local(spark: SparkSession) -> bool:
-    return spark.sparkContext.master.startswith("local")
+    """One JVM on this machine; local-cluster has executors of its own."""
+    master = spark.sparkContext.master
+    return master == "local" or master.startswith("local[")
 
 
 def checkpoint_root(spark: SparkSession) -> str:
