@@ -83,7 +83,8 @@ def _with_base(docs: DataFrame) -> DataFrame:
 def bucket_counts(docs: DataFrame, trusted: DataFrame, buckets: int = BUCKETS) -> DataFrame:
     """(bucket, raw, target): n-grams of all documents and of the trusted ones."""
     ids = trusted.select("doc_id").filter("doc_id IS NOT NULL").distinct().withColumn("_trusted", F.lit(1))
-    marked = docs.select("doc_id", "text").join(ids, "doc_id", "left")
+    # a sort-merge join at every size: the labels grow with the corpus
+    marked = docs.select("doc_id", "text").join(ids.hint("merge"), "doc_id", "left")
     # explode_outer: explode adds a filter on its array, which the optimizer would push below the
     # projections and evaluate with every array expression written out
     grams = _hashes(marked).select(F.explode_outer(F.concat("_h", "_b")).alias("x"), "_trusted")
