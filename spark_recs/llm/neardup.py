@@ -245,10 +245,11 @@ def links(docs: DataFrame, members: DataFrame, k: int = SHINGLE, num: int = NUM,
     size = members.groupBy("cluster").agg(F.count(F.lit(1)).alias("rows"), F.sum("n").alias("shingles"))
     blocks = F.greatest(F.ceil(F.col("rows") / BLOCK_ROWS), F.ceil(F.col("shingles") / BLOCK_SHINGLES)).cast("int")
     size = size.select("cluster", blocks.alias("blocks"))
-    texts = members.join(docs.select(F.col("doc_id").cast("long").alias("id"), "text"), "id").select("id", "cluster", "text")
+    # sort-merge joins at every size: these sides grow with the corpus, and a hot cluster's partition can be split
+    texts = docs.select(F.col("doc_id").cast("long").alias("id"), "text").join(members.hint("merge"), "id").select("id", "cluster", "text")
     sets = texts.mapInArrow(_to_sets(k), "id long, cluster long, set binary")
     own = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
-    dealt = (sets.join(size, "cluster").withColumn("own", own)
+    dealt = (sets.join(size.hint("merge"), "cluster").withColumn("own", own)
                  .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
                  .select("id", "set", "cluster", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j")))
     return dealt.groupBy("cluster", "i", "j").applyInPandas(_verify(num, den), "a long, b long")
@@ -284,4 +285,4 @@ def near_duplicates(docs: DataFrame, k: int = SHINGLE, num: int = NUM, den: int
 def keep_first(docs: DataFrame, **options) -> DataFrame:
     """The rows of `docs` that stand for their group, with their own columns."""
     go = near_duplicates(docs, **options).filter(~F.col("kept")).select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(go, docs["doc_id"] == go["_gone"], "left_anti")
+    return docs.join(go.hint("merge"), docs["doc_id"] == go["_gone"], "left_anti")

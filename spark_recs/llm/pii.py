@@ -237,7 +237,7 @@ def pseudonymize(docs: DataFrame, key: bytes, count: str | None = None) -> DataF
     named = surrogates(mentions.select("kind", "canon").distinct(), key)
     per_row = (mentions.join(named, ["kind", "canon"]).groupBy("_row")
                        .agg(F.collect_list(F.struct("kind", "canon", "surrogate")).alias("_map")))
-    joined = held.join(per_row, "_row", "left").select(*safe.columns, "_map")
+    joined = held.join(per_row.hint("merge"), "_row", "left").select(*safe.columns, "_map")
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in safe.schema.fields) + ", _n_entities long"
     done = joined.mapInArrow(_replace(safe.columns), schema)
     rest = safe.filter(~may).withColumn("_n_entities", F.lit(0).cast("long"))
