@@ -35,6 +35,10 @@ MIN_WORDS, MAX_REPEAT_PCT = 50, 50
 MICRO = 1_000_000
 VERDICT = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"]
 _SPACE = r"[\x20\x09-\x0D]+"
+#: Always true, but not deterministic to the optimizer: a filter on a column made with it stays above the
+#: projections.  Pushed below them, every array expression would be written out where it is used, also
+#: inside the function that runs for each word.
+_GUARD = lambda: F.monotonically_increasing_id() >= 0
 _TMP = ["_t", "_w", "_h", "_b", "_lines", "_win", "_pairs"]
 
 
@@ -75,7 +79,7 @@ def _with_base(docs: DataFrame) -> DataFrame:
     cover = F.aggregate(places, F.struct(F.lit(-3).alias("last"), F.lit(0).alias("n")),
                         lambda a, i: F.struct(i.alias("last"), (a["n"] + F.least(F.lit(3), i - a["last"])).alias("n")),
                         lambda a: a["n"])
-    df = df.withColumn("n_repeat_words", F.coalesce(cover, F.lit(0)).cast("long"))
+    df = df.withColumn("n_repeat_words", F.when(_GUARD(), F.coalesce(cover, F.lit(0)).cast("long")))
     return df.withColumn("base_failed", (F.col("n_words") < MIN_WORDS)
                          | (100 * F.col("n_repeat_words") > MAX_REPEAT_PCT * F.col("n_words")))
 
@@ -117,7 +121,7 @@ def judge(docs: DataFrame, trusted: DataFrame, buckets: int = BUCKETS, alpha: fl
     add = lambda a, x: a + F.get(table, F.pmod(x, F.lit(buckets)).cast("int"))
     total = F.aggregate("_b", F.aggregate("_h", F.lit(0).cast("long"), add), add)
     df = _with_base(docs)
-    df = df.withColumn("score", F.when(F.size("_h") > 0, F.round(total / (2 * F.size("_h"))).cast("long")))
+    df = df.withColumn("score", F.when(_GUARD() & (F.size("_h") > 0), F.round(total / (2 * F.size("_h"))).cast("long")))
     return (df.withColumn("kept", ~F.col("base_failed") & (F.col("score") >= F.lit(round(MICRO * min_score))))
               .drop(*_TMP))
 
@@ -126,6 +130,4 @@ def keep(docs: DataFrame, trusted: DataFrame, **options) -> DataFrame:
     """The documents that the rules keep, with their own columns."""
     columns = docs.columns
     safe = docs.toDF(*[c if c in ("doc_id", "text") else f"_in_{c}" for c in columns])
-    # the row number, not deterministic, keeps the filter above the projections (see bucket_counts)
-    judged = judge(safe, trusted, **options).withColumn("_row", F.monotonically_increasing_id())
-    return judged.filter(F.col("kept") & (F.col("_row") >= 0)).select(*safe.columns).toDF(*columns)
+    return judge(safe, trusted, **options).filter("kept").select(*safe.columns).toDF(*columns)

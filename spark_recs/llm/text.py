@@ -100,12 +100,14 @@ class WordHasher:
         self.sep, self.table = separators, _byte_table()
         self.pw, self.pinv = _powers(2 * CHUNK_BYTES)
 
-    def __call__(self, raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(hashes, first): the words of row i are hashes[first[i]:first[i + 1]]."""
+    def __call__(self, raw: np.ndarray, offsets: np.ndarray, prefixes: tuple[int, ...] = ()) -> tuple[np.ndarray, ...]:
+        """(hashes, first): the words of row i are hashes[first[i]:first[i + 1]];
+        then, for each of `prefixes`, the hashes of the words' first so many bytes."""
         lo = int(offsets[0])
         buf, off = raw[lo: int(offsets[-1])], offsets - lo
         if len(buf) == 0:
-            return np.zeros(0, dtype=np.uint64), np.zeros(len(off), dtype=np.int64)
+            none = np.zeros(0, dtype=np.uint64)
+            return none, np.zeros(len(off), dtype=np.int64), *[none] * len(prefixes)
         if len(buf) > len(self.pw):
             self.pw, self.pinv = _powers(len(buf))
         word = ~self.sep[buf]
@@ -119,7 +121,8 @@ class WordHasher:
         acc = np.zeros(len(buf) + 1, dtype=np.uint64)
         np.cumsum(self.table[buf] * self.pw[: len(buf)], out=acc[1:])
         h = mix64((acc[e + 1] - acc[s]) * self.pinv[s] + (e - s).astype(np.uint64))
-        return h, np.searchsorted(s, off)
+        heads = [mix64((acc[np.minimum(e + 1, s + k)] - acc[s]) * self.pinv[s] + np.uint64(k << 32)) for k in prefixes]
+        return h, np.searchsorted(s, off), *heads
 
 
 def shingles(h: np.ndarray, k: int) -> np.ndarray:

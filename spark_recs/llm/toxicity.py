@@ -3,7 +3,8 @@
 Grades 0 < 1 < ... < `GRADES` - 1 share one weight vector: P(grade >= j) =
 sigmoid(w.x - t_j) with t_1 < t_2 < ...; the score is the expected severity,
 the sum of P(grade >= j) over j >= 1.  A feature is the presence of a word (run
-of letters and digits, A-Z as a-z) hashed into 2**`HASH_BITS` buckets; the
+of letters and digits, A-Z as a-z) or of a word's beginning (`PREFIXES` bytes,
+for inflected words) hashed into 2**`HASH_BITS` buckets; the
 `FEATURES` buckets with the largest chi-square against the label are used.
 
 The fit uses at most `SAMPLE` labelled documents of each label (by hash of
@@ -30,17 +31,18 @@ from pyspark.sql import functions as F
 
 from spark_recs.llm.text import WordHasher, process_state, punctuation_separators, row_slices, text_buffers
 
-GRADES, HASH_BITS, FEATURES, SAMPLE = 4, 18, 4096, 8192
-MIN_DOCS, TELLING = 3, 2.0       # documents that a feature is in at least; log-odds of a telling word
+GRADES, HASH_BITS, FEATURES, SAMPLE = 4, 18, 256, 8192
+PREFIXES = (4, 5)
+MIN_DOCS, MIN_CHI, TELLING = 3, 30.0, 2.0  # documents and chi-square of a feature at least; log-odds of a telling word
 STEPS, RATE, RIDGE = 250, 0.1, 2e-4
 
 
 def _present(raw, offsets) -> tuple[np.ndarray, np.ndarray]:
     """Distinct buckets of each row, as (row, bucket)."""
     hasher = process_state("plain-words", lambda: WordHasher(punctuation_separators()))
-    h, first = hasher(raw, offsets)
-    row = np.repeat(np.arange(len(first) - 1, dtype=np.uint64), np.diff(first))
-    both = np.unique(row << np.uint64(HASH_BITS) | h >> np.uint64(64 - HASH_BITS))
+    h, first, *heads = hasher(raw, offsets, PREFIXES)
+    row = np.repeat(np.arange(len(first) - 1, dtype=np.uint64), np.diff(first)) << np.uint64(HASH_BITS)
+    both = np.unique(np.concatenate([row | x >> np.uint64(64 - HASH_BITS) for x in (h, *heads)]))
     return (both >> np.uint64(HASH_BITS)).astype(np.int64), (both & np.uint64((1 << HASH_BITS) - 1)).astype(np.int64)
 
 
