@@ -244,7 +244,8 @@ def links(docs: DataFrame, members: DataFrame, k: int = SHINGLE, num: int = NUM,
     `members` (id, cluster, n)."""
     size = members.groupBy("cluster").agg(F.count(F.lit(1)).alias("rows"), F.sum("n").alias("shingles"))
     blocks = F.greatest(F.ceil(F.col("rows") / BLOCK_ROWS), F.ceil(F.col("shingles") / BLOCK_SHINGLES)).cast("int")
-    size = size.select("cluster", blocks.alias("blocks"))
+    # written, so that both sides of the join below are shuffled for it and a hot cluster can be split
+    size = materialize(size.select("cluster", blocks.alias("blocks")), "cluster-sizes")
     # sort-merge joins at every size: these sides grow with the corpus, and a hot cluster's partition can be split
     texts = docs.select(F.col("doc_id").cast("long").alias("id"), "text").join(members.hint("merge"), "id").select("id", "cluster", "text")
     sets = texts.mapInArrow(_to_sets(k), "id long, cluster long, set binary")
