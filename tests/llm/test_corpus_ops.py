@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from spark_recs.llm import decontaminate, neardup, pii, quality, toxicity
 from spark_recs.llm.components import components
-from tests.llm.conftest import sentence
+from llm.helpers import docs_of, sentence  # noqa: F401
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 SF = "/root/testdata/sf0.001"

@@ -18,6 +18,8 @@ from spark_recs.llm.crc32c import Crc32c, _byte_table
 from spark_recs.llm.tokens import ChunkEncoder, vocabulary_path
 from spark_recs.session import scratch_path
 
+from llm.helpers import docs_of  # noqa: F401
+
 ODD = ["", " ", "\n", "a  b", " a b", "a\n\n b", "a \n b", "don't  stop 's\tx", "ŒUVRE  x  y", "Á b é", "<|endoftext|> a",
        "x" * 200 + " y", "a b ", "ΣΑΣ ΣΣ x", "a\r\n b", "12 345,6  7", "naïve café's don't WE'LL", "日本 語 テキスト", None]
 VOCABULARIES = ["byte_bpe_50k.json", "word_bpe_49k.json"]
