@@ -8,7 +8,7 @@ functions/  reusable column expressions (canonical ids, hash keys, dot products)
 operators/  the relational and model operators (splits, ids, popularity, ALS,
             blocked scoring, ANN, metrics)
 plans/      the registered query catalog, its SQL oracle and plan checks
-streaming/  intentionally empty: the source project has no streaming stage
+llm/        operators of a training-data pipeline (optional)
 """
 
 __version__ = "0.1.0"

@@ -51,10 +51,6 @@ def item_stats(items: DataFrame) -> tuple[float, int]:
     return float(row["m2"] or 0.0), int(row["dim"] or 0)
 
 
-def max_sq_norm(items: DataFrame) -> float:
-    return item_stats(items)[0]
-
-
 def _codes_udf(planes: np.ndarray, m2: float | None):
     """Arrow-batched hashing: one (n × d+1) @ (d+1 × tables·bits) matmul per
     batch, sign bits packed into one code per table."""

@@ -23,12 +23,6 @@ def label_rows(df: DataFrame, user: str = "user_id", item: str = "recording_mbid
     return pairs.join(sizes, user)
 
 
-def label_counts(df: DataFrame, user: str = "user_id", item: str = "recording_mbid") -> DataFrame:
-    """(user, n_labels): the size of each user's label set."""
-    return (df.select(user, item).filter(F.col(item).isNotNull()).distinct()
-              .groupBy(user).agg(F.count(F.lit(1)).alias("n_labels")))
-
-
 def matrix_shape(df: DataFrame, user: str = "user_id", item: str = "recording_mbid",
                  approx: bool = False, rsd: float = 0.01) -> DataFrame:
     """One row: number of distinct users and items."""

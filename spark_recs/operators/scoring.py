@@ -8,10 +8,11 @@ NumPy matmul scores one tile, seen pairs are masked, and only each user's
 best k of that tile leave the task.  A final per-user window keeps the best
 k of the B_i partial lists (planned with a partial WindowGroupLimit).
 
-Block counts come from the row counts: item blocks as wide as allowed (each
-user emits up to k rows per item block), user blocks sized so a tile stays
-within ``max_tile_cells`` scores, and hashing keeps blocks even under skewed
-ids.  Tile top-k is vectorised (argpartition + row-wise lexsort).
+Both blocks are as wide as memory allows, since every vector travels once per
+block of the other side; inside a task the users are scored a few at a time,
+so that the scores held at once stay within ``max_tile_cells``.  Hashing keeps
+blocks even under skewed ids.  Tile top-k is vectorised (argpartition +
+row-wise lexsort).
 """
 
 from __future__ import annotations
@@ -24,8 +25,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-MAX_TILE_CELLS = 1 << 23      # scores per tile (64 MiB of float64)
-MAX_ITEM_BLOCK = 1 << 16      # items per block; fewer item blocks = fewer partial rows
+MAX_TILE_CELLS = 1 << 23      # scores held at once in a task (64 MiB of float64)
+MAX_BLOCK = 1 << 16           # users or items per block: a block of rank-25 vectors is 13 MB
 
 _OUT = T.StructType([
     T.StructField("user_id", T.LongType()),
@@ -36,15 +37,13 @@ _OUT = T.StructType([
 
 
 def block_counts(n_users: int, n_items: int, parallelism: int,
-                 max_tile_cells: int = MAX_TILE_CELLS, max_item_block: int = MAX_ITEM_BLOCK) -> tuple[int, int]:
-    """(user blocks, item blocks).  Each user emits up to k rows per item
-    block, so item blocks are made as wide as allowed; user blocks then
-    keep a tile within ``max_tile_cells``, and there are at least as many
-    tiles as task slots."""
-    bi = max(1, math.ceil(n_items / max_item_block))
-    items_per_block = max(1, math.ceil(n_items / bi))
-    users_per_block = max(1, max_tile_cells // items_per_block)
-    bu = max(1, math.ceil(n_users / users_per_block))
+                 max_block: int = MAX_BLOCK) -> tuple[int, int]:
+    """(user blocks, item blocks).  An item travels once per user block and a
+    user once per item block, so both are made as wide as allowed, with at
+    least as many block pairs as task slots; scores are bounded inside the
+    task (``_tile_topk``)."""
+    bi = max(1, math.ceil(n_items / max_block))
+    bu = max(1, math.ceil(n_users / max_block))
     if bu * bi < parallelism:
         bu = max(bu, min(max(n_users, 1), math.ceil(parallelism / bi)))
     return bu, bi
@@ -80,11 +79,17 @@ def _empty() -> pd.DataFrame:
                          "score": np.array([], np.float64), "tile_rank": np.array([], np.int64)})
 
 
-def _tile_topk(k: int, exclude_self: bool):
+def _tile_topk(k: int, exclude_self: bool, max_tile_cells: int = MAX_TILE_CELLS):
+    """Scores a pair of blocks, so many users at a time that at most
+    ``max_tile_cells`` scores are held (one user at least)."""
     def run(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         items = right[right["kind"] == 0]
         if left.empty or items.empty:
             return _empty()
+        step = max(1, max_tile_cells // len(items))
+        return pd.concat([score(left.iloc[a: a + step], items, right) for a in range(0, len(left), step)], ignore_index=True)
+
+    def score(left: pd.DataFrame, items: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         uid = left["user_id"].to_numpy(np.int64)
         iid = items["item_id"].to_numpy(np.int64)
         U = np.vstack(left["features"].to_numpy()).astype(np.float64)
@@ -115,7 +120,7 @@ def _tile_topk(k: int, exclude_self: bool):
 def blocked_topk(users: DataFrame, items: DataFrame, k: int,
                  user_bias: F.Column | None = None, item_bias: F.Column | None = None,
                  exclude: DataFrame | None = None, exclude_self: bool = False,
-                 max_tile_cells: int = MAX_TILE_CELLS, max_item_block: int = MAX_ITEM_BLOCK) -> DataFrame:
+                 max_tile_cells: int = MAX_TILE_CELLS, max_block: int = MAX_BLOCK) -> DataFrame:
     """Best ``k`` items per user by ``u·i (+ b_u + b_i)``.
 
     users / items: (id, features array<double>); ``user_bias`` /
@@ -126,7 +131,7 @@ def blocked_topk(users: DataFrame, items: DataFrame, k: int,
     spark = users.sparkSession
     n_u = users.count()
     n_i = n_u if items is users else items.count()  # all-vs-all: count once
-    bu, bi = block_counts(n_u, n_i, spark.sparkContext.defaultParallelism, max_tile_cells, max_item_block)
+    bu, bi = block_counts(n_u, n_i, spark.sparkContext.defaultParallelism, max_block)
 
     # fresh column ids on each side: users and items may be one frame
     u = users.select(F.col("id").cast("long").alias("user_id"), F.col("features").alias("features"),
@@ -147,9 +152,7 @@ def blocked_topk(users: DataFrame, items: DataFrame, k: int,
                        F.lit(None).cast("double").alias("bias"), F.lit(1).alias("kind"))
         i = i.unionByName(ex)
     partial = (u.groupBy("ub", "ib").cogroup(i.groupBy("ub", "ib"))
-                .applyInPandas(_tile_topk(k, exclude_self), _OUT))
-    if bi == 1:  # one item block: each user's tile list is final and ranked
-        return partial.select("user_id", F.col("tile_rank").alias("rank"), "item_id", "score")
+                .applyInPandas(_tile_topk(k, exclude_self, max_tile_cells), _OUT))
     w = Window.partitionBy("user_id").orderBy(F.desc("score"), F.asc("item_id"))
     return (partial.withColumn("rank", F.row_number().over(w).cast("long"))
                    .filter(F.col("rank") <= k)

@@ -2,13 +2,12 @@
 
 ``row_number() OVER (PARTITION BY g ORDER BY o)`` hash-partitions on ``g``,
 so one hot group (a user holding a third of the log) lands in one task, and
-``row_number() OVER (ORDER BY o)`` runs in a single partition.  Here group
-sizes are measured first (partial aggregate); groups within a per-task row
-budget use the plain window, and hot groups — and the global order of dense
-ids — are numbered from a global sort instead:
+``row_number() OVER (ORDER BY o)`` runs in a single partition.  Numbers within
+groups are built from cells of a group instead (``sequence_within``), and the
+global order of dense ids is numbered from a global sort:
 
-1. range-partition on (g, o) and sort inside partitions — the sampled range
-   bounds split a hot group across many tasks;
+1. range-partition on o and sort inside partitions — the sampled range
+   bounds split any order across many tasks;
 2. in the same tasks, record the partition id and the position inside the
    partition (``monotonically_increasing_id`` low bits) and write the frame
    as Parquet under the reliable checkpoint directory: the layout is fixed
@@ -16,10 +15,6 @@ ids — are numbered from a global sort instead:
    lost executor re-reads the table instead of re-running the sort;
 3. per-partition row counts (one number per partition, bounded by the
    partition count) give each partition's offset and so a global rank;
-4. per group, ``min(rank)`` and ``count`` come from a partial aggregate
-   (map-side combine, so a hot group costs one row per task) and are joined
-   back; AQE broadcasts that table when its runtime size allows, and
-   otherwise splits skewed partitions in a sort-merge join.
 """
 
 from __future__ import annotations
@@ -70,67 +65,32 @@ def global_rank(df: DataFrame, order: Sequence[str | Column], out: str = "_grank
                   .drop("_pid", "_pos"))
 
 
-DEFAULT_MAX_GROUP_ROWS = 1 << 22  # rows one task may sort for a single group
-
-
-def _max_group_rows(df: DataFrame, value: int | None) -> int:
-    if value:
-        return value
-    conf = df.sparkSession.conf.get("spark_recs.sequence.maxGroupRows", None)
-    return int(conf) if conf else DEFAULT_MAX_GROUP_ROWS
-
-
-def _ranged_sequence(df: DataFrame, group: Sequence[str], order: Sequence[str | Column], out: str,
-                     count_out: str | None, num_partitions: int | None) -> DataFrame:
-    """Row numbers from a global range sort: any group size."""
-    ranked = global_rank(df, list(group) + list(order), "_grank", num_partitions)
-    aggs = [F.min("_grank").alias("_gstart")]
-    if count_out:
-        aggs.append(F.count(F.lit(1)).alias(count_out))
-    starts = ranked.groupBy(*group).agg(*aggs)
-    joined = ranked.join(starts, [ranked[g].eqNullSafe(starts[g]) for g in group])
-    for g in group:
-        joined = joined.drop(starts[g])
-    return (joined.withColumn(out, F.col("_grank") - F.col("_gstart") + F.lit(1))
-                  .drop("_grank", "_gstart"))
-
-
-def _windowed_sequence(df: DataFrame, group: Sequence[str], order: Sequence[str | Column], out: str,
-                       count_out: str | None) -> DataFrame:
-    """Row numbers and group counts from one window (one shuffle): only for
-    groups known to fit a task."""
-    w = Window.partitionBy(*group).orderBy(*_as_cols(order))
-    res = df.withColumn(out, F.row_number().over(w).cast("long"))
-    if count_out:
-        res = res.withColumn(count_out, F.count(F.lit(1)).over(Window.partitionBy(*group)))
-    return res
-
-
-def sequence_within(df: DataFrame, group: Sequence[str], order: Sequence[str | Column],
-                    out: str = "row_number", count_out: str | None = "count",
-                    num_partitions: int | None = None, max_group_rows: int | None = None) -> DataFrame:
+def sequence_within(df: DataFrame, group: Sequence[str], order: Sequence[str | Column], cell: Column,
+                    out: str = "row_number", count_out: str | None = "count") -> DataFrame:
     """``row_number() over (partition by group order by order)`` (1-based)
     plus, optionally, the group's row count, robust to hot groups.
 
-    Group sizes come first, from a partial aggregate.  Groups larger than
-    ``max_group_rows`` (at most total / max_group_rows of them, so the list
-    is small and broadcast) are numbered from a global range sort that
-    spreads each of them over many tasks; all other groups take a plain
-    window, where no task sorts more than ``max_group_rows`` rows of one
-    group.  Rows whose group keys are null are numbered as one group.
+    ``cell`` is a coarse step of the order (equal or rising with it, such as
+    the day of a time stamp).  Rows are shuffled and numbered by (group,
+    cell), so a hot group is spread over as many tasks as it has cells; the
+    rows of a group's earlier cells, summed over one row per cell, are then
+    added.  Both uses of the shuffled rows share one exchange.  Rows whose
+    group keys are null are numbered as one group.
     """
-    cap = _max_group_rows(df, max_group_rows)
-    spark = df.sparkSession
-    sizes = df.groupBy(*group).agg(F.count(F.lit(1)).alias("_size"))
-    hot_rows = sizes.filter(F.col("_size") > cap).select(*group).collect()
-    if not hot_rows:
-        return _windowed_sequence(df, group, order, out, count_out)
-    hot = F.broadcast(spark.createDataFrame(hot_rows, df.select(*group).schema))
-    cond = lambda d: [d[g].eqNullSafe(hot[g]) for g in group]
-    cold = _windowed_sequence(df.join(hot, cond(df), "left_anti"), group, order, out, count_out)
-    warm = _ranged_sequence(df.join(hot, cond(df), "left_semi"), group, order, out, count_out,
-                            num_partitions)
-    return cold.unionByName(warm.select(*cold.columns))
+    spread = df.withColumn("_cell", cell).repartition(*group, "_cell")
+    keys = [*group, "_cell"]
+    cells = spread.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
+    earlier = Window.partitionBy(*group).orderBy(F.col("_cell").asc_nulls_first())
+    cells = (cells.withColumn("_before", F.sum("_rows").over(earlier) - F.col("_rows"))
+                  .withColumn("_total", F.sum("_rows").over(Window.partitionBy(*group)))
+                  .select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], "_before", "_total"))
+    inside = Window.partitionBy(*keys).orderBy(*_as_cols(order))
+    numbered = spread.withColumn("_inside", F.row_number().over(inside))
+    joined = numbered.join(cells, [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)])
+    res = joined.withColumn(out, F.col("_inside") + F.col("_before"))
+    if count_out:
+        res = res.withColumn(count_out, F.col("_total"))
+    return res.drop("_inside", "_cell", "_before", "_total", *[f"_k{i}" for i in range(len(keys))])
 
 
 def dense_ids(df: DataFrame, key: str, out: str, start: int = 1,

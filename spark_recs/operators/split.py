@@ -18,32 +18,29 @@ RANDOM_SEED = 2023
 TRAIN_PERCENT = 80
 
 
-def _sequenced(canon: DataFrame, order: list, num_partitions: int | None,
-               materialize: bool) -> DataFrame:
+def _sequenced(canon: DataFrame, order: list, cell, materialize: bool) -> DataFrame:
     # a null user has no per-user count and belongs to no split
     rows = canon.filter(F.col("user_id").isNotNull())
-    seq = sequence_within(rows, ["user_id"], order, "row_number", "count", num_partitions)
+    seq = sequence_within(rows, ["user_id"], order, cell)
     seq = seq.select(*SEQUENCE_COLUMNS)
-    # Train, validation, id maps and count matrices all read the sequenced
-    # log: write it once instead of repeating the join and the per-user
-    # shuffle for each of them.
+    # written only for callers that read it in several jobs; within one job
+    # its consumers share the exchange
     return schemas.materialize(seq, "sequenced") if materialize else seq
 
 
-def temporal_sequence(canon: DataFrame, num_partitions: int | None = None,
-                      materialize: bool = True) -> DataFrame:
+def temporal_sequence(canon: DataFrame, materialize: bool = False) -> DataFrame:
     """Number each user's listens by day; ties broken by every other column
     so the numbering is reproducible."""
-    return _sequenced(canon, ["timestamp", "recording_msid", "recording_mbid"], num_partitions, materialize)
+    return _sequenced(canon, ["timestamp", "recording_msid", "recording_mbid"], F.col("timestamp"), materialize)
 
 
 def random_sequence(canon: DataFrame, seed: int = RANDOM_SEED,
-                    num_partitions: int | None = None, materialize: bool = True) -> DataFrame:
+                    materialize: bool = False) -> DataFrame:
     """Number each user's listens in a seeded pseudo-random order (md5 of
     seed and row keys), independent of partitioning."""
     key = hash_key(seed, ["user_id", "recording_msid", "timestamp"])
     return _sequenced(canon.withColumn("_h", key),
-                      ["_h", "recording_msid", "timestamp", "recording_mbid"], num_partitions, materialize)
+                      ["_h", "recording_msid", "timestamp", "recording_mbid"], F.substring("_h", 1, 3), materialize)
 
 
 def train_split(seq: DataFrame, pct: int = TRAIN_PERCENT) -> DataFrame:

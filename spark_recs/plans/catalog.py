@@ -51,6 +51,14 @@ class Tables:
     def interactions(self) -> DataFrame:
         return fx.interactions(self.spark, self.sf_dir)
 
+    @cached_property
+    def log(self) -> DataFrame:
+        return fx.all_interactions(self.spark, self.sf_dir)
+
+    @cached_property
+    def canon_log(self) -> DataFrame:
+        return prepare.canonical_log(self.log, self.tracks)
+
     @cached_property
     def canon(self) -> DataFrame:
         return prepare.canonical_log(self.interactions, self.tracks)
@@ -88,7 +96,7 @@ def _seq_out(df: DataFrame) -> DataFrame:
 # ------------------------------------------------------------ sources / prep
 def scan_interactions(spark, sf_dir):
     t = Tables(spark, sf_dir)
-    return t.interactions.select(
+    return t.log.select(
         _big("user_id"), "recording_msid",
         F.date_format("timestamp", "yyyy-MM-dd HH:mm:ss").alias("timestamp"))
 
@@ -100,19 +108,19 @@ def canonical_items(spark, sf_dir):
 
 def interactions_by_day(spark, sf_dir):
     t = Tables(spark, sf_dir)
-    return (t.canon.groupBy("timestamp")
+    return (t.canon_log.groupBy("timestamp")
               .agg(F.count(F.lit(1)).alias("n_listens"), F.countDistinct("user_id").alias("n_users"))
               .select(_day("timestamp"), "n_listens", "n_users"))
 
 
 def user_interaction_counts(spark, sf_dir):
     t = Tables(spark, sf_dir)
-    return prepare.user_interaction_counts(fx.users(spark, sf_dir), t.interactions)
+    return prepare.user_interaction_counts(fx.users(spark, sf_dir), t.log)
 
 
 def item_interaction_counts(spark, sf_dir):
     t = Tables(spark, sf_dir)
-    return prepare.item_interaction_counts(t.interactions, t.tracks)
+    return prepare.item_interaction_counts(t.log, t.tracks)
 
 
 def user_percentiles(spark, sf_dir):
@@ -310,7 +318,7 @@ def events_sequence(spark, sf_dir):
     """Temporal 80 % train cut of the event log: ``ts`` is unique, so the
     per-user order is strict."""
     ev = fx.event_interactions(spark, sf_dir).filter(F.col("user_id").isNotNull())
-    seq = sequence_within(ev, ["user_id"], ["ts", "item_id"])
+    seq = sequence_within(ev, ["user_id"], ["ts", "item_id"], F.to_date("ts"))
     return split.train_split(seq).select(
         _big("user_id"), _big("item_id"),
         F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("ts"), _big("count"), _big("row_number"))
@@ -319,7 +327,7 @@ def events_sequence(spark, sf_dir):
 # ------------------------------------------------- factor scoring and ANN
 TOPK_VECTORS = 100           # neighbours per vector (the source's list length)
 ANN_TABLES, ANN_BITS, ANN_SEED = 8, 4, 20
-EVAL_K_VECTORS = 10
+EVAL_K_VECTORS = 100         # neighbours in the evaluation keys
 
 
 def _vectors(spark, sf_dir):
@@ -519,7 +527,7 @@ def _MODELS_path(spark, sf_dir, params=None):
 def als_sweep(spark, sf_dir):
     """Small grid over rank; fit / recommend / evaluate times per setting."""
     tr, va = _als_data(spark, sf_dir)
-    grid = [als.ALSParams(rank=r, max_iter=5) for r in (10, 25)]
+    grid = [als.ALSParams(rank=r) for r in (10, 25)]
     return als.sweep(tr.persist(), va.persist(), grid, ALS_K)
 
 

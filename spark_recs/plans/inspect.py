@@ -9,13 +9,3 @@ def executed_plan(df: DataFrame) -> str:
     """Formatted physical plan text (the AQE initial plan, before running)."""
     jvm = df.sparkSession.sparkContext._jvm
     return jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")
-
-
-def final_plan(df: DataFrame) -> str:
-    """Physical plan after execution (AQE's final plan)."""
-    df.write.format("noop").mode("overwrite").save()
-    return df._jdf.queryExecution().executedPlan().toString()
-
-
-def has_single_partition_exchange(df: DataFrame) -> bool:
-    return "SinglePartition" in executed_plan(df)

@@ -16,6 +16,10 @@ canon AS (
   SELECT i.user_id, i.recording_msid, CAST(i."timestamp" AS DATE) AS "timestamp",
          coalesce(t.recording_mbid, i.recording_msid) AS recording_mbid
   FROM interactions_v i JOIN tracks t ON t.recording_msid = i.recording_msid),
+canon_log AS (
+  SELECT i.user_id, i.recording_msid, CAST(i."timestamp" AS DATE) AS "timestamp",
+         coalesce(t.recording_mbid, i.recording_msid) AS recording_mbid
+  FROM all_interactions i JOIN tracks t ON t.recording_msid = i.recording_msid),
 test_canon AS (
   SELECT i.user_id, i.recording_msid, CAST(i."timestamp" AS DATE) AS "timestamp",
          coalesce(t.recording_mbid, i.recording_msid) AS recording_mbid
@@ -116,18 +120,18 @@ def oracle_sql() -> dict[str, str]:
     pct = ", ".join(f"CAST(quantile_disc(interaction_count, {p / 100.0}) AS BIGINT) AS {name}"
                     for p, name in zip(PERCENTILES, percentile_columns()))
     user_counts = ("SELECT u.user_id, count(i.recording_msid) AS interaction_count "
-                   "FROM users_v u JOIN interactions_v i ON i.user_id = u.user_id GROUP BY u.user_id")
+                   "FROM users_v u JOIN all_interactions i ON i.user_id = u.user_id GROUP BY u.user_id")
     item_counts = ("SELECT coalesce(t.recording_mbid, i.recording_msid) AS recording_mbid, "
-                   "count(t.track_name) AS interaction_count FROM interactions_v i "
+                   "count(t.track_name) AS interaction_count FROM all_interactions i "
                    "JOIN tracks t ON t.recording_msid = i.recording_msid GROUP BY 1")
     sub_users = f"(SELECT * FROM train WHERE {_hash_unit(SAMPLE_SEED, ['user_id'], 100)} < 50)"
     q = {
         "scan_interactions": _q('SELECT CAST(user_id AS BIGINT) AS user_id, recording_msid, '
-                                'strftime("timestamp", \'%Y-%m-%d %H:%M:%S\') AS "timestamp" FROM interactions_v'),
+                                'strftime("timestamp", \'%Y-%m-%d %H:%M:%S\') AS "timestamp" FROM all_interactions'),
         "canonical_items": _q('SELECT CAST(user_id AS BIGINT) AS user_id, recording_msid, '
                               'CAST("timestamp" AS VARCHAR) AS "timestamp", recording_mbid FROM canon'),
         "interactions_by_day": _q('SELECT CAST("timestamp" AS VARCHAR) AS "timestamp", count(*) AS n_listens, '
-                                  'count(DISTINCT user_id) AS n_users FROM canon GROUP BY "timestamp"'),
+                                  'count(DISTINCT user_id) AS n_users FROM canon_log GROUP BY "timestamp"'),
         "user_interaction_counts": _q(user_counts),
         "item_interaction_counts": _q(item_counts),
         "user_percentiles": _q(f"SELECT {pct} FROM ({user_counts})"),
@@ -219,7 +223,7 @@ def oracle_sql() -> dict[str, str]:
 
 
 # ----------------------------------------------------------- vector queries
-TOPK_VECTORS, EVAL_K_VECTORS = 100, 10
+TOPK_VECTORS, EVAL_K_VECTORS = 100, 100
 ANN_TABLES, ANN_BITS, ANN_SEED = 8, 4, 20
 
 
@@ -249,7 +253,7 @@ vec_scores AS (
          CAST(q.id % {USER_BIAS_MOD} AS DOUBLE) / 100.0 AS ub, CAST(i.id % {ITEM_BIAS_MOD} AS DOUBLE) / 100.0 AS ib
   FROM factors q JOIN factors i ON q.id <> i.id),
 exact_k AS ({topk("vec_scores", TOPK_VECTORS)}),
-exact_10 AS ({topk("vec_scores", EVAL_K_VECTORS)}),
+exact_e AS ({topk("vec_scores", EVAL_K_VECTORS)}),
 biased_k AS ({topk("(SELECT user_id, item_id, score + ub + ib AS score FROM vec_scores)", TOPK_VECTORS)}),
 qcodes AS (
   SELECT id AS user_id, unnest(range({ANN_TABLES})) AS "table", unnest(codes) AS code
@@ -265,7 +269,7 @@ ann_scored AS (
   SELECT p.user_id, p.item_id, list_inner_product(q.features, i.features) AS score
   FROM ann_pairs p JOIN factors q ON q.id = p.user_id JOIN factors i ON i.id = p.item_id),
 ann_k AS ({topk("ann_scored", TOPK_VECTORS)}),
-ann_10 AS ({topk("ann_scored", EVAL_K_VECTORS)})
+ann_e AS ({topk("ann_scored", EVAL_K_VECTORS)})
 """
 
 
@@ -277,9 +281,9 @@ def _vector_sql(dim: int = 64) -> dict[str, str]:
 
     recs = lambda src: (f'SELECT CAST(user_id AS BIGINT) AS user_id, CAST("rank" AS BIGINT) AS "rank", '
                         f"CAST(item_id AS BIGINT) AS item_id, round(score, 6) AS score FROM {src}")
-    inner_hits = "(SELECT a.user_id, a.\"rank\" FROM ann_10 a JOIN exact_10 e ON e.user_id = a.user_id AND e.item_id = a.item_id)"
-    inner_pop = ("(SELECT user_id, count(DISTINCT item_id) AS n_labels FROM exact_10 "
-                 "WHERE user_id IN (SELECT user_id FROM ann_10) GROUP BY user_id)")
+    inner_hits = "(SELECT a.user_id, a.\"rank\" FROM ann_e a JOIN exact_e e ON e.user_id = a.user_id AND e.item_id = a.item_id)"
+    inner_pop = ("(SELECT user_id, count(DISTINCT item_id) AS n_labels FROM exact_e "
+                 "WHERE user_id IN (SELECT user_id FROM ann_e) GROUP BY user_id)")
     return {
         "exact_topk": q(recs("exact_k")),
         "biased_topk": q(recs("biased_k")),
@@ -288,7 +292,7 @@ def _vector_sql(dim: int = 64) -> dict[str, str]:
         "ann_candidates": q("SELECT CAST(user_id AS BIGINT) AS user_id, CAST(item_id AS BIGINT) AS item_id FROM ann_pairs"),
         "ann_topk": q(recs("ann_k")),
         "ann_recall": q("SELECT round(count(a.user_id) / count(*), 6) AS recall, count(DISTINCT e.user_id) AS n_queries "
-                        "FROM exact_10 e LEFT JOIN ann_10 a ON a.user_id = e.user_id AND a.item_id = e.item_id"),
+                        "FROM exact_e e LEFT JOIN ann_e a ON a.user_id = e.user_id AND a.item_id = e.item_id"),
         "eval_topk_inner": q(_metric_row(_per_user(inner_hits, inner_pop, EVAL_K_VECTORS))),
         "eval_stored_recs": q(_metric_row(_per_user(inner_hits, inner_pop, EVAL_K_VECTORS))),
     }

@@ -15,7 +15,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Fixed values of the fixture mapping (FIXTURES.md part B).
-MISSING_TRACK_MOD = 97      # parts with key % 97 == 0 have no track row
 NULL_NAME_MOD = 13          # key % 13 == 0 -> null track_name
 MBID_MOD, MBID_BELOW = 10, 7  # key % 10 < 7 -> mbid present, shared by key pairs
 TEST_CUTOFF = dt.datetime(2000, 6, 1)  # listens on/after this day form the test set
@@ -28,8 +27,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def tracks(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand")
     key = F.col("p_partkey")
-    return (p.filter(key % MISSING_TRACK_MOD != 0)
-             .select(F.concat(F.lit("ms-"), key.cast("string")).alias("recording_msid"),
+    return (p.select(F.concat(F.lit("ms-"), key.cast("string")).alias("recording_msid"),
                      F.col("p_brand").alias("artist_name"),
                      F.when(key % NULL_NAME_MOD == 0, F.lit(None).cast("string"))
                       .otherwise(F.col("p_name")).alias("track_name"),
@@ -43,7 +41,8 @@ def users(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("c_custkey").alias("user_id"), F.col("c_name").alias("user_name"))
 
 
-def _all_interactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+def all_interactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole log."""
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey")
     return (o.join(li, o.o_orderkey == li.l_orderkey)
@@ -54,12 +53,12 @@ def _all_interactions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def interactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The training log (listens before the cutoff): train + validation."""
-    return _all_interactions(spark, sf_dir).filter(F.col("timestamp") < F.lit(TEST_CUTOFF))
+    return all_interactions(spark, sf_dir).filter(F.col("timestamp") < F.lit(TEST_CUTOFF))
 
 
 def interactions_test(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Held-out listens on or after the cutoff."""
-    return _all_interactions(spark, sf_dir).filter(F.col("timestamp") >= F.lit(TEST_CUTOFF))
+    return all_interactions(spark, sf_dir).filter(F.col("timestamp") >= F.lit(TEST_CUTOFF))
 
 
 def event_interactions(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -101,7 +100,7 @@ tracks AS (
          CASE WHEN p_partkey % {NULL_NAME_MOD} = 0 THEN NULL ELSE p_name END AS track_name,
          CASE WHEN p_partkey % {MBID_MOD} < {MBID_BELOW}
               THEN 'mb-' || CAST(p_partkey - p_partkey % 2 AS VARCHAR) END AS recording_mbid
-  FROM part WHERE p_partkey % {MISSING_TRACK_MOD} <> 0),
+  FROM part),
 users_v AS (SELECT c_custkey AS user_id, c_name AS user_name FROM customer),
 all_interactions AS (
   SELECT o_custkey AS user_id, 'ms-' || CAST(l_partkey AS VARCHAR) AS recording_msid,

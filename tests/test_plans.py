@@ -11,21 +11,11 @@ def test_dense_ids_have_no_single_partition_exchange(spark):
     assert "SinglePartition" not in plan
 
 
-def test_hot_users_leave_the_per_user_window(spark):
-    from pyspark.sql import functions as F
-    from spark_recs.operators.sequence import sequence_within
-    t = catalog.Tables(spark, SF_SMALL)
-    # budget of 40 rows per user: the heavy users are numbered by the range sort
-    seq = sequence_within(t.canon, ["user_id"], ["timestamp", "recording_msid", "recording_mbid"],
-                          max_group_rows=40)
+def test_sequence_shuffles_rows_once_by_user_and_day(spark):
+    seq = catalog.Tables(spark, SF_SMALL).seq
     plan = executed_plan(seq)
-    # ordinary users: broadcast anti join with the hot list, then one window;
-    # hot users: read back from the range-sorted table (semi join ran in its write)
-    assert "BroadcastHashJoin LeftAnti" in plan and "Union" in plan
-    assert "Window" in plan and "Scan parquet" in plan
-    heavy = t.canon.groupBy("user_id").count().filter(F.col("count") > 40).count()
-    assert heavy > 0
-    assert seq.count() == t.canon.count()
+    assert "hashpartitioning(user_id" in plan and "ReusedExchange" in plan
+    assert "row_number() windowspecdefinition(user_id" in plan
 
 
 def test_topk_is_partial_before_exchange(spark):
@@ -45,7 +35,7 @@ def test_scan_prunes_columns(spark):
 
 
 def test_cutoff_filter_pushed_to_scan(spark):
-    plan = executed_plan(catalog.scan_interactions(spark, SF_SMALL))
+    plan = executed_plan(catalog.canonical_items(spark, SF_SMALL))
     assert "PushedFilters: [IsNotNull(o_orderdate), LessThan(o_orderdate" in plan
 
 

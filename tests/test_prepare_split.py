@@ -67,10 +67,9 @@ def test_sequence_independent_of_partitions_and_hot_user(spark):
     w = Window.partitionBy("user_id").orderBy("timestamp", "recording_msid", "recording_mbid")
     expect = canon.withColumn("row_number", F.row_number().over(w).cast("long"))
     cols = ["user_id", "recording_msid", "timestamp", "recording_mbid", "row_number"]
-    for n, cap in ((1, 50), (8, 50), (64, 50), (8, None)):
-        # cap=50: user 7 (400 rows) is hot and takes the range-sort path
-        got = sequence_within(canon, ["user_id"], ["timestamp", "recording_msid", "recording_mbid"],
-                              num_partitions=n, max_group_rows=cap).select(*cols)
+    for n, cell in ((1, F.col("timestamp")), (64, F.col("timestamp")), (8, F.trunc("timestamp", "month")), (8, F.lit(0))):
+        got = sequence_within(canon.repartition(n), ["user_id"], ["timestamp", "recording_msid", "recording_mbid"],
+                              cell).select(*cols)
         assert got.exceptAll(expect.select(*cols)).count() == 0
         assert expect.select(*cols).exceptAll(got).count() == 0
 

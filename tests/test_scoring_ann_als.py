@@ -29,7 +29,7 @@ def _brute(U, V, k, ub=None, ib=None, exclude=()):
 def test_blocked_topk_matches_brute_force(spark):
     users, U = _vectors(spark, 37, 8, 1)
     items, V = _vectors(spark, 53, 8, 2, scale=True)
-    got = scoring.blocked_topk(users, items, 5, max_tile_cells=60, max_item_block=12).collect()
+    got = scoring.blocked_topk(users, items, 5, max_tile_cells=60, max_block=12).collect()
     by_user = {}
     for r in sorted(got, key=lambda r: (r.user_id, r.rank)):
         by_user.setdefault(r.user_id, []).append(r.item_id)
@@ -42,7 +42,7 @@ def test_blocked_topk_biases_and_exclusions(spark):
     ex_pairs = {(u, (u * 7) % 30) for u in range(20)} | {(3, i) for i in range(25)}
     ex = spark.createDataFrame(sorted(ex_pairs), "user_id long, item_id long")
     got = scoring.blocked_topk(users, items, 4, user_bias=F.col("id") % 7 / 100.0,
-                               item_bias=F.col("id") % 11 / 100.0, exclude=ex, max_tile_cells=40, max_item_block=8).collect()
+                               item_bias=F.col("id") % 11 / 100.0, exclude=ex, max_tile_cells=40, max_block=8).collect()
     by_user = {}
     for r in sorted(got, key=lambda r: (r.user_id, r.rank)):
         by_user.setdefault(r.user_id, []).append(r.item_id)
@@ -55,7 +55,7 @@ def test_ann_zero_bits_is_exact(spark):
     vecs, X = _vectors(spark, 40, 5, 5, scale=True)
     planes = ann.hyperplanes(5, 1, 0, 0)
     got = ann.rescore_topk(ann.candidates(vecs, vecs, planes, exclude_self=True), vecs, vecs, 3)
-    exact = scoring.blocked_topk(vecs, vecs, 3, exclude_self=True, max_tile_cells=100, max_item_block=16)
+    exact = scoring.blocked_topk(vecs, vecs, 3, exclude_self=True, max_tile_cells=100, max_block=16)
     a = {(r.user_id, r.rank, r.item_id) for r in got.collect()}
     b = {(r.user_id, r.rank, r.item_id) for r in exact.collect()}
     assert a == b
@@ -133,3 +133,21 @@ def test_users_beyond_int_are_encoded_and_decoded(spark):
     got = {r.user_id for r in recs.select("user_id").distinct().collect()}
     assert got == {big + u for u in range(8)}
     assert recs.columns[0] == "user_id"
+
+
+def test_blocks_copy_each_vector_a_few_times():
+    bu, bi = scoring.block_counts(8_000, 23_000_000, 400)
+    assert bu <= 2 and bi <= 400
+    bu, bi = scoring.block_counts(1_000_000, 1_000_000, 400)
+    assert bu <= 32 and bi <= 32 and bu * bi >= 256
+
+
+def test_tile_scores_stay_within_the_bound(monkeypatch):
+    import numpy as np
+    import pandas as pd
+    seen = []
+    plain = scoring._rows_topk
+    monkeypatch.setattr(scoring, "_rows_topk", lambda s, i, k: seen.append(s.size) or plain(s, i, k))
+    side = lambda n, c: pd.DataFrame({c: range(n), "features": [np.ones(3) * j for j in range(n)], "bias": 0.0})
+    out = scoring._tile_topk(2, False, max_tile_cells=50)(side(30, "user_id"), side(20, "item_id").assign(kind=0, user_id=None))
+    assert max(seen) <= 50 and len(out) == 60
