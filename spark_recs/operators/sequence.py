@@ -74,10 +74,11 @@ def sequence_within(df: DataFrame, group: Sequence[str], order: Sequence[str | C
     the day of a time stamp).  Rows are shuffled and numbered by (group,
     cell), so a hot group is spread over as many tasks as it has cells; the
     rows of a group's earlier cells, summed over one row per cell, are then
-    added.  Both uses of the shuffled rows share one exchange.  Rows whose
-    group keys are null are numbered as one group.
+    added.  The input is read twice: once whole, once for the keys alone,
+    whose counts are combined before their shuffle.  Rows whose group keys
+    are null are numbered as one group.
     """
-    spread = df.withColumn("_cell", cell).repartition(*group, "_cell")
+    spread = df.withColumn("_cell", cell)
     keys = [*group, "_cell"]
     cells = spread.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
     earlier = Window.partitionBy(*group).orderBy(F.col("_cell").asc_nulls_first())

@@ -23,8 +23,7 @@ def _sequenced(canon: DataFrame, order: list, cell, materialize: bool) -> DataFr
     rows = canon.filter(F.col("user_id").isNotNull())
     seq = sequence_within(rows, ["user_id"], order, cell)
     seq = seq.select(*SEQUENCE_COLUMNS)
-    # written only for callers that read it in several jobs; within one job
-    # its consumers share the exchange
+    # written only for callers that read it in several jobs
     return schemas.materialize(seq, "sequenced") if materialize else seq
 
 
