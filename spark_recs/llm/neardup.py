@@ -199,10 +199,10 @@ def _candidates(batches):
 def _to_sets(k: int):
     def run(batches):
         for b in batches:
-            raw, offsets = text_buffers(b.column(2))
+            raw, offsets = text_buffers(b.column(3))
             for i, j in row_slices(offsets):
                 sets = sets_of(raw, offsets[i: j + 1], k)
-                yield pa.RecordBatch.from_arrays([b.column(0).slice(i, j - i), b.column(1).slice(i, j - i), pa.array([s.tobytes() for s in sets], pa.binary())], ["id", "cluster", "set"])
+                yield pa.RecordBatch.from_arrays([*[c.slice(i, j - i) for c in b.columns[:3]], pa.array([s.tobytes() for s in sets], pa.binary())], ["id", "cluster", "blocks", "set"])
     return run
 
 
@@ -244,13 +244,14 @@ def links(docs: DataFrame, members: DataFrame, k: int = SHINGLE, num: int = NUM,
     `members` (id, cluster, n)."""
     size = members.groupBy("cluster").agg(F.count(F.lit(1)).alias("rows"), F.sum("n").alias("shingles"))
     blocks = F.greatest(F.ceil(F.col("rows") / BLOCK_ROWS), F.ceil(F.col("shingles") / BLOCK_SHINGLES)).cast("int")
-    # written, so that both sides of the join below are shuffled for it and a hot cluster can be split
     size = materialize(size.select("cluster", blocks.alias("blocks")), "cluster-sizes")
-    # sort-merge joins at every size: these sides grow with the corpus, and a hot cluster's partition can be split
-    texts = docs.select(F.col("doc_id").cast("long").alias("id"), "text").join(members.hint("merge"), "id").select("id", "cluster", "text")
-    sets = texts.mapInArrow(_to_sets(k), "id long, cluster long, set binary")
+    # light rows get their cluster's blocks; sort-merge joins at every size, as these sides grow with the
+    # corpus and a hot cluster's partition can be split; the sets are then shuffled once, by block pair
+    placed = members.join(size.hint("merge"), "cluster").select("id", "cluster", "blocks")
+    texts = docs.select(F.col("doc_id").cast("long").alias("id"), "text").join(placed.hint("merge"), "id")
+    sets = texts.select("id", "cluster", "blocks", "text").mapInArrow(_to_sets(k), "id long, cluster long, blocks int, set binary")
     own = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
-    dealt = (sets.join(size.hint("merge"), "cluster").withColumn("own", own)
+    dealt = (sets.withColumn("own", own)
                  .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
                  .select("id", "set", "cluster", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j")))
     return dealt.groupBy("cluster", "i", "j").applyInPandas(_verify(num, den), "a long, b long")
