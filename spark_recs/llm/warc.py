@@ -89,14 +89,14 @@ def write_archive(pages: DataFrame, root: str | None = None, min_revisit: int =
     (records.select("page_id", "sha256", F.encode(_header(), "UTF-8").alias("header"))
             .write.parquet(f"{root}/records"))
 
-    # a payload is stored by the page its digest refers to; rows without a page_id, or
-    # with a page_id that several rows share, bring their own
+    # a payload is stored by the page that its digest refers to, without a page_id by any of its rows;
+    # equal rows are dropped by the join's own keys, so no payload is shuffled twice
     own = src.withColumn("sha256", F.sha2("payload", 256)).select("page_id", "sha256", "payload")
     named = own.join(refs.filter("ref IS NOT NULL").select(F.col("ref").alias("page_id"), "sha256"),
                      ["page_id", "sha256"], "left_semi")
     nameless = own.filter("page_id IS NULL").join(refs.filter("ref IS NULL"), "sha256", "left_semi")
-    (named.unionByName(nameless).dropDuplicates(["sha256"]).select("sha256", "payload")
-          .write.parquet(f"{root}/payloads"))
+    (named.dropDuplicates(["page_id", "sha256"]).unionByName(nameless.dropDuplicates(["sha256"]))
+          .select("sha256", "payload").write.parquet(f"{root}/payloads"))
     return root
 
 
