@@ -3,28 +3,29 @@
 Items are augmented with ``sqrt(M² - |x|²)`` (M = largest item norm) and
 queries with 0, which turns inner-product order into cosine order; each of
 ``tables`` hash tables takes the sign pattern of ``bits`` random hyperplanes
-as a bucket code.  Candidates are the (query, item) pairs sharing a bucket
-in any table — an equi join on (table, code) — and are re-scored exactly
-before the per-query top-k.  More tables raise recall, more bits shrink
-buckets; zero bits puts everything in one bucket (exact search).
+as a bucket code.  The bits grow with the number of items, so that a bucket
+holds about ``bucket_items`` of them whatever the table's size.  A query looks
+into its own bucket and into those whose code differs in up to ``flips`` bits.
+More tables and flips raise recall; zero bits puts everything in one bucket
+(exact search).
 
 Top-k never ships vectors per candidate pair.  Query and item vectors are
-cogrouped per bucket (table, code) and each bucket is scored as one dense
-tile (NumPy matmul) keeping each query's best k; the per-table lists are
-then de-duplicated and cut to k.  This is exact over the candidate union:
-an item in the union's top-k is in the top-k of every bucket it shares with
-the query.
+cogrouped per bucket (table, code) and scored a bounded tile at a time (NumPy
+matmul), keeping each query's best k; the lists of all buckets are then
+de-duplicated and cut to k.  This is exact over the candidate union: an item in
+the union's top-k is in the top-k of every bucket it shares with the query.
+Queries that meet fewer than k items are searched exactly, so that every list
+holds min(k, items).
 
 Hot buckets are split on both sides: a bucket with more than
 ``bucket_rows`` items (queries) is spread over ``ceil(n / bucket_rows)``
-item (query) salts, and each side is replicated over the other side's
-salts, so a tile holds at most ``bucket_rows``² scores.  The salt table has
-at most tables · 2^bits rows, a bound fixed by the parameters, so it is
-broadcast.
+item (query) salts, and each side is replicated over the other side's salts.
 """
 
 from __future__ import annotations
 
+from itertools import combinations
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
@@ -32,23 +33,35 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from spark_recs.functions.columns import dot
-from spark_recs.operators.scoring import _OUT, _tile_topk
+from spark_recs.operators.scoring import _OUT, _tile_topk, blocked_topk
+from spark_recs.session import scratch_path
 
-DEFAULT_BUCKET_ROWS = 50_000
+DEFAULT_BUCKET_ROWS = 8_192
+BUCKET_ITEMS = 256            # items aimed at per bucket
 
 
 def hyperplanes(dim: int, tables: int, bits: int, seed: int) -> np.ndarray:
     """(tables, bits, dim + 1) normal hyperplanes, rounded to 6 places so the
-    same constants can be written into SQL."""
+    same constants can be written into SQL.  Fewer bits are a prefix of more."""
     rs = np.random.RandomState(seed)
-    return np.round(rs.standard_normal((tables, bits, dim + 1)), 6)
+    return np.round(rs.standard_normal((bits, tables, dim + 1)), 6).transpose(1, 0, 2)
+
+
+def index_bits(n_items: int, bucket_items: int = BUCKET_ITEMS) -> int:
+    """Least bits at which a bucket holds ``bucket_items`` items on average."""
+    return max(0, -(-n_items // bucket_items) - 1).bit_length()
+
 
+def probe_masks(bits: int, flips: int) -> list[int]:
+    """What a query's code is xor-ed with: every choice of up to ``flips`` bits."""
+    return [sum(1 << j for j in c) for f in range(min(flips, bits) + 1) for c in combinations(range(bits), f)]
 
-def item_stats(items: DataFrame) -> tuple[float, int]:
-    """(largest squared item norm, vector length) in one small action."""
+
+def item_stats(items: DataFrame) -> tuple[float, int, int]:
+    """(largest squared item norm, vector length, items) in one small action."""
     row = items.agg(F.max(dot(F.col("features"), F.col("features"))).alias("m2"),
-                    F.max(F.size("features")).alias("dim")).first()
-    return float(row["m2"] or 0.0), int(row["dim"] or 0)
+                    F.max(F.size("features")).alias("dim"), F.count(F.lit(1)).alias("n")).first()
+    return float(row["m2"] or 0.0), int(row["dim"] or 0), int(row["n"])
 
 
 def _codes_udf(planes: np.ndarray, m2: float | None):
@@ -77,26 +90,30 @@ def _codes_udf(planes: np.ndarray, m2: float | None):
     return codes
 
 
-def bucket_codes(df: DataFrame, planes: np.ndarray, m2: float | None, keep=()) -> DataFrame:
-    """(id, table, code, *keep): one row per vector and table.  ``m2`` is
-    the items' largest squared norm (item side) or None (query side)."""
+def bucket_codes(df: DataFrame, planes: np.ndarray, m2: float | None, keep=(), flips: int = 0) -> DataFrame:
+    """(id, table, code, *keep): one row per vector, table and probed code.
+    ``m2`` is the items' largest squared norm (item side) or None (query side)."""
     codes = _codes_udf(planes, m2)(F.col("features"))
-    return df.select("id", *keep, F.posexplode(codes).alias("table", "code"))
+    rows = df.select("id", *keep, F.posexplode(codes).alias("table", "code"))
+    masks = probe_masks(planes.shape[1], flips)
+    if len(masks) == 1:
+        return rows
+    probes = F.explode(F.array(*[F.lit(m).cast("long") for m in masks])).alias("mask")
+    return (rows.select("id", *keep, "table", "code", probes)
+                .select("id", *keep, "table", F.col("code").bitwiseXOR(F.col("mask")).alias("code")))
 
 
-def _salted(queries: DataFrame, items: DataFrame, planes: np.ndarray, bucket_rows: int,
-            keep=()) -> tuple[DataFrame, DataFrame]:
+def _salted(queries: DataFrame, items: DataFrame, planes: np.ndarray, m2: float, flips: int,
+            bucket_rows: int) -> tuple[DataFrame, DataFrame]:
     """Both sides keyed by (table, code, qs, is) with hot buckets split."""
-    m2, _ = item_stats(items)
-    qc = bucket_codes(queries, planes, None, keep).withColumnRenamed("id", "user_id")
-    ic = bucket_codes(items, planes, m2, keep).withColumnRenamed("id", "item_id")
+    qc = bucket_codes(queries, planes, None, ("features",), flips).withColumnRenamed("id", "user_id")
+    ic = bucket_codes(items, planes, m2, ("features",)).withColumnRenamed("id", "item_id")
     qn = qc.groupBy("table", "code").agg(F.count(F.lit(1)).alias("nq"))
     iN = ic.groupBy("table", "code").agg(F.count(F.lit(1)).alias("ni"))
     salts = (qn.join(iN, ["table", "code"])
                .select("table", "code",
                        F.ceil(F.col("nq") / F.lit(bucket_rows)).cast("int").alias("q_salts"),
                        F.ceil(F.col("ni") / F.lit(bucket_rows)).cast("int").alias("i_salts")))
-    salts = F.broadcast(salts)  # at most tables * 2^bits rows
     qs = (qc.join(salts, ["table", "code"])
             .withColumn("qs", F.pmod(F.xxhash64("user_id"), F.col("q_salts")).cast("int"))
             .withColumn("is", F.explode(F.sequence(F.lit(0), F.col("i_salts") - 1))))
@@ -106,26 +123,16 @@ def _salted(queries: DataFrame, items: DataFrame, planes: np.ndarray, bucket_row
     return qs, is_
 
 
-def candidates(queries: DataFrame, items: DataFrame, planes: np.ndarray,
-               exclude_self: bool = True, bucket_rows: int = DEFAULT_BUCKET_ROWS) -> DataFrame:
-    """Distinct (user_id, item_id) pairs that share a bucket in some table."""
-    qs, is_ = _salted(queries, items, planes, bucket_rows)
-    pairs = qs.join(is_, ["table", "code", "qs", "is"]).select(
-        F.col("user_id").cast("long"), F.col("item_id").cast("long"))
-    if exclude_self:
-        pairs = pairs.filter(F.col("user_id") != F.col("item_id"))
-    return pairs.distinct()
-
-
-def rescore_topk(pairs: DataFrame, queries: DataFrame, items: DataFrame, k: int) -> DataFrame:
-    """Exact inner product for given candidate pairs, then the per-query
-    top-k: (user_id, rank, item_id, score).  For small pair lists; the
-    bucketed path in ``ann_topk`` avoids shipping vectors per pair."""
-    q = queries.select(F.col("id").cast("long").alias("user_id"), F.col("features").alias("qf"))
-    i = items.select(F.col("id").cast("long").alias("item_id"), F.col("features").alias("if_"))
-    scored = (pairs.join(q, "user_id").join(i, "item_id")
-                   .select("user_id", "item_id", dot(F.col("qf"), F.col("if_")).alias("score")))
-    return _final_topk(scored, k)
+def candidate_counts(queries: DataFrame, items: DataFrame, tables: int, seed: int, bits: int | None = None,
+                     flips: int = 1, bucket_items: int = BUCKET_ITEMS) -> DataFrame:
+    """(user_id, n_buckets, n_candidates): buckets probed that hold items, and
+    the items in them, a query itself and repeats between tables included."""
+    m2, dim, n = item_stats(items)
+    planes = hyperplanes(dim, tables, index_bits(n, bucket_items) if bits is None else bits, seed)
+    sizes = bucket_codes(items, planes, m2).groupBy("table", "code").agg(F.count(F.lit(1)).alias("ni"))
+    probes = bucket_codes(queries, planes, None, flips=flips)
+    return (probes.join(sizes, ["table", "code"], "left").groupBy(F.col("id").cast("long").alias("user_id"))
+                  .agg(F.count("ni").alias("n_buckets"), F.coalesce(F.sum("ni"), F.lit(0)).alias("n_candidates")))
 
 
 def _final_topk(scored: DataFrame, k: int) -> DataFrame:
@@ -134,12 +141,17 @@ def _final_topk(scored: DataFrame, k: int) -> DataFrame:
                   .filter(F.col("rank") <= k).select("user_id", "rank", "item_id", "score"))
 
 
-def ann_topk(queries: DataFrame, items: DataFrame, k: int, tables: int, bits: int, seed: int,
-             exclude_self: bool = True, bucket_rows: int = DEFAULT_BUCKET_ROWS) -> DataFrame:
-    """Per-query top-k among bucket-mates, scored bucket by bucket."""
-    _, dim = item_stats(items)
-    planes = hyperplanes(dim, tables, bits, seed)
-    qs, is_ = _salted(queries, items, planes, bucket_rows, keep=("features",))
+def ann_topk(queries: DataFrame, items: DataFrame, k: int, tables: int, seed: int, bits: int | None = None,
+             flips: int = 1, exclude_self: bool = True, bucket_items: int = BUCKET_ITEMS,
+             bucket_rows: int = DEFAULT_BUCKET_ROWS, complete: bool = True) -> DataFrame:
+    """Per-query top-k among the items of the probed buckets; exact for
+    queries that meet fewer than k.  The first lists are written once, as the
+    second search depends on them.  With ``complete=False`` such queries keep
+    what their buckets hold, in one lazy pass."""
+    spark = queries.sparkSession
+    m2, dim, n = item_stats(items)
+    planes = hyperplanes(dim, tables, index_bits(n, bucket_items) if bits is None else bits, seed)
+    qs, is_ = _salted(queries, items, planes, m2, flips, bucket_rows)
     # fresh column ids on each side: queries and items may be one frame
     left = qs.select("table", "code", "qs", "is", "user_id", F.col("features").alias("features"),
                      F.lit(0.0).alias("bias"))
@@ -148,9 +160,17 @@ def ann_topk(queries: DataFrame, items: DataFrame, k: int, tables: int, bits: in
     keys = ["table", "code", "qs", "is"]
     partial = (left.groupBy(*keys).cogroup(right.groupBy(*keys))
                    .applyInPandas(_tile_topk(k, exclude_self), _OUT))
-    # the same pair can come from several tables with the same score
+    # the same pair can come from several buckets with the same score
     dedup = partial.groupBy("user_id", "item_id").agg(F.max("score").alias("score"))
-    return _final_topk(dedup, k)
+    if not complete:
+        return _final_topk(dedup, k)
+    path = scratch_path(spark, "ann_lists")
+    _final_topk(dedup, k).write.parquet(path)
+    found = spark.read.parquet(path)
+    full = found.filter(F.col("rank") == k).select("user_id")
+    rest = queries.join(full.select(F.col("user_id").alias("id")), "id", "left_anti")
+    return (found.join(full, "user_id", "left_semi").select("user_id", "rank", "item_id", "score")
+                 .unionByName(blocked_topk(rest, items, k, exclude_self=exclude_self)))
 
 
 def recall_at_k(approx: DataFrame, exact: DataFrame) -> DataFrame:

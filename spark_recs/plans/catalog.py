@@ -9,11 +9,13 @@ arrays are exploded or joined into text so values compare exactly.
 from __future__ import annotations
 
 from functools import cached_property
+from itertools import product
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from spark_recs.functions.columns import dot
 from spark_recs.operators import als, ann, ids, matrix, metrics, popularity, prepare, scoring, split
 from spark_recs.operators.sequence import sequence_within
 from spark_recs.session import scratch_path
@@ -252,8 +254,13 @@ def matrix_shape(spark, sf_dir):
 
 def matrix_shape_approx(spark, sf_dir):
     """Matrix shape from HyperLogLog++ sketches (``approx_count_distinct``,
-    1 % relative error): mergeable partial aggregates, no distinct shuffle."""
-    return matrix.matrix_shape(Tables(spark, sf_dir).train, approx=True, rsd=0.01)
+    1 % standard error): whether both counts lie within five errors (or one) of
+    the exact shape."""
+    train = Tables(spark, sf_dir).train
+    approx = matrix.matrix_shape(train, approx=True, rsd=0.01).withColumnsRenamed({"num_users": "_u", "num_items": "_i"})
+    near = lambda a, b: F.abs(F.col(a) - F.col(b)) <= F.greatest(0.05 * F.col(b), F.lit(1.0))
+    both = matrix.matrix_shape(train).withColumn("_one", F.lit(1)).join(approx.withColumn("_one", F.lit(1)), "_one")
+    return both.select("num_users", "num_items", (near("_u", "num_users") & near("_i", "num_items")).alias("within_error"))
 
 
 def interactions_coo(spark, sf_dir):
@@ -326,7 +333,7 @@ def events_sequence(spark, sf_dir):
 
 # ------------------------------------------------- factor scoring and ANN
 TOPK_VECTORS = 100           # neighbours per vector (the source's list length)
-ANN_TABLES, ANN_BITS, ANN_SEED = 8, 4, 20
+ANN_TABLES, ANN_SEED = 8, 20
 EVAL_K_VECTORS = 100         # neighbours in the evaluation keys
 
 
@@ -341,7 +348,7 @@ def _exact(spark, sf_dir, k=TOPK_VECTORS):
 
 def _ann(spark, sf_dir, k=TOPK_VECTORS):
     v = _vectors(spark, sf_dir)
-    return ann.ann_topk(v, v, k, ANN_TABLES, ANN_BITS, ANN_SEED, exclude_self=True)
+    return ann.ann_topk(v, v, k, ANN_TABLES, ANN_SEED, exclude_self=True)
 
 
 def _recs_out(df: DataFrame) -> DataFrame:
@@ -368,9 +375,9 @@ def recs_long(spark, sf_dir):
 
 
 def ann_candidates(spark, sf_dir):
+    """How many items each query meets in the buckets that it probes."""
     v = _vectors(spark, sf_dir)
-    planes = ann.hyperplanes(len(v.select("features").first()[0]), ANN_TABLES, ANN_BITS, ANN_SEED)
-    return ann.candidates(v, v, planes, exclude_self=True)
+    return ann.candidate_counts(v, v, ANN_TABLES, ANN_SEED)
 
 
 def ann_topk(spark, sf_dir):
@@ -394,6 +401,8 @@ def eval_topk_inner(spark, sf_dir):
 # -------------------------------------------------------------------- ALS
 ALS_K = 100
 ALS_SUBSET_K = 20
+ALS_ANN_FLIPS, ANN_RECALL = 2, 0.9
+SWEEP = ((10, 25), (0.5, 1.0), (0.05, 0.1))  # rank, alpha, reg
 _MODELS: dict = {}
 
 
@@ -408,7 +417,7 @@ def _als_model(spark, sf_dir, params=None):
     """Fitted model for (session, tables, params); fitted once per session
     and kept in the model store, as the source trains once and reloads."""
     params = params or als.ALSParams()
-    key = (id(spark.sparkContext), sf_dir, params)
+    key = (spark.sparkContext.applicationId, sf_dir, params)
     if key not in _MODELS:
         t = Tables(spark, sf_dir)
         tr = matrix.count_matrix(split.train_split(t.encoded)).persist()
@@ -447,22 +456,50 @@ def als_model_roundtrip(spark, sf_dir):
     return _factor_shape(als.load(path))
 
 
+def _score_facts(model, recs):
+    """Per user: list length, whether scores fall with the rank, and whether
+    each is the product of the two stored vectors (k rows per user)."""
+    u = als._factors(model.userFactors).select(F.col("id").cast("long").alias("user_id"), F.col("features").alias("uf"))
+    i = als._factors(model.itemFactors).select(F.col("id").cast("long").alias("track_id"), F.col("features").alias("vf"))
+    before = F.lag("rating").over(Window.partitionBy("user_id").orderBy("rank"))
+    rows = recs.withColumn("_before", before).join(u, "user_id").join(i, "track_id")
+    return rows.groupBy("user_id").agg(
+        F.count(F.lit(1)).alias("n_recs"),
+        F.bool_and(F.col("_before").isNull() | (F.col("_before") >= F.col("rating"))).alias("scores_fall"),
+        F.bool_and(F.abs(F.col("rating") - dot(F.col("uf"), F.col("vf"))) < 1e-6).alias("scores_match"))
+
+
+def _list_facts(recs, train):
+    """Per user: list length, distinct items, and items unknown to the training rows."""
+    known = train.select("track_id").distinct().withColumn("_known", F.lit(1))
+    return recs.join(known, "track_id", "left").groupBy("user_id").agg(
+        F.count(F.lit(1)).alias("n_recs"), F.countDistinct("track_id").alias("n_items"),
+        (F.count(F.lit(1)) - F.count("_known")).alias("n_unknown"))
+
+
+def _metric_facts(m):
+    """Users of an evaluation and whether every metric lies in (0, 1]."""
+    good = [(F.col(c) > 0) & (F.col(c) <= 1) for c in ("precision", "map", "ndcg")]
+    return m.select(_big("n_users"), (good[0] & good[1] & good[2]).alias("metrics_in_range"))
+
+
 def als_recommend_all(spark, sf_dir):
-    recs = als.recommend_all(_als_model(spark, sf_dir), ALS_K)
-    return recs.groupBy("user_id").agg(F.count(F.lit(1)).alias("n_recs"))
+    model = _als_model(spark, sf_dir)
+    return _score_facts(model, als.recommend_all(model, ALS_K))
 
 
 def als_recommend_ids(spark, sf_dir):
-    """Id-only lists, flattened to (user_id, rank, track_id)."""
+    """Id-only lists, flattened to (user_id, rank, track_id): facts per user."""
     ids_ = als.recommend_ids(_als_model(spark, sf_dir), ALS_K)
-    return scoring.flatten_recs(ids_, "reco").withColumnRenamed("item_id", "track_id")
+    flat = scoring.flatten_recs(ids_, "reco").withColumnRenamed("item_id", "track_id")
+    return _list_facts(flat, _als_data(spark, sf_dir)[0])
 
 
 def als_recommend_subset(spark, sf_dir):
     """Lists of 20 for the users that have validation rows."""
     t = Tables(spark, sf_dir)
-    recs = als.recommend_subset(_als_model(spark, sf_dir), t.val.select("user_id"), ALS_SUBSET_K)
-    return recs.groupBy("user_id").agg(F.count(F.lit(1)).alias("n_recs"))
+    model = _als_model(spark, sf_dir)
+    return _score_facts(model, als.recommend_subset(model, t.val.select("user_id"), ALS_SUBSET_K))
 
 
 def als_recommend_unseen(spark, sf_dir):
@@ -481,30 +518,29 @@ def _als_ann(spark, sf_dir, k=ALS_K):
     item vectors (maximum inner product through the norm augmentation)."""
     model = _als_model(spark, sf_dir)
     u, i = als._factors(model.userFactors), als._factors(model.itemFactors)
-    recs = ann.ann_topk(u, i, k, ANN_TABLES, ANN_BITS, ANN_SEED, exclude_self=False)
+    recs = ann.ann_topk(u, i, k, ANN_TABLES, ANN_SEED, flips=ALS_ANN_FLIPS, exclude_self=False)
     return recs, u, i
 
 
 def als_ann_topk(spark, sf_dir):
-    """Approximate top-100 per user from the ALS factors."""
+    """Approximate top-100 per user from the ALS factors: facts per user."""
     recs, _, _ = _als_ann(spark, sf_dir)
-    return recs.select(_big("user_id"), _big("rank"), F.col("item_id").cast("long").alias("track_id"))
+    return _list_facts(recs.withColumnRenamed("item_id", "track_id"), _als_data(spark, sf_dir)[0])
 
 
 def als_ann_recall(spark, sf_dir):
-    """Recall@100 of the approximate lists against the exact blocked top-100
-    over the same factors."""
+    """Whether the approximate lists reach a recall@100 of 0.9 against the
+    exact blocked top-100 over the same factors."""
     recs, u, i = _als_ann(spark, sf_dir)
     exact = scoring.blocked_topk(u, i, ALS_K)
-    return ann.recall_at_k(recs, exact).select(_r6("recall"), _big("n_queries"))
+    return ann.recall_at_k(recs, exact).select(_big("n_queries"), (F.col("recall") >= ANN_RECALL).alias("recall_reached"))
 
 
 def als_eval(spark, sf_dir):
     """ALS top-100 scored on the validation counts (every rec user counts)."""
     _, va = _als_data(spark, sf_dir)
     recs = als.recommend_all(_als_model(spark, sf_dir), ALS_K)
-    m = als.evaluate(recs, va, ALS_K, users="recommended")
-    return m.select(_r6("precision"), _r6("map"), _r6("ndcg"), "n_users")
+    return _metric_facts(als.evaluate(recs, va, ALS_K, users="recommended"))
 
 
 def als_eval_test(spark, sf_dir):
@@ -515,20 +551,48 @@ def als_eval_test(spark, sf_dir):
     t = Tables(spark, sf_dir)
     test = matrix.count_matrix(ids.encode(t.test, item_map, "recording_mbid", "inner"))
     recs = als.recommend_all(model, ALS_K)
-    m = als.evaluate(recs, test, ALS_K, users="both")
-    return m.select(_r6("precision"), _r6("map"), _r6("ndcg"), "n_users")
+    return _metric_facts(als.evaluate(recs, test, ALS_K, users="both"))
+
+
+def als_stored_eval(spark, sf_dir):
+    """Serving without the model: lists stored with the items' own ids (the
+    model's map), read back and scored on the held-out test listens."""
+    model, item_map = als.load_from_store(_MODELS_path(spark, sf_dir))
+    path = scratch_path(spark, "als_recs")
+    schemas.write_parquet(als.decode_recs(als.recommend_all(model, ALS_K), item_map)
+                             .select("user_id", "rank", F.col("recording_mbid").alias("item_id")), path)
+    labels = Tables(spark, sf_dir).test.filter("recording_mbid IS NOT NULL").select("user_id", F.col("recording_mbid").alias("item_id"))
+    pu = metrics.per_user_metrics(spark.read.parquet(path), labels, ALS_K, users="both")
+    return _metric_facts(metrics.summarize(pu))
+
+
+def als_weighted_fit(spark, sf_dir):
+    """A model of the 50 % user subsample's counts: one row per user / item
+    of it with its vector length."""
+    sub = split.sample(split.train_split(Tables(spark, sf_dir).encoded), 50, SAMPLE_SEED, by="user")
+    return _factor_shape(als.fit(matrix.count_matrix(sub), als.ALSParams()))
 
 
 def _MODELS_path(spark, sf_dir, params=None):
     _als_model(spark, sf_dir, params)
-    return _MODELS[(id(spark.sparkContext), sf_dir, params or als.ALSParams())]
+    return _MODELS[(spark.sparkContext.applicationId, sf_dir, params or als.ALSParams())]
 
 
 def als_sweep(spark, sf_dir):
-    """Small grid over rank; fit / recommend / evaluate times per setting."""
-    tr, va = _als_data(spark, sf_dir)
-    grid = [als.ALSParams(rank=r) for r in (10, 25)]
-    return als.sweep(tr.persist(), va.persist(), grid, ALS_K)
+    """Grid over rank, alpha and reg: one CSV row per setting with model id,
+    stage times and metrics, read back; what the settings fix is returned."""
+    tr, va = (x.persist() for x in _als_data(spark, sf_dir))
+    grid = [als.ALSParams(rank=r, alpha=a, reg=g) for r, a, g in product(*SWEEP)]
+    rows = als.sweep(tr, va, grid, ALS_K)
+    tr.unpersist(), va.unpersist()
+    path = scratch_path(spark, "als_sweep_csv")
+    schemas.write_csv(rows, path)
+    back = schemas.read_csv(spark, path, rows.schema)
+    timed = (F.col("train_time") > 0) & (F.col("recommendation_time") > 0) & (F.col("evaluation_time") > 0)
+    m = [F.col(c).between(0, 1) for c in ("precision_at_k", "map_at_k", "ndcg_at_k")]
+    return back.select(_big("rank"), "alpha", "reg", _big("max_iter"), "n_users", timed.alias("timed"),
+                       (m[0] & m[1] & m[2]).alias("metrics_in_range"),
+                       F.regexp_extract("model_id", "alpha_.*", 0).alias("model_suffix"))
 
 
 def experiment_results_csv(spark, sf_dir):

@@ -179,6 +179,8 @@ def oracle_sql() -> dict[str, str]:
                          "(SELECT DISTINCT user_id, recording_mbid FROM test_canon WHERE recording_mbid IS NOT NULL) p "
                          "JOIN (SELECT user_id, count(DISTINCT recording_mbid) AS n_labels FROM test_canon "
                          "WHERE recording_mbid IS NOT NULL GROUP BY user_id) c ON c.user_id = p.user_id"),
+        "matrix_shape_approx": _q("SELECT count(DISTINCT user_id) AS num_users, count(DISTINCT recording_mbid) AS num_items, "
+                                  "true AS within_error FROM train"),
         "matrix_shape": _q("SELECT count(DISTINCT user_id) AS num_users, count(DISTINCT recording_mbid) AS num_items FROM train"),
         "interactions_coo": _q(
             "SELECT CAST(u.user_idx AS BIGINT) AS user_idx, CAST(i.item_idx AS BIGINT) AS item_idx, p.weight FROM "
@@ -224,7 +226,7 @@ def oracle_sql() -> dict[str, str]:
 
 # ----------------------------------------------------------- vector queries
 TOPK_VECTORS, EVAL_K_VECTORS = 100, 100
-ANN_TABLES, ANN_BITS, ANN_SEED = 8, 4, 20
+ANN_TABLES, ANN_BITS, ANN_SEED = 8, 6, 20  # bits: enough for 16,384 items; fewer are used
 
 
 def _vec_prelude(dim: int) -> str:
@@ -246,6 +248,7 @@ def _vec_prelude(dim: int) -> str:
         return (f'SELECT user_id, item_id, score, row_number() OVER (PARTITION BY user_id '
                 f'ORDER BY score DESC, item_id) AS "rank" FROM {src} QUALIFY "rank" <= {k}')
 
+    masked = "CAST(unnest(codes) AS BIGINT) & ((1::BIGINT << (SELECT b FROM ann_bits)) - 1)"
     m2 = "(SELECT max(list_inner_product(features, features)) FROM factors)"
     return f""",
 vec_scores AS (
@@ -254,22 +257,30 @@ vec_scores AS (
   FROM factors q JOIN factors i ON q.id <> i.id),
 exact_k AS ({topk("vec_scores", TOPK_VECTORS)}),
 exact_e AS ({topk("vec_scores", EVAL_K_VECTORS)}),
+ann_bits AS (SELECT greatest(0, CAST(ceil(log2(count(*) / 256.0)) AS BIGINT)) AS b FROM factors),
 biased_k AS ({topk("(SELECT user_id, item_id, score + ub + ib AS score FROM vec_scores)", TOPK_VECTORS)}),
 qcodes AS (
-  SELECT id AS user_id, unnest(range({ANN_TABLES})) AS "table", unnest(codes) AS code
+  SELECT id AS user_id, unnest(range({ANN_TABLES})) AS "table", {masked} AS code
   FROM (SELECT id, {codes("list_append(features, 0.0)")} AS codes FROM factors)),
 icodes AS (
-  SELECT id AS item_id, unnest(range({ANN_TABLES})) AS "table", unnest(codes) AS code
+  SELECT id AS item_id, unnest(range({ANN_TABLES})) AS "table", {masked} AS code
   FROM (SELECT id, {codes(f"list_append(features, sqrt(greatest({m2} - list_inner_product(features, features), 0.0)))")} AS codes
         FROM factors)),
+qprobes AS (
+  SELECT user_id, "table", xor(code, CASE WHEN j < 0 THEN 0 ELSE (1::BIGINT << greatest(j, 0)) END) AS code FROM (
+    SELECT user_id, "table", code, unnest(range(-1, (SELECT b FROM ann_bits))) AS j FROM qcodes)),
 ann_pairs AS (
-  SELECT DISTINCT q.user_id, i.item_id FROM qcodes q JOIN icodes i ON q."table" = i."table" AND q.code = i.code
+  SELECT DISTINCT q.user_id, i.item_id FROM qprobes q JOIN icodes i ON q."table" = i."table" AND q.code = i.code
   WHERE q.user_id <> i.item_id),
 ann_scored AS (
   SELECT p.user_id, p.item_id, list_inner_product(q.features, i.features) AS score
   FROM ann_pairs p JOIN factors q ON q.id = p.user_id JOIN factors i ON i.id = p.item_id),
-ann_k AS ({topk("ann_scored", TOPK_VECTORS)}),
-ann_e AS ({topk("ann_scored", EVAL_K_VECTORS)})
+ann_found AS ({topk("ann_scored", TOPK_VECTORS)}),
+ann_full AS (SELECT user_id FROM ann_found WHERE "rank" = {TOPK_VECTORS}),
+ann_k AS (
+  SELECT * FROM ann_found WHERE user_id IN (SELECT user_id FROM ann_full)
+  UNION ALL SELECT * FROM exact_k WHERE user_id NOT IN (SELECT user_id FROM ann_full)),
+ann_e AS (SELECT * FROM ann_k)
 """
 
 
@@ -289,7 +300,10 @@ def _vector_sql(dim: int = 64) -> dict[str, str]:
         "biased_topk": q(recs("biased_k")),
         "recs_long": q('SELECT CAST(user_id AS BIGINT) AS user_id, CAST("rank" AS BIGINT) AS "rank", '
                        "CAST(item_id AS BIGINT) AS item_id FROM exact_k"),
-        "ann_candidates": q("SELECT CAST(user_id AS BIGINT) AS user_id, CAST(item_id AS BIGINT) AS item_id FROM ann_pairs"),
+        "ann_candidates": q(
+            'SELECT CAST(q.user_id AS BIGINT) AS user_id, count(i.ni) AS n_buckets, CAST(coalesce(sum(i.ni), 0) AS BIGINT) AS n_candidates '
+            'FROM qprobes q LEFT JOIN (SELECT "table", code, count(*) AS ni FROM icodes GROUP BY 1, 2) i '
+            'ON i."table" = q."table" AND i.code = q.code GROUP BY q.user_id'),
         "ann_topk": q(recs("ann_k")),
         "ann_recall": q("SELECT round(count(a.user_id) / count(*), 6) AS recall, count(DISTINCT e.user_id) AS n_queries "
                         "FROM exact_e e LEFT JOIN ann_e a ON a.user_id = e.user_id AND a.item_id = e.item_id"),
@@ -305,18 +319,38 @@ ALS_RANK, ALS_K, ALS_SUBSET_K = 25, 100, 20
 def _als_sql() -> dict[str, str]:
     tr = 'enc WHERE row_number * 100 <= "count" * 80'
     n_items = f"(SELECT count(DISTINCT track_id) FROM {tr})"
-    factors = _q(f"SELECT 'user' AS side, CAST(user_id AS BIGINT) AS id, {ALS_RANK}::BIGINT AS n_features "
-                 f"FROM (SELECT DISTINCT user_id FROM {tr}) UNION ALL "
-                 f"SELECT 'item', CAST(track_id AS BIGINT), {ALS_RANK}::BIGINT FROM (SELECT DISTINCT track_id FROM {tr})")
+    users = f"(SELECT DISTINCT user_id FROM {tr})"
+
+    def factors(src: str) -> str:
+        return _q(f"SELECT 'user' AS side, CAST(user_id AS BIGINT) AS id, {ALS_RANK}::BIGINT AS n_features "
+                  f"FROM (SELECT DISTINCT user_id FROM {src}) UNION ALL "
+                  f"SELECT 'item', CAST(track_id AS BIGINT), {ALS_RANK}::BIGINT FROM (SELECT DISTINCT track_id FROM {src})")
+
+    def scored(k: int, src: str) -> str:
+        return _q(f"SELECT DISTINCT CAST(user_id AS BIGINT) AS user_id, CAST(least({k}, {n_items}) AS BIGINT) AS n_recs, "
+                  f"true AS scores_fall, true AS scores_match FROM {src}")
+
+    lists = _q(f"SELECT CAST(user_id AS BIGINT) AS user_id, CAST(least({ALS_K}, {n_items}) AS BIGINT) AS n_recs, "
+               f"CAST(least({ALS_K}, {n_items}) AS BIGINT) AS n_items, CAST(0 AS BIGINT) AS n_unknown FROM {users}")
+    tested = "SELECT count(DISTINCT t.user_id) AS n_users, true AS metrics_in_range FROM test_canon t"
+    grid = ", ".join(f"({r}::BIGINT, {a}::DOUBLE, {g}::DOUBLE, 'alpha_{a}_rank_{r}_reg_{g}_als')"
+                     for r in (10, 25) for a in (0.5, 1.0) for g in (0.05, 0.1))
     return {
-        "als_factors": factors,
-        "als_model_roundtrip": factors,
-        "als_recommend_all": _q(f"SELECT DISTINCT CAST(user_id AS BIGINT) AS user_id, "
-                                f"CAST(least({ALS_K}, {n_items}) AS BIGINT) AS n_recs FROM {tr}"),
-        "als_recommend_subset": _q(f"SELECT DISTINCT CAST(user_id AS BIGINT) AS user_id, "
-                                   f"CAST(least({ALS_SUBSET_K}, {n_items}) AS BIGINT) AS n_recs FROM val "
-                                   f"WHERE user_id IN (SELECT user_id FROM {tr})"),
+        "als_factors": factors(tr),
+        "als_model_roundtrip": factors(tr),
+        "als_weighted_fit": factors(f"{tr} AND {_hash_unit(SAMPLE_SEED, ['user_id'], 100)} < 50"),
+        "als_recommend_all": scored(ALS_K, tr),
+        "als_recommend_subset": scored(ALS_SUBSET_K, f"val WHERE user_id IN {users}"),
         "als_recommend_unseen": _q(f"SELECT CAST(user_id AS BIGINT) AS user_id, "
                                    f"CAST(least({ALS_K}, {n_items} - count(DISTINCT track_id)) AS BIGINT) AS n_recs, "
                                    f"CAST(0 AS BIGINT) AS n_seen_in_recs FROM {tr} GROUP BY user_id"),
+        "als_recommend_ids": lists,
+        "als_ann_topk": lists,
+        "als_ann_recall": _q(f"SELECT count(*) AS n_queries, true AS recall_reached FROM {users}"),
+        "als_eval": _q(f"SELECT count(*) AS n_users, true AS metrics_in_range FROM {users}"),
+        "als_eval_test": _q(f"{tested} JOIN item_map m ON m.recording_mbid = t.recording_mbid WHERE t.user_id IN {users}"),
+        "als_stored_eval": _q(f"{tested} WHERE t.recording_mbid IS NOT NULL AND t.user_id IN {users}"),
+        "als_sweep": _q(f"SELECT g.rank, g.alpha, g.reg, 10::BIGINT AS max_iter, (SELECT count(*) FROM {users}) AS n_users, "
+                        "true AS timed, true AS metrics_in_range, replace(g.suffix, '.', '_') AS model_suffix "
+                        f"FROM (VALUES {grid}) g(rank, alpha, reg, suffix)"),
     }

@@ -53,8 +53,7 @@ def test_blocked_topk_biases_and_exclusions(spark):
 
 def test_ann_zero_bits_is_exact(spark):
     vecs, X = _vectors(spark, 40, 5, 5, scale=True)
-    planes = ann.hyperplanes(5, 1, 0, 0)
-    got = ann.rescore_topk(ann.candidates(vecs, vecs, planes, exclude_self=True), vecs, vecs, 3)
+    got = ann.ann_topk(vecs, vecs, 3, tables=1, bits=0, seed=0)
     exact = scoring.blocked_topk(vecs, vecs, 3, exclude_self=True, max_tile_cells=100, max_block=16)
     a = {(r.user_id, r.rank, r.item_id) for r in got.collect()}
     b = {(r.user_id, r.rank, r.item_id) for r in exact.collect()}
@@ -66,18 +65,30 @@ def test_ann_recall_grows_with_tables(spark):
     exact = scoring.blocked_topk(vecs, vecs, 5, exclude_self=True)
     recalls = []
     for tables in (1, 4, 12):
-        approx = ann.ann_topk(vecs, vecs, 5, tables=tables, bits=4, seed=3)
+        approx = ann.ann_topk(vecs, vecs, 5, tables=tables, bits=4, flips=0, seed=3, complete=False)
         recalls.append(ann.recall_at_k(approx, exact).first()["recall"])
     assert recalls[0] <= recalls[1] <= recalls[2]
     assert recalls[2] > 0.5
 
 
-def test_ann_salting_keeps_candidates(spark):
+def test_ann_salting_keeps_lists(spark):
     vecs, _ = _vectors(spark, 60, 4, 7)
-    planes = ann.hyperplanes(4, 3, 2, 11)
-    plain = ann.candidates(vecs, vecs, planes, bucket_rows=10**9)
-    salted = ann.candidates(vecs, vecs, planes, bucket_rows=3)
-    assert plain.exceptAll(salted).count() == 0 and salted.exceptAll(plain).count() == 0
+    plain, salted = (ann.ann_topk(vecs, vecs, 5, tables=3, bits=2, seed=11, bucket_rows=n).select("user_id", "rank", "item_id")
+                     for n in (10**9, 3))
+    assert sorted(plain.collect()) == sorted(salted.collect())
+
+
+def test_ann_lists_are_full_and_bits_grow_with_the_items(spark):
+    vecs, _ = _vectors(spark, 60, 4, 8)
+    got = ann.ann_topk(vecs, vecs, 10, tables=1, bits=6, flips=0, seed=2)  # a bucket holds about one
+    assert {r["count"] for r in got.groupBy("user_id").count().collect()} == {10} and got.select("user_id").distinct().count() == 60
+    assert len(ann.ann_topk(vecs, vecs, 100, tables=2, seed=2).collect()) == 60 * 59
+    assert [ann.index_bits(n) for n in (0, 256, 257, 512, 513, 10**6)] == [0, 0, 1, 1, 2, 12]
+    assert len(ann.probe_masks(5, 2)) == 1 + 5 + 10
+    part = ann.hyperplanes(4, 3, 2, 5)
+    assert (part == ann.hyperplanes(4, 3, 6, 5)[:, :2]).all()
+    share = [ann.candidate_counts(vecs, vecs, tables=2, seed=2, bits=b, flips=1).agg(F.avg("n_candidates")).first()[0] for b in (1, 4)]
+    assert share[0] > share[1]
 
 
 def test_als_seeded_fit_is_reproducible_and_unseen_excludes(spark):
