@@ -15,12 +15,13 @@ def item_id_map(seq: DataFrame, item: str = "recording_mbid", out: str = "track_
 
 
 def item_id_map_sql(seq: DataFrame, num_partitions: int | None = None) -> DataFrame:
-    """The same map through a temp view and SQL text.  The SQL statement
+    """The same map through SQL text over a view of the frame (bound to the
+    statement, so that concurrent calls don't share a name).  The statement
     selects the distinct items; numbering uses the ranged offsets rather
     than ``row_number() over (order by ...)``, which needs one partition."""
     spark = seq.sparkSession
-    seq.select("recording_mbid").createOrReplaceTempView("tracks_df")
-    distinct = spark.sql("SELECT DISTINCT recording_mbid FROM tracks_df WHERE recording_mbid IS NOT NULL")
+    distinct = spark.sql("SELECT DISTINCT recording_mbid FROM {tracks_df} WHERE recording_mbid IS NOT NULL",
+                         tracks_df=seq.select("recording_mbid"))
     return dense_ids(distinct, "recording_mbid", "track_id", 1, num_partitions)
 
 

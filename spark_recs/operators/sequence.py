@@ -52,17 +52,17 @@ def global_rank(df: DataFrame, order: Sequence[str | Column], out: str = "_grank
     ranked.write.mode("errorifexists").parquet(path)
     stored = spark.read.parquet(path)
     # Row count of each range partition: one number per partition, the same
-    # metadata RDD.zipWithIndex gathers.  Their running sums become a literal
-    # array indexed by partition id, so no join and no single-partition step.
-    sizes = dict(stored.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n")).collect())
+    # metadata RDD.zipWithIndex gathers.  Their running sums are joined on the
+    # partition id: one row per partition, so they are broadcast, and no
+    # single-partition step is needed.
+    sizes = sorted(stored.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n")).collect())
     offsets, acc = [], 0
-    for pid in range(max(sizes, default=-1) + 1):
-        offsets.append(acc)
-        acc += sizes.get(pid, 0)
-    off = F.element_at(F.array(*[F.lit(o).cast("long") for o in offsets] or [F.lit(0).cast("long")]),
-                       F.col("_pid") + 1)
-    return (stored.withColumn(out, off + F.col("_pos") + F.lit(1))
-                  .drop("_pid", "_pos"))
+    for pid, n in sizes:
+        offsets.append((pid, acc))
+        acc += n
+    off = F.broadcast(spark.createDataFrame(offsets, "_pid int, _off long"))
+    return (stored.join(off, "_pid").withColumn(out, F.col("_off") + F.col("_pos") + F.lit(1))
+                  .drop("_pid", "_pos", "_off"))
 
 
 def sequence_within(df: DataFrame, group: Sequence[str], order: Sequence[str | Column], cell: Column,

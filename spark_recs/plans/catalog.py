@@ -390,8 +390,8 @@ def ann_recall(spark, sf_dir):
 
 
 def eval_topk_inner(spark, sf_dir):
-    """Per-user rec table (approximate top-10) scored against the exact
-    top-10 as labels; users with both count."""
+    """Per-user rec table (approximate top-100) scored against the exact
+    top-100 as labels; users with both count."""
     recs = _ann(spark, sf_dir, EVAL_K_VECTORS)
     labels = _exact(spark, sf_dir, EVAL_K_VECTORS).select("user_id", "item_id")
     pu = metrics.per_user_metrics(recs, labels, EVAL_K_VECTORS, users="both")
@@ -599,15 +599,11 @@ def experiment_results_csv(spark, sf_dir):
     """Popularity beta sweep evaluated on validation, written as CSV with a
     header and read back."""
     t = Tables(spark, sf_dir)
-    rows = None
-    for beta in BETAS:
-        ranked = popularity.popularity(t.train, "damped", K, beta=beta)
-        m = metrics.summarize(metrics.per_user_metrics_shared(ranked, t.val, K, rec_users=t.train,
-                                                              users="both"))
-        m = m.select(F.lit(float(beta)).alias("beta"), "precision", "map", "ndcg", "n_users")
-        rows = m if rows is None else rows.unionByName(m)
+    betas = [float(b) for b in BETAS]
+    lists = popularity.beta_sweep(t.train, betas, K)
+    rows = metrics.summarize(metrics.per_user_metrics_sweep(lists, t.val, K, "beta", betas, t.train), ("beta",))
     path = scratch_path(spark, "results_csv")
-    schemas.write_csv(rows.coalesce(1), path)
+    schemas.write_csv(rows, path)
     schema = T.StructType([T.StructField("beta", T.DoubleType()), T.StructField("precision", T.DoubleType()),
                             T.StructField("map", T.DoubleType()), T.StructField("ndcg", T.DoubleType()),
                             T.StructField("n_users", T.LongType())])
@@ -616,9 +612,9 @@ def experiment_results_csv(spark, sf_dir):
 
 
 def eval_stored_recs(spark, sf_dir):
-    """Score a stored rec table without the model: approximate top-10 lists
+    """Score a stored rec table without the model: approximate top-100 lists
     written as Parquet, read back with an explicit schema, evaluated
-    against the exact top-10."""
+    against the exact top-100."""
     path = scratch_path(spark, "stored_recs")
     schemas.write_parquet(_ann(spark, sf_dir, EVAL_K_VECTORS).select("user_id", "rank", "item_id"), path)
     recs = schemas.read_parquet(spark, path, schemas.RECS_LONG, strict_types=True)
