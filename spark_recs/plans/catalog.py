@@ -259,7 +259,8 @@ def matrix_shape_approx(spark, sf_dir):
     train = Tables(spark, sf_dir).train
     approx = matrix.matrix_shape(train, approx=True, rsd=0.01).withColumnsRenamed({"num_users": "_u", "num_items": "_i"})
     near = lambda a, b: F.abs(F.col(a) - F.col(b)) <= F.greatest(0.05 * F.col(b), F.lit(1.0))
-    both = matrix.matrix_shape(train).withColumn("_one", F.lit(1)).join(approx.withColumn("_one", F.lit(1)), "_one")
+    both = matrix.matrix_shape(train).unionByName(approx, allowMissingColumns=True)  # one row each
+    both = both.agg(*[F.max(c).alias(c) for c in ("num_users", "num_items", "_u", "_i")])
     return both.select("num_users", "num_items", (near("_u", "num_users") & near("_i", "num_items")).alias("within_error"))
 
 
