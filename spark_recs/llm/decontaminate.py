@@ -11,7 +11,8 @@ becomes Hamming distance of what they write.  Each table samples `SAMPLES` of
 the steps of one walk as its code.  Every word of every document starts a
 walk; an item is embedded from every `ANCHOR`-th word on, so that some start
 has few edits near by.  A shared code makes a candidate, which Myers' algorithm
-verifies exactly over the whole item and an item-sized window around it.
+verifies exactly over the whole item and an item-sized window around it, unless
+the window lacks more of the item's words than edits are allowed.
 
 Items are sent to the tasks in passes of at most `PASS_WORDS` words, so what is
 sent stays bounded however long the benchmark is.  Documents aren't shuffled.
@@ -94,6 +95,7 @@ class Items:
         h, first = hasher(raw, offsets)
         self.ids = [i for i, _ in rows]
         self.words = [h[a:b] for a, b in zip(first[:-1], first[1:])]
+        self.distinct = [frozenset(w.tolist()) for w in self.words]
         self.families = []
         for steps, samples, fits in ((STEPS, SAMPLES, lambda n: n >= SHORT_WORDS),
                                      (SHORT_STEPS, SHORT_SAMPLES, lambda n: MIN_WORDS <= n < SHORT_WORDS)):
@@ -144,6 +146,10 @@ class Items:
                         limit = int(MAX_EDIT * len(words))
                         lo_w, hi_w = max(0, start - limit), start + len(words) + 2 * limit
                         text = h[first[row] + lo_w: min(first[row] + hi_w, first[row + 1])]
+                        # each word of the item that the window lacks costs an edit at least
+                        distinct = self.distinct[item]
+                        if len(distinct) - len(distinct.intersection(text.tolist())) > limit:
+                            continue
                         distance, end = best_match(words, text)
                         if distance <= limit:
                             new = (distance, max(0, lo_w + end - len(words)))
