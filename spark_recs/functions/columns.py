@@ -41,6 +41,6 @@ def split_is_val(rn: str = "row_number", n: str = "count", pct: int = 80) -> Col
 
 
 def dot(a: Column, b: Column) -> Column:
-    """Inner product of two numeric arrays as a left fold (higher-order
-    functions, no Python)."""
-    return F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda acc, x: acc + x)
+    """Inner product of two numeric arrays as a left fold in double precision
+    (higher-order functions, no Python)."""
+    return F.aggregate(F.zip_with(a, b, lambda x, y: x.cast("double") * y), F.lit(0.0), lambda acc, x: acc + x)

@@ -123,7 +123,8 @@ def blocked_topk(users: DataFrame, items: DataFrame, k: int,
                  max_tile_cells: int = MAX_TILE_CELLS, max_block: int = MAX_BLOCK) -> DataFrame:
     """Best ``k`` items per user by ``u·i (+ b_u + b_i)``.
 
-    users / items: (id, features array<double>); ``user_bias`` /
+    users / items: (id, features), an array of floats or doubles, shuffled as
+    it is and scored in double precision; ``user_bias`` /
     ``item_bias`` are expressions over those frames.  ``exclude``:
     (user_id, item_id) pairs never recommended (e.g. training pairs).
     Returns (user_id, rank, item_id, score); ties go to the smaller item id.
@@ -148,7 +149,7 @@ def blocked_topk(users: DataFrame, items: DataFrame, k: int,
         ex = exclude.select(F.col("user_id").cast("long"), F.col("item_id").cast("long"))
         ex = ex.select(F.pmod(F.xxhash64("user_id"), F.lit(bu)).alias("ub"),
                        F.pmod(F.xxhash64("item_id"), F.lit(bi)).alias("ib"), "user_id", "item_id",
-                       F.lit(None).cast("array<double>").alias("features"),
+                       F.lit(None).cast(items.schema["features"].dataType).alias("features"),
                        F.lit(None).cast("double").alias("bias"), F.lit(1).alias("kind"))
         i = i.unionByName(ex)
     partial = (u.groupBy("ub", "ib").cogroup(i.groupBy("ub", "ib"))

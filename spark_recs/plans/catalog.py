@@ -361,12 +361,24 @@ def exact_topk(spark, sf_dir):
     return _recs_out(_exact(spark, sf_dir))
 
 
+def _biased(spark, sf_dir, k=TOPK_VECTORS):
+    """Both sides under their dense indexes, scored, and given their own ids
+    back through the two maps; a vector is not recommended to itself."""
+    v = _vectors(spark, sf_dir)
+    users = v.select(F.col("id").alias("user_id"), "features", fx.user_bias().alias("bias"))
+    items = v.select(F.col("id").alias("item_id"), "features", fx.item_bias().alias("bias"))
+    umap, imap = ids.user_id_map(users), ids.user_id_map(items, "item_id", "item_idx")
+    own = umap.join(imap, umap.user_id == imap.item_id).select(F.col("user_idx").alias("user_id"), F.col("item_idx").alias("item_id"))
+    recs = scoring.blocked_topk(ids.encode(users, umap, "user_id", "inner").withColumnRenamed("user_idx", "id"),
+                                ids.encode(items, imap, "item_id", "inner").withColumnRenamed("item_idx", "id"),
+                                k, user_bias=F.col("bias"), item_bias=F.col("bias"), exclude=own)
+    recs = recs.withColumnsRenamed({"user_id": "user_idx", "item_id": "item_idx"})
+    return ids.decode(ids.decode(recs, umap, "user_idx"), imap, "item_idx")
+
+
 def biased_topk(spark, sf_dir):
     """Biased factor scoring u·i + b_u + b_i, best 100 per user."""
-    v = _vectors(spark, sf_dir)
-    recs = scoring.blocked_topk(v, v, TOPK_VECTORS, user_bias=fx.user_bias(), item_bias=fx.item_bias(),
-                                exclude_self=True)
-    return _recs_out(recs)
+    return _recs_out(_biased(spark, sf_dir))
 
 
 def recs_long(spark, sf_dir):
@@ -460,8 +472,8 @@ def als_model_roundtrip(spark, sf_dir):
 def _score_facts(model, recs):
     """Per user: list length, whether scores fall with the rank, and whether
     each is the product of the two stored vectors (k rows per user)."""
-    u = als._factors(model.userFactors).select(F.col("id").cast("long").alias("user_id"), F.col("features").alias("uf"))
-    i = als._factors(model.itemFactors).select(F.col("id").cast("long").alias("track_id"), F.col("features").alias("vf"))
+    u = model.userFactors.select(F.col("id").cast("long").alias("user_id"), F.col("features").alias("uf"))
+    i = model.itemFactors.select(F.col("id").cast("long").alias("track_id"), F.col("features").alias("vf"))
     before = F.lag("rating").over(Window.partitionBy("user_id").orderBy("rank"))
     rows = recs.withColumn("_before", before).join(u, "user_id").join(i, "track_id")
     return rows.groupBy("user_id").agg(
@@ -518,7 +530,7 @@ def _als_ann(spark, sf_dir, k=ALS_K):
     """Approximate top-k over the fitted factors: user vectors query the
     item vectors (maximum inner product through the norm augmentation)."""
     model = _als_model(spark, sf_dir)
-    u, i = als._factors(model.userFactors), als._factors(model.itemFactors)
+    u, i = model.userFactors, model.itemFactors
     recs = ann.ann_topk(u, i, k, ANN_TABLES, ANN_SEED, flips=ALS_ANN_FLIPS, exclude_self=False)
     return recs, u, i
 
@@ -613,11 +625,11 @@ def experiment_results_csv(spark, sf_dir):
 
 
 def eval_stored_recs(spark, sf_dir):
-    """Score a stored rec table without the model: approximate top-100 lists
-    written as Parquet, read back with an explicit schema, evaluated
-    against the exact top-100."""
+    """Score a stored rec table without the model: the biased scorer's top-100
+    lists, with their own ids, written as Parquet, read back with an explicit
+    schema, evaluated against the top-100 without biases."""
     path = scratch_path(spark, "stored_recs")
-    schemas.write_parquet(_ann(spark, sf_dir, EVAL_K_VECTORS).select("user_id", "rank", "item_id"), path)
+    schemas.write_parquet(_biased(spark, sf_dir, EVAL_K_VECTORS).select(_big("user_id"), "rank", _big("item_id")), path)
     recs = schemas.read_parquet(spark, path, schemas.RECS_LONG, strict_types=True)
     labels = _exact(spark, sf_dir, EVAL_K_VECTORS).select("user_id", "item_id")
     return _metric_row(metrics.per_user_metrics(recs, labels, EVAL_K_VECTORS, users="both"))

@@ -308,7 +308,8 @@ def _vector_sql(dim: int = 64) -> dict[str, str]:
         "ann_recall": q("SELECT round(count(a.user_id) / count(*), 6) AS recall, count(DISTINCT e.user_id) AS n_queries "
                         "FROM exact_e e LEFT JOIN ann_e a ON a.user_id = e.user_id AND a.item_id = e.item_id"),
         "eval_topk_inner": q(_metric_row(_per_user(inner_hits, inner_pop, EVAL_K_VECTORS))),
-        "eval_stored_recs": q(_metric_row(_per_user(inner_hits, inner_pop, EVAL_K_VECTORS))),
+        "eval_stored_recs": q(_metric_row(_per_user(inner_hits.replace("ann_e", "biased_k"), inner_pop.replace("ann_e", "biased_k"),
+                                                    EVAL_K_VECTORS))),
     }
 
 

@@ -14,6 +14,8 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from spark_recs.sources import schemas
+
 # Fixed values of the fixture mapping (FIXTURES.md part B).
 NULL_NAME_MOD = 13          # key % 13 == 0 -> null track_name
 MBID_MOD, MBID_BELOW = 10, 7  # key % 10 < 7 -> mbid present, shared by key pairs
@@ -27,28 +29,31 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def tracks(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand")
     key = F.col("p_partkey")
-    return (p.select(F.concat(F.lit("ms-"), key.cast("string")).alias("recording_msid"),
-                     F.col("p_brand").alias("artist_name"),
-                     F.when(key % NULL_NAME_MOD == 0, F.lit(None).cast("string"))
-                      .otherwise(F.col("p_name")).alias("track_name"),
-                     F.when(key % MBID_MOD < MBID_BELOW,
-                            F.concat(F.lit("mb-"), (key - key % 2).cast("string")))
-                      .alias("recording_mbid")))
+    out = p.select(F.concat(F.lit("ms-"), key.cast("string")).alias("recording_msid"),
+                   F.col("p_brand").alias("artist_name"),
+                   F.when(key % NULL_NAME_MOD == 0, F.lit(None).cast("string"))
+                    .otherwise(F.col("p_name")).alias("track_name"),
+                   F.when(key % MBID_MOD < MBID_BELOW,
+                          F.concat(F.lit("mb-"), (key - key % 2).cast("string")))
+                    .alias("recording_mbid"))
+    return schemas.check_schema(out, schemas.TRACKS, strict_types=True)
 
 
 def users(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "customer").select(
+    out = table(spark, sf_dir, "customer").select(
         F.col("c_custkey").alias("user_id"), F.col("c_name").alias("user_name"))
+    return schemas.check_schema(out, schemas.USERS, strict_types=True)
 
 
 def all_interactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole log."""
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey")
-    return (o.join(li, o.o_orderkey == li.l_orderkey)
-             .select(F.col("o_custkey").alias("user_id"),
-                     F.concat(F.lit("ms-"), F.col("l_partkey").cast("string")).alias("recording_msid"),
-                     F.col("o_orderdate").alias("timestamp")))
+    out = (o.join(li, o.o_orderkey == li.l_orderkey)
+            .select(F.col("o_custkey").alias("user_id"),
+                    F.concat(F.lit("ms-"), F.col("l_partkey").cast("string")).alias("recording_msid"),
+                    F.col("o_orderdate").alias("timestamp")))
+    return schemas.check_schema(out, schemas.INTERACTIONS, strict_types=True)
 
 
 def interactions(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -70,14 +75,13 @@ def event_interactions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def factor_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Latent vectors (id, features array<double>, bias) from ``embeddings``.
+    """Latent vectors (id, features array<float>) from ``embeddings``.
 
     Every vector is both a query and a candidate item; a query never
-    matches itself.  The bias is the item-side bias of the biased scorer.
+    matches itself.
     """
     e = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
-    return e.select(F.col("vec_id").alias("id"),
-                    F.col("embedding").cast("array<double>").alias("features"))
+    return e.select(F.col("vec_id").alias("id"), F.col("embedding").alias("features"))
 
 
 # Fixed bias rule for the biased scorer (FIXTURES.md part B).

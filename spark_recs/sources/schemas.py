@@ -41,23 +41,6 @@ SEQUENCED = T.StructType(CANONICAL.fields + [
     T.StructField("row_number", T.LongType()),
 ])
 
-TRACK_ID_MAP = T.StructType([
-    T.StructField("track_id", T.LongType()),
-    T.StructField("recording_mbid", T.StringType()),
-])
-
-COUNTS = T.StructType([
-    T.StructField("track_id", T.LongType()),
-    T.StructField("user_id", T.LongType()),
-    T.StructField("interactions_count", T.LongType()),
-])
-
-RANKED_LIST = T.StructType([
-    T.StructField("recording_mbid", T.StringType()),
-    T.StructField("score", T.DoubleType()),
-    T.StructField("rank", T.LongType()),
-])
-
 RECS_LONG = T.StructType([
     T.StructField("user_id", T.LongType()),
     T.StructField("rank", T.LongType()),
