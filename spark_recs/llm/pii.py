@@ -23,6 +23,7 @@ from __future__ import annotations
 import hashlib
 import hmac
 import re
+import unicodedata
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -49,8 +50,11 @@ KINDS = [
     ("phone", r"(?<![\w.])(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)[ .-]?)\d{3,4}[ .-]?\d{3,4}(?!\d)|(?<![\w.])\+\d{1,3}(?:[ .-]?\d{2,4}){2,4}(?!\d)|(?<![\w.-])\d{3}[ .-]\d{3}[ .-]\d{4}(?![\d-])"),
     ("name", rf"(?<=\bTITLE )[{_UP}][{_LOW}]+(?: [{_UP}][{_LOW}]+)?"),
 ]
-#: A superset of the texts that hold an entity, for Spark's own regular expressions.
-MAY_HOLD = rf"@|\d{{3}}|\d\.\d|AKIA|ASIA|\b(?:{_TITLES})\.? |(?:key|secret|password|token) ?= ?\""
+#: A superset of the texts that hold an entity, for Spark's own regular expressions, whose \d and \b
+#: differ from Python's: of each pattern in KINDS a part that all its matches have, without its edges.
+_D = r"\p{Nd}"
+MAY_HOLD = (rf"@|{_D}{{3}}|{_D}\.{_D}|\+{_D}|{_D}(?:[ -]?{_D}){{12}}|[A-Z]{{2}}{_D}{{2}} ?[A-Z0-9]{{4}}|[0-9a-f]{{32}}|AKIA|ASIA|gh[po]_|sk-|xox[bp]-"
+            rf"|(?:key|secret|password|token) ?= ?\"|(?<![A-Za-z0-9_])(?:{_TITLES})\.? ")
 _NAME = re.compile(rf"\b({_TITLES})\.? ([{_UP}][{_LOW}]+(?: [{_UP}][{_LOW}]+)?)")
 _ANY = re.compile("|".join(f"(?P<{k}>{p})" for k, p in KINDS if k != "name"))
 
@@ -60,6 +64,8 @@ def _genders() -> dict[str, str]:
 
 
 def canonical(kind: str, text: str) -> str:
+    if kind in ("card", "phone", "ssn", "iban", "ip") and not text.isascii():
+        text = "".join(str(unicodedata.decimal(c, c)) for c in text)
     if kind in ("card", "phone", "ssn"):
         return re.sub(r"\D", "", text)
     if kind == "iban":
@@ -69,9 +75,7 @@ def canonical(kind: str, text: str) -> str:
 
 def find(text: str) -> list[tuple[int, int, str, str]]:
     """(start, end, kind, canonical form), in order and without overlaps."""
-    out = []
-    if any(c in text for c in "0123456789@\"") or "sk-" in text or "xox" in text or "gh" in text:
-        out = [(m.start(), m.end(), m.lastgroup, canonical(m.lastgroup, m[0])) for m in _ANY.finditer(text)]
+    out = [(m.start(), m.end(), m.lastgroup, canonical(m.lastgroup, m[0])) for m in _ANY.finditer(text)]
     gender = _genders()
     names = [(m.start(2), m.end(2), "name" + gender[m[1]], m[2]) for m in _NAME.finditer(text)]
     if names:
@@ -155,9 +159,11 @@ def surrogate(kind: str, canon: str, attempt: int, key: bytes) -> str:
 
 def write_as(kind: str, text: str, canon: str) -> str:
     """A surrogate in the way that `text` is written."""
-    if kind in ("card", "phone", "ssn", "iban"):
+    if kind in ("card", "phone", "ssn", "iban", "ip"):
         it = iter(canon)
-        return "".join(next(it) if (c.isalnum() if kind == "iban" else c.isdigit()) else c for c in text)
+        new = "".join(next(it) if (c.isalnum() if kind == "iban" else c.isdecimal()) or (kind == "ip" and c == ".") else c for c in text)
+        # a digit of another script is written in that script
+        return new if text.isascii() else "".join(chr(ord(c) - unicodedata.decimal(c) + int(d)) if c.isdecimal() and d.isdecimal() else d for c, d in zip(text, new))
     if kind == "email":
         return "".join(s.upper() if c.isupper() else s for c, s in zip(text, canon))
     return canon
