@@ -10,7 +10,9 @@ stays.  Two sequences with few edits fall back into step, so edit distance
 becomes Hamming distance of what they write.  Each table samples `SAMPLES` of
 the steps of one walk as its code.  Every word of every document starts a
 walk; an item is embedded from every `ANCHOR`-th word on, so that some start
-has few edits near by.  A shared code makes a candidate, which Myers' algorithm
+has few edits near by.  Items below `SHORT_WORDS` words have too few such starts
+at the edit limit: they get short walks from every second word, and items below
+`TINY_WORDS` from every word.  A shared code makes a candidate, which Myers' algorithm
 verifies exactly over the whole item and an item-sized window around it, unless
 the window lacks more of the item's words than edits are allowed.
 
@@ -35,8 +37,10 @@ from spark_recs.llm.text import WordHasher, mix64, process_state, punctuation_se
 
 MAX_EDIT = 0.2
 WALKS, TABLES, SAMPLES, STEPS = 3, 4, 5, 24
-SHORT_SAMPLES, SHORT_STEPS, SHORT_WORDS = 4, 8, 12   # tables for items of fewer words
-ANCHOR, MIN_WORDS = 6, 5
+SHORT_SAMPLES, SHORT_STEPS, SHORT_WORDS = 4, 8, 32   # tables for items of fewer words
+TINY_SAMPLES, TINY_STEPS, TINY_WORDS = 3, 6, 12      # and of yet fewer
+ANCHOR, SHORT_ANCHOR, TINY_ANCHOR, MIN_WORDS = 6, 2, 1, 5
+PLACES, SHORT_PLACES, TINY_PLACES = 1, 3, 2          # words that an item's code must have read
 PASS_WORDS = 200_000
 SLOTS = 20                                          # bits of the table that sifts codes
 _U = np.uint64
@@ -86,6 +90,19 @@ def best_match(item: np.ndarray, text: np.ndarray) -> tuple[int, int]:
     return best, end
 
 
+def reach(symbols: np.ndarray, starts: np.ndarray, steps: int, samples: int):
+    """For each table: how many places of `symbols` the code from each start has read."""
+    for walk, tables in enumerate(_tables(steps, samples)):
+        bits = mix64(symbols + _U(walk * 0x9E3779B9 + 1))
+        at, read = starts.copy(), []
+        for j in range(steps):
+            read.append(at.copy())
+            at += ((bits[at] >> _U(j)) & _U(1)).astype(at.dtype)
+        for chosen in tables:
+            places = np.stack([read[j] for j in chosen])
+            yield 1 + (places[1:] != places[:-1]).sum(axis=0)
+
+
 class Items:
     """The embedded items of one pass."""
 
@@ -97,13 +114,15 @@ class Items:
         self.words = [h[a:b] for a, b in zip(first[:-1], first[1:])]
         self.distinct = [frozenset(w.tolist()) for w in self.words]
         self.families = []
-        for steps, samples, fits in ((STEPS, SAMPLES, lambda n: n >= SHORT_WORDS),
-                                     (SHORT_STEPS, SHORT_SAMPLES, lambda n: MIN_WORDS <= n < SHORT_WORDS)):
+        for steps, samples, anchor, enough, least, most in (
+                (STEPS, SAMPLES, ANCHOR, PLACES, SHORT_WORDS, None),
+                (SHORT_STEPS, SHORT_SAMPLES, SHORT_ANCHOR, SHORT_PLACES, TINY_WORDS, SHORT_WORDS),
+                (TINY_STEPS, TINY_SAMPLES, TINY_ANCHOR, TINY_PLACES, MIN_WORDS, TINY_WORDS)):
             symbols, starts, owner, offset = [], [], [], []
             base = 0
             for i, w in enumerate(self.words):
-                if fits(len(w)):
-                    for a in range(0, len(w), ANCHOR if len(w) >= SHORT_WORDS else 2):
+                if least <= len(w) and (most is None or len(w) < most):
+                    for a in range(0, len(w), anchor):
                         if a == 0 or len(w) - a >= steps // 2:
                             starts.append(base + a)
                             owner.append(i)
@@ -111,13 +130,15 @@ class Items:
                     symbols += [w, np.full(steps, _PAD)]
                     base += len(w) + steps
             if starts:
-                got = list(codes(np.concatenate(symbols), np.array(starts), steps, samples))
+                symbols, starts = np.concatenate(symbols), np.array(starts)
                 owner, offset = np.array(owner), np.array(offset)
                 tables = []
-                for c in got:
+                for c, places in zip(codes(symbols, starts, steps, samples), reach(symbols, starts, steps, samples)):
+                    # a code of one or two words meets any text that has them; the dense tables do without
                     order = np.argsort(c)
+                    order = order[places[order] >= enough]
                     sieve = np.zeros(1 << SLOTS, dtype=bool)
-                    sieve[c >> _U(64 - SLOTS)] = True
+                    sieve[c[order] >> _U(64 - SLOTS)] = True
                     tables.append((sieve, c[order], owner[order], offset[order]))
                 self.families.append((steps, samples, tables))
 
