@@ -2,7 +2,8 @@
 
 A leak is a run of a document's words within `MAX_EDIT` of an item's words in
 word edit distance (insert, delete, replace; the limit is floor(MAX_EDIT *
-words)).  Words are runs of letters and digits, A-Z as a-z.
+words)).  Words are runs of letters and digits, A-Z as a-z; in scripts without
+spaces each character is a word.
 
 The CGK embedding walks over a word sequence: at step j it writes the word
 under the pointer and moves on if bit j of the word's random bits is set, else
@@ -19,8 +20,12 @@ the window lacks more of the item's words than edits are allowed.
 Items are sent to the tasks in passes of at most `PASS_WORDS` words, so what is
 sent stays bounded however long the benchmark is.  Documents aren't shuffled.
 
+Items of fewer than `MIN_WORDS` words allow no edit: their whole run of words
+is one key, and a document's equal run is the leak.
+
 Defined results: null text and text without words match nothing; items of
-fewer than `MIN_WORDS` words match nothing (too short to tell a leak); a null
+fewer than `MIN_WORDS` words and of fewer than `MIN_LETTERS` letters match
+nothing (too short to tell a leak); a null
 item_id is reported as null; equal rows are judged separately, and reported
 once per (doc_id, item_id); empty tables give no leaks; further columns are
 ignored by `leaks` and kept by `keep_clean`.
@@ -33,13 +38,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from spark_recs.llm.text import WordHasher, mix64, process_state, punctuation_separators, row_slices, text_buffers
+from spark_recs.llm.text import UNSPACED, WordHasher, mix64, process_state, punctuation_separators, row_slices, shingles, text_buffers
 
 MAX_EDIT = 0.2
 WALKS, TABLES, SAMPLES, STEPS = 3, 4, 5, 24
 SHORT_SAMPLES, SHORT_STEPS, SHORT_WORDS = 4, 8, 32   # tables for items of fewer words
 TINY_SAMPLES, TINY_STEPS, TINY_WORDS = 3, 6, 12      # and of yet fewer
 ANCHOR, SHORT_ANCHOR, TINY_ANCHOR, MIN_WORDS = 6, 2, 1, 5
+MIN_LETTERS = 20                                     # bytes of the words of an item below MIN_WORDS
 PLACES, SHORT_PLACES, TINY_PLACES = 1, 3, 2          # words that an item's code must have read
 PASS_WORDS = 200_000
 SLOTS = 20                                          # bits of the table that sifts codes
@@ -47,6 +53,10 @@ _U = np.uint64
 _PAD = _U(0x5851F42D4C957F2D)
 
 
+def word_hasher() -> WordHasher:
+    return WordHasher(punctuation_separators(), characters=True)
+
+
 def _tables(steps: int, samples: int) -> list[list[np.ndarray]]:
     rng = np.random.default_rng(steps)
     return [[np.sort(rng.choice(steps, samples, replace=False)) for _ in range(TABLES)] for _ in range(WALKS)]
@@ -107,12 +117,17 @@ class Items:
     """The embedded items of one pass."""
 
     def __init__(self, rows: list[tuple[int | None, str | None]]):
-        hasher = WordHasher(punctuation_separators())
+        hasher = word_hasher()
         raw, offsets = text_buffers(pa.array([t for _, t in rows], pa.string()))
         h, first = hasher(raw, offsets)
+        letters = np.diff(np.r_[0, np.cumsum(~hasher.sep[raw])][offsets])
         self.ids = [i for i, _ in rows]
         self.words = [h[a:b] for a, b in zip(first[:-1], first[1:])]
         self.distinct = [frozenset(w.tolist()) for w in self.words]
+        self.exact: dict[int, dict[int, list[int]]] = {}  # words: key of the run: items
+        for i, w in enumerate(self.words):
+            if 0 < len(w) < MIN_WORDS and letters[i] >= MIN_LETTERS:
+                self.exact.setdefault(len(w), {}).setdefault(int(shingles(w, len(w))[0]), []).append(i)
         self.families = []
         for steps, samples, anchor, enough, least, most in (
                 (STEPS, SAMPLES, ANCHOR, PLACES, SHORT_WORDS, None),
@@ -149,6 +164,12 @@ class Items:
         tried = set()
         row_of = np.repeat(np.arange(rows), n)
         place = np.arange(len(h)) - np.repeat(first[:-1], n)
+        for size, known in self.exact.items():
+            runs = shingles(h, size)
+            for p in np.flatnonzero(np.isin(runs, np.array(list(known), dtype=_U))).tolist():
+                if place[p] + size <= n[row_of[p]]:
+                    for item in known[int(runs[p])]:
+                        found.setdefault((int(row_of[p]), item), (0, int(place[p])))
         for steps, samples, tables in self.families:
             symbols = np.full(len(h) + rows * steps, _PAD)
             starts = np.arange(len(h)) + row_of * steps
@@ -180,7 +201,7 @@ class Items:
 
 def _scan(rows, out):
     def run(batches):
-        items, hasher = Items(rows), process_state("plain-words", lambda: WordHasher(punctuation_separators()))
+        items, hasher = Items(rows), process_state("character-words", word_hasher)
         for b in batches:
             raw, offsets = text_buffers(b.column(b.schema.get_field_index("text")))
             for i, j in row_slices(offsets):
@@ -206,7 +227,8 @@ def _clean(b, items, found):
 def _passes(benchmark: DataFrame, pass_words: int):
     """The items' rows, at most about `pass_words` words at a time; an item is in one pass."""
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").distinct()
-    size = F.size(F.split(F.coalesce("text", F.lit("")), r"\s+"))
+    alone = "".join(f"\\x{{{lo:X}}}-\\x{{{hi - 1:X}}}" for lo, hi in UNSPACED)
+    size = F.regexp_count(F.coalesce("text", F.lit("")), F.lit(rf"[{alone}]|[0-9A-Za-z[^\x00-\x7F]&&[^{alone}]]+"))
     total = items.agg(F.sum(size).alias("n")).first()["n"] or 0
     n = -(-total // pass_words)
     for k in range(n):

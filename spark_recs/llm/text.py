@@ -62,6 +62,30 @@ def punctuation_separators() -> np.ndarray:
     return sep
 
 
+#: Code points of scripts that write no spaces: Thai, Lao, Tibetan, Myanmar, Khmer, Chinese, Japanese.
+UNSPACED = [(0x0E00, 0x0F00), (0x0F00, 0x1000), (0x1000, 0x10A0), (0x1780, 0x1800), (0x2E80, 0x3000), (0x3040, 0xA000),
+            (0xF900, 0xFB00), (0xFF66, 0xFFA0), (0x1B000, 0x1B170), (0x20000, 0x40000)]
+#: Their punctuation, which separates words.
+UNSPACED_MARKS = [(0x3000, 0x3005), (0x3008, 0x3021), (0x3030, 0x3031), (0xFF00, 0xFF10), (0xFF1A, 0xFF21), (0xFF3B, 0xFF41), (0xFF5B, 0xFF66)]
+
+
+def _within(points: np.ndarray, ranges: list[tuple[int, int]]) -> np.ndarray:
+    return np.searchsorted(np.array(ranges).ravel(), points, side="right") % 2 == 1
+
+
+def _wide_characters(buf: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(place, bytes, code point) of the characters of three and four bytes."""
+    at = np.flatnonzero(buf >= 0xE0)
+    width = np.where(buf[at] >= 0xF0, 4, 3)
+    whole = at + width <= len(buf)
+    at, width = at[whole], width[whole]
+    points = buf[at].astype(np.int64) & np.where(width == 4, 7, 15)
+    for j in (1, 2, 3):
+        here = width > j
+        points[here] = points[here] << 6 | (buf[at[here] + j] & 63)
+    return at, width, points
+
+
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     out = []
     for base in (_P, _P_INV):
@@ -94,10 +118,11 @@ def row_slices(offsets: np.ndarray, limit: int = CHUNK_BYTES) -> Iterator[tuple[
 
 
 class WordHasher:
-    """64-bit hashes of the words of texts, A-Z taken as a-z."""
+    """64-bit hashes of the words of texts, A-Z taken as a-z.  `characters`:
+    each character of a script without spaces is a word."""
 
-    def __init__(self, separators: np.ndarray):
-        self.sep, self.table = separators, _byte_table()
+    def __init__(self, separators: np.ndarray, characters: bool = False):
+        self.sep, self.table, self.characters = separators, _byte_table(), characters
         self.pw, self.pinv = _powers(2 * CHUNK_BYTES)
 
     def __call__(self, raw: np.ndarray, offsets: np.ndarray, prefixes: tuple[int, ...] = ()) -> tuple[np.ndarray, ...]:
@@ -113,6 +138,12 @@ class WordHasher:
         word = ~self.sep[buf]
         edge = np.zeros(len(buf) + 1, dtype=bool)
         edge[off] = True
+        if self.characters:
+            at, width, points = _wide_characters(buf)
+            alone, mark = _within(points, UNSPACED), _within(points, UNSPACED_MARKS)
+            for j in range(3):  # no mark has four bytes
+                word[at[mark] + j] = False
+            edge[at[alone]] = edge[at[alone] + width[alone]] = True
         start = word.copy()
         start[1:] &= ~word[:-1] | edge[1:-1]
         end = word.copy()
