@@ -34,9 +34,9 @@ PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 SLICE_BYTES = 1 << 20
 
 
-def _cut(vocabulary: str, end_id: int, length: int):
+def _cut(vocabulary: str, end_id: int, length: int, special: bool):
     def run(batches):
-        enc, end = encoder(vocabulary), np.array([end_id], dtype="<u4").tobytes()
+        enc, end = encoder(vocabulary, special=special), np.array([end_id], dtype="<u4").tobytes()
         for b in batches:
             for i, j, texts in text_slices(b.column(1), SLICE_BYTES):
                 rows = []
@@ -52,9 +52,9 @@ def _cut(vocabulary: str, end_id: int, length: int):
     return run
 
 
-def pieces(docs: DataFrame, vocabulary: str, end_id: int, length: int) -> DataFrame:
-    """One row per piece of each document (doc_id, text)."""
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(_cut(vocabulary, end_id, length), PIECES)
+def pieces(docs: DataFrame, vocabulary: str, end_id: int, length: int, special: bool = False) -> DataFrame:
+    """One row per piece of each document (doc_id, text).  `special`: as for ChunkEncoder."""
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(_cut(vocabulary, end_id, length, special), PIECES)
 
 
 def sum_of_squares(sizes: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
@@ -116,4 +116,4 @@ def pack(cut: DataFrame, length: int, block_pieces: int = BLOCK_PIECES) -> DataF
 
 
 def pack_documents(docs: DataFrame, vocabulary: str, end_id: int = END_ID, length: int = LENGTH) -> DataFrame:
-    return pack(materialize(pieces(docs, vocabulary, end_id, length), "pieces"), length)
+    return pack(materialize(pieces(docs, vocabulary, end_id, length, special=True), "pieces"), length)

@@ -76,11 +76,11 @@ def unframe(data: bytes, lengths: np.ndarray) -> list[bytes]:
     return payloads
 
 
-def _writer(folder: str, vocabulary: str, end_id: int, wide: bool):
+def _writer(folder: str, vocabulary: str, end_id: int, wide: bool, special: bool):
     kind = "I" if wide else "H"
 
     def run(batches):
-        enc, out, index, total, base = encoder(vocabulary, kind), None, [], 0, 0
+        enc, out, index, total, base = encoder(vocabulary, kind, special), None, [], 0, 0
         end = np.array([end_id], dtype=kind).tobytes()
         name = f"{folder}/shard-{TaskContext.get().partitionId():06d}-{uuid.uuid4().hex}"
         for b in batches:
@@ -110,13 +110,13 @@ def _writer(folder: str, vocabulary: str, end_id: int, wide: bool):
     return run
 
 
-def write_records(docs: DataFrame, vocabulary: str, end_id: int, folder: str | None = None, wide: bool = False) -> DataFrame:
+def write_records(docs: DataFrame, vocabulary: str, end_id: int, folder: str | None = None, wide: bool = False, special: bool = False) -> DataFrame:
     """Writes `docs` (doc_id, text) in ascending doc_id order and returns the
-    manifest, one row per shard.  `wide`: 32 bits an id."""
+    manifest, one row per shard.  `wide`: 32 bits an id.  `special`: as for ChunkEncoder."""
     folder = folder or scratch_path(docs.sparkSession, "records")
     ranged = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
                   .repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text"))
-    return materialize(ranged.mapInArrow(_writer(folder, vocabulary, end_id, wide), MANIFEST), "manifest")
+    return materialize(ranged.mapInArrow(_writer(folder, vocabulary, end_id, wide, special), MANIFEST), "manifest")
 
 
 def _slices(index: np.ndarray):
@@ -194,4 +194,4 @@ def read_shuffled(manifest: DataFrame, seed: int) -> DataFrame:
 
 
 def record_digests(spark: SparkSession, docs: DataFrame, vocabulary: str, end_id: int) -> DataFrame:
-    return read_digests(write_records(docs, vocabulary, end_id))
+    return read_digests(write_records(docs, vocabulary, end_id, special=True))

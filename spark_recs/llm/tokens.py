@@ -8,6 +8,9 @@ always has the same ids, so they are kept in a cache of at most `CACHE_WORDS`
 chunks and pieces per worker.  The pieces of a chunk of plain Latin text are
 passed to the library's BPE model; any other chunk is encoded by the whole
 tokenizer, and so is a text with white space other than space, \\n, \\t, \\r.
+An added token's content in a text (`<|endoftext|>`) is plain text, or with
+`special` the token's id, as the library has it unless told otherwise; such a
+text is encoded by the whole tokenizer.
 """
 
 from __future__ import annotations
@@ -44,12 +47,14 @@ def _byte_chars() -> dict[int, str]:
 
 class ChunkEncoder:
     """`path`: a tokenizers file.  `kind`: the array type code that ids are kept
-    as, "I" (32 bits) or "H" (16 bits, for vocabularies of up to 65,536)."""
+    as, "I" (32 bits) or "H" (16 bits, for vocabularies of up to 65,536).
+    `special`: added tokens' contents in a text get their ids."""
 
-    def __init__(self, path: str, kind: str = "I", cache_words: int = CACHE_WORDS):
+    def __init__(self, path: str, kind: str = "I", cache_words: int = CACHE_WORDS, special: bool = False):
         from tokenizers import Tokenizer
         self.tok = Tokenizer.from_file(path)
-        self.tok.encode_special_tokens = True
+        self.tok.encode_special_tokens = not special
+        self.added = [t.content for t in self.tok.get_added_tokens_decoder().values()] if special else []
         self.model, self.bytes = self.tok.model, _byte_chars()
         with open(path, encoding="utf-8") as f:
             conf = json.load(f)
@@ -93,6 +98,9 @@ class ChunkEncoder:
         return [self.one(t) if t else b"" for t in texts]
 
     def one(self, text: str) -> bytes:
+        for content in self.added:
+            if content in text:
+                return self._whole(text)
         words = text.split()
         chunks = text.split(" ")
         if len(words) == len(text.replace("\n", " ").split(" ")):  # single spaces and newlines only
@@ -122,9 +130,9 @@ class ChunkEncoder:
         return b"".join(out)
 
 
-def encoder(path: str, kind: str = "I") -> ChunkEncoder:
+def encoder(path: str, kind: str = "I", special: bool = False) -> ChunkEncoder:
     """The worker's encoder of a vocabulary file."""
-    return process_state(f"encoder:{path}:{kind}", lambda: ChunkEncoder(path, kind))
+    return process_state(f"encoder:{path}:{kind}:{special}", lambda: ChunkEncoder(path, kind, special=special))
 
 
 def text_slices(col, limit: int):

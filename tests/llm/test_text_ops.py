@@ -49,6 +49,30 @@ def test_ids_equal_the_whole_tokenizer(encoders, v):
         assert np.frombuffer(ids, "<u4").tolist() == tok.encode(t or "", add_special_tokens=False).ids
 
 
+SPECIAL = ["a <|endoftext|> b", "<|endoftext|>", "x<|startoftext|>y\u3000z", "The <|endoftext|><|endoftext|>  end\n<|startoftext|>", "<|ENDOFTEXT|> <|endof text|>"]
+
+
+@pytest.mark.parametrize("v", VOCABULARIES)
+def test_added_tokens_in_a_text_as_the_library_has_them(docs_of, v):
+    tok, enc = Tokenizer.from_file(vocabulary_path(v)), ChunkEncoder(vocabulary_path(v), special=True)
+    for t, ids in zip([*ODD, *SPECIAL], enc.batch([*ODD, *SPECIAL])):
+        assert np.frombuffer(ids, "<u4").tolist() == tok.encode(t or "", add_special_tokens=False).ids
+
+
+def test_queries_give_added_tokens_their_ids(spark, docs_of):
+    rows, crc = list(enumerate(SPECIAL)), lambda ids: zlib.crc32(np.array(ids, "<u4").tobytes())
+    path, start = vocabulary_path(records.VOCABULARY), 0
+    got = sorted(records.record_digests(spark, docs_of(rows), path, records.END_ID).collect(), key=lambda r: r["doc_id"])
+    for r, (i, t) in zip(got, rows, strict=True):
+        ids = Tokenizer.from_file(path).encode(t, add_special_tokens=False).ids + [records.END_ID]
+        assert tuple(r) == (i, start, len(ids), crc(ids))
+        start += len(ids)
+    path = vocabulary_path(packing.VOCABULARY)
+    for r in packing.pack_documents(docs_of(rows), path).collect():
+        ids = Tokenizer.from_file(path).encode(SPECIAL[r["doc_id"]], add_special_tokens=False).ids + [packing.END_ID]
+        assert (r["length"], r["ids_crc32"]) == (len(ids), crc(ids))
+
+
 def test_crc32c():
     table = _byte_table()
 
