@@ -2,11 +2,16 @@
 
 A page is parsed into a light tree.  Elements that never hold article text
 (scripts, forms, navigation, footers, asides and, by the words of their class,
-id or role, menus, adverts, sidebars, notices, comments) are left out.  Every
+id or role, menus, adverts, sidebars, notices, comments) are left out.  A class
+or id alone drops no article or main element and nothing that holds one, nor
+an element that is named as content too and has over half of the page's text;
+`has-sidebar`, `with-`, `no-` and the like say nothing; and if no paragraph is
+left, class and id are not heeded.  Every
 paragraph gives points for its length and its commas to its ancestors: all to
 the parent, half to the grandparent, a third, quarter ... of that further up.
 A container's points are discounted by its link density.  The best container is
-kept, and of its siblings those with enough points or a long paragraph's text.
+kept, and of its siblings those with enough points or a long paragraph's text;
+beside a container that is no article also those of a sentence or more.
 
 Defined results: null or empty html gives an empty text; a page without
 paragraphs gives the text of its body; markup that never closes ends with the
@@ -42,15 +47,18 @@ sidebars signup skyscraper social sponsor sponsored subscribe subscription toolb
 BAD_ROLES = set("""alert alertdialog banner complementary contentinfo dialog form menu menubar navigation search
 toolbar""".split())
 GOOD_WORDS = set("article body content entry main post story text".split())
+COMMENT_WORDS = set("comment comments disqus replies reply respond shoutbox".split())
 WORD = re.compile(r"[a-z]+")
+_MODIFIER = re.compile(r"(?<![a-z])(?:has|with|without|no|hide|show)[-_]\S*")
+_SENTENCE = re.compile(r"[.!?。！？][\"'”’»)]*(?:\s|$)")
 
 
 class Node:
-    __slots__ = ("tag", "parent", "parts", "good", "dropped", "score", "chars", "linked", "commas")
+    __slots__ = ("tag", "parent", "parts", "good", "dropped", "names", "score", "chars", "linked", "commas")
 
     def __init__(self, tag, parent=None, good=False, dropped=False):
         self.tag, self.parent, self.parts = tag, parent, []
-        self.good, self.dropped, self.score = good, dropped, 0.0
+        self.good, self.dropped, self.names, self.score = good, dropped, set(), 0.0
         self.chars = self.linked = self.commas = 0
 
 
@@ -63,10 +71,13 @@ def _is_dropped(tag: str, attrs: dict, parent: Node) -> bool:
         while parent is not None and parent.tag not in ("article", "main"):
             parent = parent.parent
         return parent is None
-    if tag in ("html", "body"):
-        return False
-    named = re.sub(r"([a-z])([A-Z])", r"\1 \2", f"{attrs.get('class') or ''} {attrs.get('id') or ''}").lower()
-    return not BAD_WORDS.isdisjoint(WORD.findall(named))
+    return False
+
+
+def _names(attrs: dict) -> set[str]:
+    """The words of class and id, without those of modifiers."""
+    named = re.sub(r"([a-z])([A-Z])", r"\1-\2", f"{attrs.get('class') or ''} {attrs.get('id') or ''}").lower()
+    return set(WORD.findall(_MODIFIER.sub(" ", named)))
 
 
 class Tree(HTMLParser):
@@ -75,6 +86,7 @@ class Tree(HTMLParser):
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.root = self.at = Node("html")
+        self.whole, self.suspects = [], []  # articles; elements named as no content
 
     def _close(self, tags, scopes) -> None:
         node = self.at
@@ -104,9 +116,15 @@ class Tree(HTMLParser):
                 self.at.parts.append(Node("hr", self.at))
             return
         attrs = dict(attrs)
-        named = f"{attrs.get('class') or ''} {attrs.get('id') or ''}".lower()
-        good = tag in ("article", "main") or attrs.get("role") == "main" or not GOOD_WORDS.isdisjoint(WORD.findall(named))
-        node = Node(tag, self.at, good, self.at.dropped or _is_dropped(tag, attrs, self.at))
+        names = _names(attrs)
+        whole = tag in ("article", "main") or attrs.get("role") == "main"
+        node = Node(tag, self.at, whole or not GOOD_WORDS.isdisjoint(names), self.at.dropped or _is_dropped(tag, attrs, self.at))
+        node.names = names
+        if not node.dropped:
+            if whole and BAD_WORDS.isdisjoint(names):
+                self.whole.append(node)
+            elif not whole and not BAD_WORDS.isdisjoint(names):
+                self.suspects.append(node)
         self.at.parts.append(node)
         self.at = node
 
@@ -205,13 +223,27 @@ def _is_paragraph(node: Node) -> bool:
     return False
 
 
-def main_text(html: str | None) -> str:
-    """The page's article, one line per block."""
-    if not html:
-        return ""
-    tree = Tree()
-    tree.feed(html)
-    tree.close()
+def _drop_suspects(tree: Tree) -> None:
+    """Leaves out what its class or id names as no content."""
+    if not tree.suspects:
+        return
+    holds = set()
+    for node in tree.whole:
+        while node is not None and id(node) not in holds:
+            holds.add(id(node))
+            node = node.parent
+    nodes = _walk(tree.root)
+    _measure(nodes)
+    half = (tree.root.chars - tree.root.linked) / 2
+    for node in tree.suspects:
+        named = not GOOD_WORDS.isdisjoint(node.names) and COMMENT_WORDS.isdisjoint(node.names)
+        node.dropped = id(node) not in holds and not (named and node.chars - node.linked > half)
+    for node in nodes:
+        node.chars = node.linked = node.commas = 0
+
+
+def _score(tree: Tree) -> tuple[list[Node], list[Node]]:
+    """(kept nodes, those with points)."""
     nodes = _walk(tree.root)
     _measure(nodes)
     scored: list[Node] = []
@@ -225,6 +257,24 @@ def main_text(html: str | None) -> str:
                     up.score += 5 if up.good else 0
                 up.score += points if level == 0 else points / (level + 1)
                 level, up = level + 1, up.parent
+    return nodes, scored
+
+
+def main_text(html: str | None) -> str:
+    """The page's article, one line per block."""
+    if not html:
+        return ""
+    tree = Tree()
+    tree.feed(html)
+    tree.close()
+    _drop_suspects(tree)
+    nodes, scored = _score(tree)
+    if not scored and any(n.dropped for n in tree.suspects):
+        for node in nodes:
+            node.chars = node.linked = node.commas = 0
+        for node in tree.suspects:
+            node.dropped = False
+        nodes, scored = _score(tree)
     if not scored:
         good = [n for n in nodes if n.good and n.chars]
         return "\n".join(_blocks(good[0] if good else tree.root))
@@ -252,6 +302,8 @@ def main_text(html: str | None) -> str:
             out += loose + _blocks(x)
         elif value.get(id(x), 0.0) >= least or (x.tag == "p" and x.chars >= 80 and _density(x) < 0.25):
             out += loose + _blocks(x)
+        elif best.tag not in ("article", "main") and x.tag in BLOCKS and not heading and _density(x) < 0.25 and any(map(_SENTENCE.search, _blocks(x))):
+            out += loose + _blocks(x)
         elif heading and not out:  # a heading right before the kept parts belongs to them
             loose = _blocks(x)
             continue

@@ -194,6 +194,32 @@ def test_main_text():
     assert html.main_text("<div>" * 5000 + "<p>deep, text</p>") == "deep, text"
 
 
+BODY = "<h1>Head</h1><p>One, two, three, and a long first paragraph.</p><p>Four, five, six, the second paragraph.</p>"
+BODY_TEXT = "Head\nOne, two, three, and a long first paragraph.\nFour, five, six, the second paragraph."
+
+
+@pytest.mark.parametrize("page", [
+    f"<body><div class='layout has-sidebar'><article>{BODY}</article></div></body>",
+    f"<main id='content' class='with-sidebar'>{BODY}</main>",
+    f"<article class='post has-comments'>{BODY}</article>",
+    f"<article class='post comments-open widget'>{BODY}</article>",
+    f"<div class='post-share-wrap'><article>{BODY}</article></div>",
+    f"<div class='widget'><div class='social'><main>{BODY}</main></div></div>",
+    f"<div class='layout hasSidebar noComments'><div>{BODY}</div></div>",
+    f"<div class='content-widget'><div>{BODY}</div></div><p>Home</p>",
+    f"<div class='elementor-widget'><div>{BODY}</div></div>",
+    f"<div class='layout has-sidebar'><article>{BODY}<div class='post-share'><p>Tell all, tell more, of your friends.</p></div></article>"
+    "<div id='comments'><article class='comment-body'><p>nice, post, really, good, yes, indeed.</p></article></div><div class='sidebar'><p>More, of, all, that.</p></div></div>"])
+def test_named_wrappers_keep_their_article(page):
+    assert html.main_text(page) == BODY_TEXT
+
+
+def test_short_content_siblings_stay():
+    long = "<div><p>" + "many, words, of, it, " * 40 + "end.</p></div>"
+    page = f"<div id='x'>{long}<div><p>A short close.</p></div><div><a href='/a'>More. Read on.</a></div><div>Tags</div><div class='ad'><p>Buy this now.</p></div></div>"
+    assert html.main_text(page).split("\n")[1:] == ["A short close."]
+
+
 def test_extraction_on_pages(spark):
     import html as h
     pages = spark.read.parquet("/root/testdata/sf0.001/pages.parquet").withColumn("text", F.lit("clash"))
