@@ -25,8 +25,9 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group stays, the one with the smallest doc_id."""
-    return neardup.keep_first(docs)
+    """One document of each group (five-word shingles, a similarity of 0.8 or
+    more) stays, the one with the smallest doc_id."""
+    return neardup.keep_first(docs, k=5, num=80)
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

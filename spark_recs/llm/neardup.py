@@ -21,7 +21,8 @@
 
 At the threshold's Jaccard of 0.85 a place differs with probability 0.15, and a
 linked pair's 60 places differ in more than 23 with probability 2e-6; more
-similar pairs less.  That, and equal 64-bit hashes of different shingles, are
+similar pairs less.  Another threshold gets as many chunks as keep that
+probability (`chunks_for`: 21, 105 places and distance 41 at 0.8).  That, and equal 64-bit hashes of different shingles, are
 the only ways to miss or add a link.
 
 Defined results: null or blank text has an empty set and is linked with
@@ -33,6 +34,8 @@ ignored by `near_duplicates` and kept by `keep_first`.
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
@@ -49,11 +52,27 @@ PLACES, CHUNKS, CHUNK_ERRORS, MAX_DISTANCE = 60, 12, 1, 23
 BITS = 8
 WIDTH = PLACES // CHUNKS
 KEY_ROWS, BLOCK_ROWS, BLOCK_SHINGLES = 1024, 1024, 1 << 20
+MISS = 2.4e-6                 # largest probability of missing a pair at the threshold
 assert MAX_DISTANCE < CHUNKS * (CHUNK_ERRORS + 1) and CHUNK_ERRORS == 1
 _U = np.uint64
 _SETS = "doc_id long, n_shingles long, f1 long, f2 long, sig binary"
 
 
+def distance_of(places: int) -> int:
+    """The largest distance at which signatures of so many places share a key."""
+    return places // WIDTH * (CHUNK_ERRORS + 1) - 1
+
+
+def chunks_for(num: int, den: int) -> int:
+    """The fewest chunks that miss a pair at the threshold with at most MISS."""
+    p = 1 - num / den
+    for chunks in range(1, 200):
+        n = chunks * WIDTH
+        if sum(math.comb(n, i) * p ** i * (1 - p) ** (n - i) for i in range(distance_of(n) + 1, n + 1)) <= MISS:
+            return chunks
+    raise ValueError(f"a similarity of {num} / {den} is too low for signatures")
+
+
 def _hasher() -> WordHasher:
     return process_state("space-words", lambda: WordHasher(space_separators()))
 
@@ -73,33 +92,33 @@ def sets_of(raw: np.ndarray, offsets: np.ndarray, k: int = SHINGLE) -> list[np.n
     return out
 
 
-def _multipliers() -> np.ndarray:
-    return (mix64(np.arange(1, PLACES + 1, dtype=_U)) >> _U(32)).astype(np.uint32) | np.uint32(1)
+def _multipliers(places: int) -> np.ndarray:
+    return (mix64(np.arange(1, places + 1, dtype=_U)) >> _U(32)).astype(np.uint32) | np.uint32(1)
 
 
-def signatures(sets: list[np.ndarray]) -> np.ndarray:
-    """(rows, PLACES) uint8; empty sets get zeros."""
+def signatures(sets: list[np.ndarray], places: int = PLACES) -> np.ndarray:
+    """(rows, places) uint8; empty sets get zeros."""
     n = np.array([len(s) for s in sets])
-    out = np.zeros((len(sets), PLACES), dtype=np.uint8)
+    out = np.zeros((len(sets), places), dtype=np.uint8)
     full = np.flatnonzero(n)
     if not len(full):
         return out
     x = (np.concatenate([sets[i] for i in full]) >> _U(32)).astype(np.uint32)
     at = np.cumsum(n[full]) - n[full]
-    add = (mix64(np.arange(101, 101 + PLACES, dtype=_U))).astype(np.uint32)
-    for p, (a, c) in enumerate(zip(_multipliers(), add)):
+    add = (mix64(np.arange(101, 101 + places, dtype=_U))).astype(np.uint32)
+    for p, (a, c) in enumerate(zip(_multipliers(places), add)):
         low = np.minimum.reduceat(x * a + c, at)
         out[full, p] = (mix64(low.astype(_U)) >> _U(64 - BITS)).astype(np.uint8)
     return out
 
 
-def _describe(k: int):
+def _describe(k: int, places: int):
     def run(batches):
         for b in batches:
             raw, offsets = text_buffers(b.column(1))
             for i, j in row_slices(offsets):
                 sets = sets_of(raw, offsets[i: j + 1], k)
-                sig = signatures(sets)
+                sig = signatures(sets, places)
                 f1 = [int(mix64(s ^ _U(0x1234567)).sum(dtype=_U)) for s in sets]
                 f2 = [int(mix64(s + _U(0x89ABCDEF)).sum(dtype=_U)) for s in sets]
                 signed = lambda v: np.array(v, dtype=_U).view(np.int64)
@@ -110,16 +129,16 @@ def _describe(k: int):
     return run
 
 
-def describe(docs: DataFrame, k: int = SHINGLE) -> DataFrame:
+def describe(docs: DataFrame, k: int = SHINGLE, places: int = PLACES) -> DataFrame:
     """doc_id, set size, 128-bit set fingerprint and signature of each row."""
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(_describe(k), _SETS)
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(_describe(k, places), _SETS)
 
 
 def chunk_keys(sig: np.ndarray) -> np.ndarray:
-    """(rows, CHUNKS * WIDTH) int64: of each chunk with each one place left out."""
-    chunks = sig.reshape(len(sig), CHUNKS, WIDTH).astype(_U)
+    """(rows, places) int64: of each chunk with each one place left out."""
+    chunks = sig.reshape(len(sig), sig.shape[1] // WIDTH, WIDTH).astype(_U)
     keys = []
-    for c in range(CHUNKS):
+    for c in range(chunks.shape[1]):
         for skip in range(WIDTH):
             code = np.full(len(sig), c * WIDTH + skip + 1, dtype=_U)
             for j in range(WIDTH):
@@ -129,14 +148,16 @@ def chunk_keys(sig: np.ndarray) -> np.ndarray:
     return np.stack(keys, axis=1).view(np.int64)
 
 
-def _file(batches):
-    for b in batches:
-        for lo in range(0, b.num_rows, 2048):
-            part = b.slice(lo, 2048)
-            sig = np.frombuffer(b"".join(part.column(1).to_pylist()), dtype=np.uint8).reshape(-1, PLACES)
-            keys = chunk_keys(sig)
-            ids = np.array(part.column(0))
-            yield pa.RecordBatch.from_arrays([pa.array(keys.ravel()), pa.array(np.repeat(ids, keys.shape[1]))], ["key", "id"])
+def _file(places: int):
+    def run(batches):
+        for b in batches:
+            for lo in range(0, b.num_rows, 2048):
+                part = b.slice(lo, 2048)
+                sig = np.frombuffer(b"".join(part.column(1).to_pylist()), dtype=np.uint8).reshape(-1, places)
+                keys = chunk_keys(sig)
+                ids = np.array(part.column(0))
+                yield pa.RecordBatch.from_arrays([pa.array(keys.ravel()), pa.array(np.repeat(ids, keys.shape[1]))], ["key", "id"])
+    return run
 
 
 def roots(a: np.ndarray, b: np.ndarray, n: int) -> np.ndarray:
@@ -156,14 +177,14 @@ def roots(a: np.ndarray, b: np.ndarray, n: int) -> np.ndarray:
 
 
 def _forest(key: np.ndarray, ids: np.ndarray, sig: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Edges (id, root) joining rows of equal (sorted) key within MAX_DISTANCE."""
+    """Edges (id, root) joining rows of equal (sorted) key within the distance."""
     nodes, at = np.unique(ids, return_inverse=True)
     left, right, gap = [], [], 1
     live = np.flatnonzero(key[1:] == key[:-1])
     while len(live):
         for i in range(0, len(live), 1 << 16):
             p = live[i: i + (1 << 16)]
-            near = p[(sig[p] != sig[p + gap]).sum(axis=1) <= MAX_DISTANCE]
+            near = p[(sig[p] != sig[p + gap]).sum(axis=1) <= distance_of(sig.shape[1])]
             left.append(at[near])
             right.append(at[near + gap])
         gap += 1
@@ -176,24 +197,26 @@ def _forest(key: np.ndarray, ids: np.ndarray, sig: np.ndarray) -> tuple[np.ndarr
     return nodes[child], nodes[root[child]]
 
 
-def _candidates(batches):
+def _candidates(places: int):
     """Rows (key, id, sig) sorted by key, at most KEY_ROWS of a key."""
-    rest = None
-    for b in batches:
-        key, ids = np.array(b.column(0)), np.array(b.column(1))
-        sig = np.frombuffer(b"".join(b.column(2).to_pylist()), dtype=np.uint8).reshape(-1, PLACES)
-        if rest is not None:
-            key, ids, sig = np.concatenate([rest[0], key]), np.concatenate([rest[1], ids]), np.concatenate([rest[2], sig])
-        if not len(key):
-            continue
-        cut = int(np.searchsorted(key, key[-1]))  # the last key may go on in the next batch
-        rest = key[cut:], ids[cut:], sig[cut:]
-        if cut:
-            x, y = _forest(key[:cut], ids[:cut], sig[:cut])
+    def run(batches):
+        rest = None
+        for b in batches:
+            key, ids = np.array(b.column(0)), np.array(b.column(1))
+            sig = np.frombuffer(b"".join(b.column(2).to_pylist()), dtype=np.uint8).reshape(-1, places)
+            if rest is not None:
+                key, ids, sig = np.concatenate([rest[0], key]), np.concatenate([rest[1], ids]), np.concatenate([rest[2], sig])
+            if not len(key):
+                continue
+            cut = int(np.searchsorted(key, key[-1]))  # the last key may go on in the next batch
+            rest = key[cut:], ids[cut:], sig[cut:]
+            if cut:
+                x, y = _forest(key[:cut], ids[:cut], sig[:cut])
+                yield pa.RecordBatch.from_arrays([pa.array(x), pa.array(y)], ["a", "b"])
+        if rest is not None and len(rest[0]):
+            x, y = _forest(*rest)
             yield pa.RecordBatch.from_arrays([pa.array(x), pa.array(y)], ["a", "b"])
-    if rest is not None and len(rest[0]):
-        x, y = _forest(*rest)
-        yield pa.RecordBatch.from_arrays([pa.array(x), pa.array(y)], ["a", "b"])
+    return run
 
 
 def _to_sets(k: int):
@@ -259,17 +282,18 @@ def links(docs: DataFrame, members: DataFrame, k: int = SHINGLE, num: int = NUM,
 
 def near_duplicates(docs: DataFrame, k: int = SHINGLE, num: int = NUM, den: int = DEN) -> DataFrame:
     """doc_id, n_shingles, component_id, kept of each row of `docs` (doc_id, text)."""
-    described = materialize(describe(docs, k), "sets")
+    places = chunks_for(num, den) * WIDTH
+    described = materialize(describe(docs, k, places), "sets")
     rows = described.filter("n_shingles > 0 AND doc_id IS NOT NULL")
     same = ["n_shingles", "f1", "f2"]
     classes = materialize(rows.groupBy(*same).agg(F.min("doc_id").alias("id")), "classes")
     signed = materialize(rows.join(classes.select(F.col("id").alias("doc_id"), *same), ["doc_id", *same], "left_semi")
                              .dropDuplicates(["doc_id", *same]).select(F.col("doc_id").alias("id"), "n_shingles", "sig"), "signatures")
-    filed = materialize(signed.select("id", "sig").mapInArrow(_file, "key long, id long"), "keys")
+    filed = materialize(signed.select("id", "sig").mapInArrow(_file(places), "key long, id long"), "keys")
     shared = filed.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("low")).filter("n > 1")
     meet = materialize(filed.join(shared, "key"), "meetings")
     few = meet.filter(F.col("n") <= KEY_ROWS).join(signed.select("id", "sig"), "id").select("key", "id", "sig")
-    found = few.repartition("key").sortWithinPartitions("key", "id").mapInArrow(_candidates, "a long, b long")
+    found = few.repartition("key").sortWithinPartitions("key", "id").mapInArrow(_candidates(places), "a long, b long")
     many = meet.filter((F.col("n") > KEY_ROWS) & (F.col("id") != F.col("low"))).select(F.col("id").alias("a"), F.col("low").alias("b"))
     clusters = components(found.unionByName(many).distinct())
     members = materialize(clusters.select(F.col("node").alias("id"), F.col("component").alias("cluster"))

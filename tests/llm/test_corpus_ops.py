@@ -137,6 +137,35 @@ def test_pairs_within_the_distance_share_a_key():
     assert (neardup.chunk_keys(a) == neardup.chunk_keys(b)).any(axis=1).all()
 
 
+def test_signatures_follow_the_threshold():
+    assert neardup.chunks_for(85, 100) == neardup.CHUNKS and neardup.distance_of(neardup.PLACES) == neardup.MAX_DISTANCE
+    places = neardup.chunks_for(80, 100) * neardup.WIDTH
+    most, rng = neardup.distance_of(places), np.random.default_rng(2)
+    assert sum(math.comb(places, i) * 0.2 ** i * 0.8 ** (places - i) for i in range(most + 1, places + 1)) <= neardup.MISS
+    a = rng.integers(0, 256, (300, places)).astype(np.uint8)
+    b = a.copy()
+    for row in b:
+        row[rng.choice(places, most, replace=False)] ^= 1
+    assert (neardup.chunk_keys(a) == neardup.chunk_keys(b)).any(axis=1).all()
+
+
+def test_near_dedup_stage_takes_five_words_and_four_fifths(spark, docs_of):
+    import corpus_pipeline as P
+    rng, rows, gone = random.Random(11), [], set()
+    for base in range(0, 400, 10):
+        w = sentence(rng, 304, 10 ** 6).split()  # 300 five-word shingles
+        rows.append((base, " ".join(w)))
+        rows.append((base + 1, " ".join(w + [f"n{base}x{i}" for i in range(75)])))  # 300 / 375 = 0.8
+        rows.append((base + 2, " ".join([f"m{base}x{i}" for i in range(76)] + w)))  # 300 / 376
+        far = list(w)
+        for at in range(10, 300, 37):  # 8 changes: 260 / 340 of five words, 278 / 326 = 0.853 of three
+            far[at] = f"z{base}x{at}"
+        rows.append((base + 3, " ".join(far)))
+        gone.add(base + 1)
+    kept = {r["doc_id"] for r in P.near_dedup(spark, docs_of(rows), SF).collect()}
+    assert kept == {i for i, _ in rows} - gone
+
+
 def test_components(spark):
     rng = random.Random(4)
     edges = [(i, i + 1) for i in range(0, 60)] + [(100 + rng.randrange(40), 100 + rng.randrange(40)) for _ in range(30)] + [(500, 500)]
