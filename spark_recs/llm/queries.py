@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spark_recs.llm import decontaminate, html, neardup, packing, pii, quality, records, toxicity, unigram, warc
+from spark_recs.llm import (decontaminate, html, lexical, neardup, packing, pii, quality, records, topk, toxicity, unigram,
+                            warc, whitening)
 from spark_recs.llm.tokens import vocabulary_path
 
 KEY = b"spark-recs-surrogates"  # the key of the registered runs; a deployment passes its own
@@ -64,9 +65,22 @@ def op10_near_duplicates(spark, sf_dir):
     return neardup.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op11_lexical_search(spark, sf_dir):
+    return lexical.rank(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+def op12_exact_topk(spark, sf_dir):
+    return topk.top_k(_table(spark, sf_dir, "embeddings"))
+
+
+def op13_whitening(spark, sf_dir):
+    return whitening.whiten(_table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_html_extraction, op2_binary_records, op3_warc_archive, op4_token_counts, op5_toxicity, op6_decontamination,
-    op7_best_fit_packing, op8_pii_surrogates, op9_quality_rules, op10_near_duplicates)}
+    op7_best_fit_packing, op8_pii_surrogates, op9_quality_rules, op10_near_duplicates, op11_lexical_search,
+    op12_exact_topk, op13_whitening)}
 
 ORACLE = {
     "op3_warc_archive": """
@@ -89,4 +103,28 @@ ORACLE = {
         c AS (SELECT x, min(y) AS component_id FROM r GROUP BY 1)
         SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, c.component_id, d.doc_id = c.component_id AS kept
         FROM documents d JOIN c ON c.x = d.doc_id LEFT JOIN n ON n.doc_id = d.doc_id""",
+    "op11_lexical_search": r"""
+        WITH d AS (
+            SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+        i AS (SELECT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS t
+            FROM (SELECT DISTINCT item_id, text FROM benchmark)),
+        times AS (SELECT item_id, t, count(*) AS times FROM i GROUP BY 1, 2),
+        s AS (SELECT count(*) FILTER (len(w) > 0) AS n_docs, CAST(sum(len(w)) AS BIGINT) AS n_terms FROM d),
+        m AS (SELECT r, doc_id, 25 + (75 * len(w) * n_docs) // n_terms AS m FROM d, s WHERE len(w) > 0),
+        tf AS (SELECT r, t, count(*) AS tf FROM (SELECT r, unnest(w) AS t FROM d) WHERE t IN (SELECT t FROM times) GROUP BY 1, 2),
+        wt AS (SELECT t, CAST(floor(1000 * ln(CAST(2 * n_docs + 2 AS DOUBLE) / (2 * count(*) + 1))) AS BIGINT) AS w
+            FROM tf, s GROUP BY t, n_docs),
+        part AS (SELECT tf.r, tf.t, w * ((1000000000 * tf) // (1000 * tf + 8 * m)) AS v FROM tf JOIN wt USING (t) JOIN m USING (r)),
+        scored AS (SELECT item_id, r, CAST(sum(times * v) AS BIGINT) AS score FROM part JOIN times USING (t) GROUP BY 1, 2)
+        SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score
+        FROM scored JOIN m USING (r) WHERE score > 0 QUALIFY rank <= 10""",
+    "op12_exact_topk": """
+        WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(64 * CAST(x AS DOUBLE))) AS x FROM embeddings
+            WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        s AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.x, c.x) AS BIGINT) AS score
+            FROM v q JOIN v c ON c.vec_id <> q.vec_id WHERE q.vec_id % 20 = 0)
+        SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
+        FROM s QUALIFY rank <= 20""",
 }
