@@ -39,7 +39,8 @@ from spark_recs.llm.topk import matrix, whole
 
 COMPONENTS, SCALE, SHIFT = 8, 1024, 100_000
 ROWS = 1024                    # rows squared at once
-_SUMS = "dims int, place int, value decimal(38,0)"
+_SUMS = "dims int, place int, limb int, value decimal(38,0)"
+_LIMB = 96                     # bits of a large sum that travel as one number
 _WHITE = "vec_id long, component int, n long, deviation long, whitened double, explained double, identity_error double"
 
 
@@ -64,9 +65,28 @@ def _rows(b, dims: int | None = None):
 
 
 def _numbers(dims: int, total) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([
-        pa.array([dims] * len(total), pa.int32()), pa.array(range(len(total)), pa.int32()),
-        pa.array([Decimal(int(t)) for t in total], pa.decimal128(38, 0))], ["dims", "place", "value"])
+    """A row per sum, or per `_LIMB` bits of one that needs more."""
+    rows = []
+    for place, t in enumerate(total):
+        limb, t = 0, int(t)
+        while abs(t) >> _LIMB:
+            rows.append((place, limb, Decimal(t & ((1 << _LIMB) - 1))))
+            limb, t = limb + 1, t >> _LIMB
+        rows.append((place, limb, Decimal(t)))
+    place, limb, value = zip(*rows)
+    return pa.RecordBatch.from_arrays([pa.array([dims] * len(rows), pa.int32()), pa.array(place, pa.int32()), pa.array(limb, pa.int32()),
+                                       pa.array(value, pa.decimal128(38, 0))], ["dims", "place", "limb", "value"])
+
+
+def _added(rows: DataFrame) -> DataFrame:
+    return rows.groupBy("dims", "place", "limb").agg(F.sum("value").cast("decimal(38,0)").alias("value"))
+
+
+def _totals(added: DataFrame) -> list[int]:
+    out: dict[int, int] = {}
+    for place, limb, value in added.select("place", "limb", "value").collect():
+        out[place] = out.get(place, 0) + (int(value) << (_LIMB * limb))
+    return [out[i] for i in range(len(out))]
 
 
 def _sum(batches):
@@ -193,15 +213,14 @@ def whiten(vectors: DataFrame, k: int = COMPONENTS, vec_id: str = "vec_id", vect
     spark = vectors.sparkSession
     src = vectors.filter(whole(vector)).select(F.col(vec_id).cast("long").alias("vec_id"), F.col(vector).alias("vector"))
     # tasks with only shorter vectors report their own length; one row per length and place
-    sums = materialize(src.mapInArrow(_sum, _SUMS).groupBy("dims", "place").agg(F.sum("value").cast("decimal(38,0)").alias("value")), "sums")
+    sums = materialize(_added(src.mapInArrow(_sum, _SUMS)), "sums")
     dims = sums.agg(F.max("dims")).first()[0]
     if not dims:
         return spark.createDataFrame([], _WHITE)
-    total = dict(sums.filter(F.col("dims") == dims).select("place", "value").collect())
-    n, s = int(total[0]), [int(total[i + 1]) for i in range(dims)]
+    n, *s = _totals(sums.filter(F.col("dims") == dims))
     pivot = np.array([(2 * v + n) // (2 * n) for v in s], dtype=object)
-    squares = dict(src.mapInArrow(_squares(pivot), _SUMS).groupBy("place").agg(F.sum("value").alias("value")).collect())
-    v = covariance(n, [a - n * int(p) for a, p in zip(s, pivot)], [int(squares[i]) for i in range(len(squares))])
+    squares = _totals(_added(src.mapInArrow(_squares(pivot), _SUMS)))
+    v = covariance(n, [a - n * int(p) for a, p in zip(s, pivot)], squares)
     fit = Fit(n, s, pivot, v, k)
     got = dict(src.mapInArrow(_moments(fit), "place int, value double").groupBy("place").agg(F.sum("value").alias("value")).collect())
     m = np.array([got[i] for i in range(len(got))]).reshape(-1, len(fit.e)) / n

@@ -184,4 +184,4 @@ def test_whitening_defined_results(spark):
     assert Counter((r.vec_id, r.component) for r in got) == {(1, 1): 2, (1, 2): 2, (None, 1): 1, (None, 2): 1}
     assert all(r.whitened == 0 and r.explained == 0 for r in got if r.component == 2)
     huge = whitening.whiten(spark.createDataFrame([(1, [3e18]), (2, [-3e18]), (3, [1.0])], VECTORS)).collect()
-    assert [r.deviation for r in huge] == [None] * 3 and huge[0].identity_error < 1e-9
+    assert {r.vec_id: r.deviation for r in huge} == {1: None, 2: None, 3: 2048 ** 2} and huge[0].identity_error < 1e-9
