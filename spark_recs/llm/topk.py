@@ -193,16 +193,18 @@ def top_k(vectors: DataFrame, k: int = TOP, every: int = EVERY, scale: float = S
     rows = materialize(rows.select(F.col(vec_id).cast("long").alias("id"), F.col(vector).alias("vector"), slot.alias("slot")), "vectors")
     is_query = F.pmod(F.col("id"), F.lit(every)) == 0
     n, n_queries = rows.agg(F.count(F.lit(1)), F.count_if(is_query)).first()
-    qb, cb = _blocks(n_queries, n, 2 * spark.sparkContext.defaultParallelism, block_rows)
+    tasks = 2 * spark.sparkContext.defaultParallelism
+    qb, cb = _blocks(n_queries, n, tasks, block_rows)
+    sb = max(qb, min(tasks, -(-n_queries // BATCH)))  # the first round has but one block of candidates
 
     def each(blocks: int) -> Column:
         return F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)).cast("array<long>"))
 
     seeds = max(1, n // seed_rows)
-    left = rows.filter(is_query).withColumn("qb", F.pmod("slot", F.lit(qb)))
-    right = rows.filter(F.pmod(F.shiftright("slot", 8), F.lit(seeds)) == 0).select("id", "vector", each(qb).alias("qb"))
+    left = rows.filter(is_query).withColumn("sb", F.pmod("slot", F.lit(sb))).repartition(sb, "sb")
+    right = rows.filter(F.pmod(F.shiftright("slot", 8), F.lit(seeds)) == 0).select("id", "vector", each(sb).alias("sb")).repartition(sb, "sb")
     schema = rows.select("id", "slot", "vector").schema.add("floor", "long")
-    floors = left.groupBy("qb").cogroup(right.groupBy("qb")).applyInArrow(_task(k, scale, True), schema)
+    floors = left.groupBy("sb").cogroup(right.groupBy("sb")).applyInArrow(_task(k, scale, True), schema)
     left = floors.select("id", "vector", "floor", F.pmod("slot", F.lit(qb)).alias("qb"), each(cb).alias("cb"))
     right = rows.select("id", "vector", F.pmod("slot", F.lit(cb)).alias("cb"), each(qb).alias("qb"))
     found = left.groupBy("qb", "cb").cogroup(right.groupBy("qb", "cb")).applyInArrow(_task(k, scale, False), _SCORES)
