@@ -9,6 +9,13 @@ into its own bucket and into those whose code differs in up to ``flips`` bits.
 More tables and flips raise recall; zero bits puts everything in one bucket
 (exact search).
 
+With a ``recall`` target the effort is fitted instead (``fit_effort``): a query's
+buckets are ordered by its margins to the hyperplanes that separate it from
+them, and the number of tables and of buckets probed per table is the cheapest
+that finds the target share of the exact lists of a bounded sample of queries.
+The fitted effort never meets more pairs than an exact search: one table with
+all its buckets probed is one.
+
 Top-k never ships vectors per candidate pair.  Query and item vectors are
 cogrouped per bucket (table, code) and scored a bounded tile at a time (NumPy
 matmul), keeping each query's best k; the lists of all buckets are then
@@ -32,12 +39,16 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from spark_recs.functions.columns import dot
+from spark_recs.functions.columns import dot, hash_key
 from spark_recs.operators.scoring import _OUT, _tile_topk, blocked_topk
 from spark_recs.session import scratch_path
 
 DEFAULT_BUCKET_ROWS = 8_192
 BUCKET_ITEMS = 256            # items aimed at per bucket
+MAX_BITS = 12                 # of a fitted index: a query's buckets are ordered one by one
+SAMPLE_QUERIES = 256          # queries that the effort is fitted on
+SLACK = 0.02                  # added to the target when fitting on the sample
+ORDER_CELLS = 1 << 21         # bucket costs held at once in a task
 
 
 def hyperplanes(dim: int, tables: int, bits: int, seed: int) -> np.ndarray:
@@ -67,26 +78,13 @@ def item_stats(items: DataFrame) -> tuple[float, int, int]:
 def _codes_udf(planes: np.ndarray, m2: float | None):
     """Arrow-batched hashing: one (n × d+1) @ (d+1 × tables·bits) matmul per
     batch, sign bits packed into one code per table."""
-    tables, bits, width = planes.shape
-    P = planes.reshape(tables * bits, width).T.copy()
-    weights = (1 << np.arange(bits, dtype=np.int64))
+    weights = 1 << np.arange(planes.shape[1], dtype=np.int64)
 
     @F.pandas_udf(T.ArrayType(T.LongType()))
     def codes(features: pd.Series) -> pd.Series:
         if len(features) == 0:
             return pd.Series([], dtype=object)
-        X = np.vstack(features.to_numpy()).astype(np.float64)
-        if m2 is None:
-            extra = np.zeros(len(X))
-        else:
-            extra = np.sqrt(np.maximum(m2 - np.einsum("ij,ij->i", X, X), 0.0))
-        V = np.hstack([X, extra[:, None]])
-        if bits == 0:
-            packed = np.zeros((len(V), tables), dtype=np.int64)
-        else:
-            signs = (V @ P > 0).reshape(len(V), tables, bits).astype(np.int64)
-            packed = signs @ weights
-        return pd.Series(list(packed))
+        return pd.Series(list((_projections(features, planes, m2) > 0) @ weights))
     return codes
 
 
@@ -103,10 +101,116 @@ def bucket_codes(df: DataFrame, planes: np.ndarray, m2: float | None, keep=(), f
                 .select("id", *keep, "table", F.col("code").bitwiseXOR(F.col("mask")).alias("code")))
 
 
-def _salted(queries: DataFrame, items: DataFrame, planes: np.ndarray, m2: float, flips: int,
+def _probed(margins: np.ndarray) -> np.ndarray:
+    """(rows, tables, buckets): the cost of reaching each bucket, by its mask
+    against the row's own code: the squared margins of the bits that differ."""
+    bits = margins.shape[2]
+    masks = (np.arange(1 << bits)[:, None] >> np.arange(bits)) & 1
+    return (margins ** 2) @ masks.T
+
+
+def _slices(n: int, planes: np.ndarray):
+    step = max(1, ORDER_CELLS // (planes.shape[0] << planes.shape[1]))
+    return ((a, min(n, a + step)) for a in range(0, n, step))
+
+
+def _projections(features: pd.Series, planes: np.ndarray, m2: float | None) -> np.ndarray:
+    """(rows, tables, bits) products with the hyperplanes."""
+    X = np.vstack(features.to_numpy()).astype(np.float64)
+    extra = np.zeros(len(X)) if m2 is None else np.sqrt(np.maximum(m2 - np.einsum("ij,ij->i", X, X), 0.0))
+    tables, bits, width = planes.shape
+    return (np.hstack([X, extra[:, None]]) @ planes.reshape(tables * bits, width).T).reshape(len(X), tables, bits)
+
+
+def probe_codes(df: DataFrame, planes: np.ndarray, probes: int, keep=()) -> DataFrame:
+    """(id, table, code, *keep): each query's ``probes`` cheapest buckets per table."""
+    weights = 1 << np.arange(planes.shape[1], dtype=np.int64)
+
+    @F.pandas_udf(T.ArrayType(T.ArrayType(T.LongType())))
+    def codes(features: pd.Series) -> pd.Series:
+        out = []
+        for a, b in _slices(len(features), planes):
+            p = _projections(features.iloc[a:b], planes, None)
+            cheapest = np.argsort(_probed(np.abs(p)), axis=2, kind="stable")[:, :, :probes]
+            out += (((p > 0) @ weights)[:, :, None] ^ cheapest).tolist()
+        return pd.Series(out)
+
+    rows = df.select("id", *keep, F.posexplode(codes("features")).alias("table", "codes"))
+    return rows.select("id", *keep, "table", F.explode("codes").alias("code"))
+
+
+def _probe_ranks(planes: np.ndarray, m2: float):
+    """For a query and an item: per table, how many buckets the query probes
+    until it meets the item."""
+    weights = 1 << np.arange(planes.shape[1], dtype=np.int64)
+
+    @F.pandas_udf(T.ArrayType(T.LongType()))
+    def ranks(query: pd.Series, item: pd.Series) -> pd.Series:
+        out = []
+        for a, b in _slices(len(query), planes):
+            p, i = _projections(query.iloc[a:b], planes, None), _projections(item.iloc[a:b], planes, m2)
+            mask = ((p > 0) ^ (i > 0)) @ weights
+            cost = _probed(np.abs(p))
+            own = np.take_along_axis(cost, mask[:, :, None], axis=2)
+            before = (cost < own) | ((cost == own) & (np.arange(cost.shape[2]) < mask[:, :, None]))
+            out += (before.sum(axis=2) + 1).tolist()
+        return pd.Series(out)
+    return ranks
+
+
+def sample_queries(queries: DataFrame, seed: int, n: int = SAMPLE_QUERIES) -> DataFrame:
+    """The ``n`` queries of smallest seeded hash: a bounded sample that does not
+    depend on the partitioning."""
+    return queries.select("id", "features").orderBy(hash_key(seed, ["id"]), "id").limit(n)
+
+
+def fit_effort(queries: DataFrame, items: DataFrame, k: int, planes: np.ndarray, m2: float, recall: float, seed: int,
+               exclude_self: bool = True, sample: int = SAMPLE_QUERIES, slack: float = SLACK) -> tuple[int, int]:
+    """(tables, probes): of 1, 2, 4, ... tables the cheapest effort that finds a
+    share of ``recall + slack`` of the sample's exact top-k.  What is brought
+    to the driver is a histogram of bucket ranks."""
+    chosen = sample_queries(queries, seed, sample)
+    pairs = blocked_topk(chosen, items, k, exclude_self=exclude_self).select("user_id", "item_id")
+    q = chosen.select(F.col("id").cast("long").alias("user_id"), F.col("features").alias("_q"))
+    i = items.select(F.col("id").cast("long").alias("item_id"), F.col("features").alias("_i"))
+    ranks = pairs.join(q, "user_id").join(i, "item_id").select(_probe_ranks(planes, m2)("_q", "_i").alias("ranks"))
+    tried = [t for t in (1 << e for e in range(16)) if t <= planes.shape[0]]
+    least = ranks.select(F.explode(F.array(*[F.struct(F.lit(t).alias("tables"), F.array_min(F.slice("ranks", 1, t)).alias("rank"))
+                                             for t in tried])).alias("x"))
+    found = least.groupBy("x.tables", "x.rank").agg(F.count(F.lit(1)).alias("n")).collect()
+    best = (1, 1, 1)
+    if found:
+        best = min(_effort(t, sorted((r["rank"], r["n"]) for r in found if r["tables"] == t), recall + slack) for t in tried)
+    return best[1], best[2]
+
+
+def _effort(tables: int, histogram: list[tuple[int, int]], share: float) -> tuple[int, int, int]:
+    """(buckets probed, tables, probes per table) that reach the share."""
+    total, met = sum(n for _, n in histogram), 0
+    for rank, n in histogram:
+        met += n
+        if met >= share * total:
+            break
+    return tables * rank, tables, rank
+
+
+def _plan(queries: DataFrame, items: DataFrame, k: int, tables: int, seed: int, bits: int | None, flips: int,
+          bucket_items: int, recall: float | None, exclude_self: bool):
+    """(planes, m2, function that gives the queries' probed buckets)."""
+    m2, dim, n = item_stats(items)
+    if recall is None:
+        planes = hyperplanes(dim, tables, index_bits(n, bucket_items) if bits is None else bits, seed)
+        return planes, m2, lambda keep: bucket_codes(queries, planes, None, keep, flips)
+    planes = hyperplanes(dim, tables, min(MAX_BITS, index_bits(n, bucket_items)) if bits is None else bits, seed)
+    used, probes = fit_effort(queries, items, k, planes, m2, recall, seed, exclude_self)
+    planes = planes[:used]
+    return planes, m2, lambda keep: probe_codes(queries, planes, probes, keep)
+
+
+def _salted(probed: DataFrame, items: DataFrame, planes: np.ndarray, m2: float,
             bucket_rows: int) -> tuple[DataFrame, DataFrame]:
     """Both sides keyed by (table, code, qs, is) with hot buckets split."""
-    qc = bucket_codes(queries, planes, None, ("features",), flips).withColumnRenamed("id", "user_id")
+    qc = probed.withColumnRenamed("id", "user_id")
     ic = bucket_codes(items, planes, m2, ("features",)).withColumnRenamed("id", "item_id")
     qn = qc.groupBy("table", "code").agg(F.count(F.lit(1)).alias("nq"))
     iN = ic.groupBy("table", "code").agg(F.count(F.lit(1)).alias("ni"))
@@ -124,13 +228,12 @@ def _salted(queries: DataFrame, items: DataFrame, planes: np.ndarray, m2: float,
 
 
 def candidate_counts(queries: DataFrame, items: DataFrame, tables: int, seed: int, bits: int | None = None,
-                     flips: int = 1, bucket_items: int = BUCKET_ITEMS) -> DataFrame:
+                     flips: int = 1, bucket_items: int = BUCKET_ITEMS, recall: float | None = None, k: int = 100) -> DataFrame:
     """(user_id, n_buckets, n_candidates): buckets probed that hold items, and
     the items in them, a query itself and repeats between tables included."""
-    m2, dim, n = item_stats(items)
-    planes = hyperplanes(dim, tables, index_bits(n, bucket_items) if bits is None else bits, seed)
+    planes, m2, probed = _plan(queries, items, k, tables, seed, bits, flips, bucket_items, recall, True)
     sizes = bucket_codes(items, planes, m2).groupBy("table", "code").agg(F.count(F.lit(1)).alias("ni"))
-    probes = bucket_codes(queries, planes, None, flips=flips)
+    probes = probed(())
     return (probes.join(sizes, ["table", "code"], "left").groupBy(F.col("id").cast("long").alias("user_id"))
                   .agg(F.count("ni").alias("n_buckets"), F.coalesce(F.sum("ni"), F.lit(0)).alias("n_candidates")))
 
@@ -143,15 +246,15 @@ def _final_topk(scored: DataFrame, k: int) -> DataFrame:
 
 def ann_topk(queries: DataFrame, items: DataFrame, k: int, tables: int, seed: int, bits: int | None = None,
              flips: int = 1, exclude_self: bool = True, bucket_items: int = BUCKET_ITEMS,
-             bucket_rows: int = DEFAULT_BUCKET_ROWS, complete: bool = True) -> DataFrame:
+             bucket_rows: int = DEFAULT_BUCKET_ROWS, complete: bool = True, recall: float | None = None) -> DataFrame:
     """Per-query top-k among the items of the probed buckets; exact for
-    queries that meet fewer than k.  The first lists are written once, as the
+    queries that meet fewer than k.  ``recall``: the share of the exact lists
+    to find; it fits the effort, in place of ``flips``.  The first lists are written once, as the
     second search depends on them.  With ``complete=False`` such queries keep
     what their buckets hold, in one lazy pass."""
     spark = queries.sparkSession
-    m2, dim, n = item_stats(items)
-    planes = hyperplanes(dim, tables, index_bits(n, bucket_items) if bits is None else bits, seed)
-    qs, is_ = _salted(queries, items, planes, m2, flips, bucket_rows)
+    planes, m2, probed = _plan(queries, items, k, tables, seed, bits, flips, bucket_items, recall, exclude_self)
+    qs, is_ = _salted(probed(("features",)), items, planes, m2, bucket_rows)
     # fresh column ids on each side: queries and items may be one frame
     left = qs.select("table", "code", "qs", "is", "user_id", F.col("features").alias("features"),
                      F.lit(0.0).alias("bias"))

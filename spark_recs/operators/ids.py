@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from spark_recs.operators.sequence import dense_ids
+from spark_recs.sources import schemas
 
 
 def item_id_map(seq: DataFrame, item: str = "recording_mbid", out: str = "track_id",
@@ -48,3 +50,40 @@ def known_only(df: DataFrame, reference: DataFrame, user: str = "user_id",
     users = reference.select(user).distinct()
     items = reference.select(item).distinct()
     return df.join(users, user, "left_semi").join(items, item, "left_semi")
+
+
+# ------------------------------------------------------------- growing map
+class BatchGap(ValueError):
+    """A batch out of turn."""
+
+
+_BATCHES = T.StructType([T.StructField("n_new", T.LongType()), T.StructField("batch", T.IntegerType())])
+
+
+def read_id_map(spark: SparkSession, path: str) -> DataFrame:
+    """The growing map stored under ``path``: (id, key, batch)."""
+    return spark.read.parquet(f"{path}/map")
+
+
+def grow_id_map(df: DataFrame, path: str, batch: int, key: str = "recording_mbid", out: str = "track_id", start: int = 1,
+                num_partitions: int | None = None) -> DataFrame:
+    """Adds the keys of ``df`` that the map under ``path`` lacks, numbered in key
+    order after its largest id, and returns the map (out, key, batch).
+
+    Batches are numbered from 0, and each is a partition of the map.  A batch
+    looks at earlier ones only, so that repeating the last one writes the same
+    rows again: ids never move and stay dense.  A batch is refused while one
+    before it is missing or once another followed."""
+    spark = df.sparkSession
+    keys = df.select(key).filter(F.col(key).isNotNull()).distinct()
+    if batch:
+        done = {r["batch"]: r["n_new"] for r in spark.read.schema(_BATCHES).parquet(f"{path}/batches").collect()}  # one row per batch
+        if set(range(batch)) - set(done) or max(done) > batch:
+            raise BatchGap(f"{path} holds the batches {sorted(done)}, so {batch} can't be next")
+        start += sum(n for b, n in done.items() if b < batch)
+        keys = keys.join(read_id_map(spark, path).filter(F.col("batch") < batch).select(key), key, "left_anti")
+    new = dense_ids(keys, key, out, start, num_partitions).withColumn("batch", F.lit(batch))
+    schemas.replace_partitions(new, f"{path}/map", ["batch"])
+    n_new = read_id_map(spark, path).filter(F.col("batch") == batch).count()
+    schemas.replace_partitions(spark.createDataFrame([(n_new, batch)], _BATCHES).coalesce(1), f"{path}/batches", ["batch"])
+    return read_id_map(spark, path)

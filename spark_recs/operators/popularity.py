@@ -55,6 +55,13 @@ def popularity(df: DataFrame, kind: str = "interactions", k: int = DEFAULT_K,
     return top_k(_score(stats, kind, beta, item), k, item)
 
 
+def from_stats(stats: DataFrame, kind: str, k: int = DEFAULT_K, beta: float = DEFAULT_BETA,
+               item: str = "recording_mbid") -> DataFrame:
+    """Top-k ranked list from item statistics made elsewhere (``n_interactions``
+    and / or ``n_users`` per item)."""
+    return top_k(_score(stats, kind, beta, item), k, item)
+
+
 def beta_sweep(df: DataFrame, betas: Sequence[float], k: int = DEFAULT_K,
                item: str = "recording_mbid", user: str = "user_id") -> DataFrame:
     """Damped top-k for several betas from one pass of item statistics:

@@ -25,6 +25,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from spark_recs.functions.columns import dot
+from spark_recs.session import scratch_path
+
 MAX_TILE_CELLS = 1 << 23      # scores held at once in a task (64 MiB of float64)
 MAX_BLOCK = 1 << 16           # users or items per block: a block of rank-25 vectors is 13 MB
 
@@ -160,6 +163,98 @@ def blocked_topk(users: DataFrame, items: DataFrame, k: int,
                    .select("user_id", "rank", "item_id", "score"))
 
 
+# --------------------------------------------------------- norm-bounded search
+BOUND_BLOCK = 1 << 13         # items per block of similar norm
+
+
+def norm_blocks(items: DataFrame, n_items: int, block: int = BOUND_BLOCK) -> DataFrame:
+    """(item_id, features, block): items in blocks of falling norm, of about
+    ``block`` rows.  Block borders are approximate quantiles of the norm; where
+    many items share a norm, a hash of the id splits them further."""
+    i = items.select(F.col("id").cast("long").alias("item_id"), "features", F.sqrt(dot(F.col("features"), F.col("features"))).alias("norm"))
+    n = max(1, math.ceil(n_items / block))
+    if n == 1:
+        return i.withColumn("block", F.lit(0).cast("long"))
+    borders = i.agg(F.percentile_approx("norm", [(n - j) / n for j in range(1, n)], 100 * n).alias("b")).first()["b"]
+    borders = sorted(set(borders), reverse=True)
+    band = F.size(F.filter(F.array(*[F.lit(x) for x in borders]), lambda b: F.col("norm") < b))
+    banded = i.withColumn("band", band)
+    sizes = {r["band"]: r["n"] for r in banded.groupBy("band").agg(F.count(F.lit(1)).alias("n")).collect()}  # one row per band
+    first, at = {}, 0
+    for b in sorted(sizes):
+        parts = math.ceil(sizes[b] / (2 * block))
+        first[b], at = (at, parts), at + parts
+    start = F.element_at(F.create_map(*[F.lit(x) for b, (s, _) in first.items() for x in (b, s)]), F.col("band"))
+    parts = F.element_at(F.create_map(*[F.lit(x) for b, (_, p) in first.items() for x in (b, p)]), F.col("band"))
+    return banded.select("item_id", "features", "norm", (start + F.pmod(F.xxhash64("item_id"), parts)).alias("block"))
+
+
+class NormBound:
+    """Exact top-k that leaves out what norms exclude: no item of a block can
+    score more than the query's norm times the block's largest norm.
+
+    Every user is scored against the block of largest norms; its k-th score there
+    is a floor of its k-th best score overall.  Then a user meets only the blocks
+    that can beat its floor; the others are left out before the shuffle.  Only
+    products that can't enter a list are dropped, so the lists are those of
+    ``blocked_topk``.
+    """
+
+    def __init__(self, users: DataFrame, items: DataFrame, k: int, exclude_self: bool = False, block: int = BOUND_BLOCK,
+                 max_block: int = MAX_BLOCK):
+        spark = users.sparkSession
+        self.k, self.exclude_self = k, exclude_self
+        self.n_users, self.n_items = users.count(), items.count()
+        self.ub = max(1, math.ceil(self.n_users / max_block), min(spark.sparkContext.defaultParallelism, self.n_users))
+        path = scratch_path(spark, "norm_blocks")
+        norm_blocks(items, self.n_items, block).write.parquet(path)
+        self.items = spark.read.parquet(path)
+        # one row per block: (block, items, largest norm)
+        self.blocks = sorted(tuple(r) for r in self.items.groupBy("block").agg(F.count(F.lit(1)), F.max("norm")).collect())
+        u = users.select(F.col("id").cast("long").alias("user_id"), F.col("features").alias("features"),
+                         F.sqrt(dot(F.col("features"), F.col("features"))).alias("unorm"))
+        self.users = u.withColumn("ub", F.pmod(F.xxhash64("user_id"), F.lit(self.ub)))
+        path = scratch_path(spark, "norm_first")
+        self._score(self.users.withColumn("block", F.lit(0).cast("long"))).write.parquet(path)
+        self.first = spark.read.parquet(path)
+
+    def _score(self, left: DataFrame) -> DataFrame:
+        """Lists of (user, block) pairs, each within its block."""
+        left = left.select("ub", "block", "user_id", "features", F.lit(0.0).alias("bias"))
+        right = self.items.select("block", F.explode(F.sequence(F.lit(0), F.lit(self.ub - 1)).cast("array<long>")).alias("ub"),
+                                  F.lit(None).cast("long").alias("user_id"), "item_id", "features", F.lit(0.0).alias("bias"), F.lit(0).alias("kind"))
+        return (left.groupBy("ub", "block").cogroup(right.groupBy("ub", "block"))
+                    .applyInPandas(_tile_topk(self.k, self.exclude_self), _OUT))
+
+    def pairs(self) -> DataFrame:
+        """(ub, block, user_id, features): the further blocks that can beat the
+        user's floor; a user with a short first list meets all."""
+        floors = self.first.groupBy("user_id").agg(F.count(F.lit(1)).alias("_n"), F.min("score").alias("_floor"))
+        floors = floors.select("user_id", F.when(F.col("_n") >= self.k, F.col("_floor")).alias("_floor"))
+        rest = [b for b in self.blocks if b[0] > 0]
+        if not rest:
+            return self.users.limit(0).withColumn("block", F.lit(0).cast("long"))
+        table = F.array(*[F.struct(F.lit(b).cast("long").alias("block"), F.lit(float(m)).alias("norm")) for b, _, m in rest])
+        bound = lambda b: F.col("unorm") * b["norm"] * F.lit(1 + 1e-9)
+        useful = F.filter(table, lambda b: F.col("_floor").isNull() | (bound(b) >= F.col("_floor")))
+        return (self.users.join(floors, "user_id", "left")
+                    .select("ub", "user_id", "features", F.explode(useful).alias("_b")).select("ub", "user_id", "features", "_b.block"))
+
+    def top_k(self) -> DataFrame:
+        """(user_id, rank, item_id, score), equal to ``blocked_topk``."""
+        lists = self.first.unionByName(self._score(self.pairs()))
+        w = Window.partitionBy("user_id").orderBy(F.desc("score"), F.asc("item_id"))
+        return (lists.withColumn("rank", F.row_number().over(w).cast("long")).filter(F.col("rank") <= self.k)
+                     .select("user_id", "rank", "item_id", "score"))
+
+    def products(self) -> DataFrame:
+        """One row (n_products, n_scored): of all user × item products, those computed."""
+        size = F.create_map(*[F.lit(x) for b, n, _ in self.blocks for x in (b, n)]) if self.blocks else F.lit(None).cast("map<long,long>")
+        first = self.n_users * (self.blocks[0][1] if self.blocks else 0)
+        return self.pairs().agg((F.coalesce(F.sum(F.element_at(size, F.col("block"))), F.lit(0)) + F.lit(first)).alias("n_scored")).select(
+            F.lit(self.n_users * self.n_items).alias("n_products"), "n_scored")
+
+
 def recs_as_arrays(recs: DataFrame) -> DataFrame:
     """(user_id, reco array<long>) in rank order; lists are bounded by k."""
     srt = F.array_sort(F.collect_list(F.struct("rank", "item_id")))

@@ -94,6 +94,43 @@ def sequence_within(df: DataFrame, group: Sequence[str], order: Sequence[str | C
     return res.drop("_inside", "_cell", "_before", "_total", *[f"_k{i}" for i in range(len(keys))])
 
 
+MAX_CUTS = 100_000  # cut points that are broadcast
+
+
+def with_quantile_cells(df: DataFrame, group: Sequence[str], coarse: str, fine: Sequence[str], out: str = "_cell",
+                        cell_rows: int = 1_000_000, sample_rows: int = 400_000, seed: int = 7) -> DataFrame:
+    """``df`` with a cell for ``sequence_within`` that splits hot cells of the
+    ``coarse`` column (one user's listens of one day) by sampled quantiles of
+    the ``fine`` order inside them.
+
+    The coarse cells are counted.  Those above ``cell_rows`` get cut points from
+    a sample of their rows (about ``sample_rows`` in all); a row's part is the
+    number of cut points at or below it, so cells rise with (coarse, fine)
+    whatever the sample, which only sets how even they are.  There are at most
+    ``MAX_CUTS`` cut points (cells grow beyond that), which are broadcast.  Rows
+    equal in every fine column stay in one cell.
+    """
+    keys = [*group, coarse]
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    cell_rows = max(cell_rows, -(-2 * df.count() // MAX_CUTS))
+    hot = counts.filter(F.col("_n") > cell_rows).select(*[F.col(k).alias(f"_h{i}") for i, k in enumerate(keys)], "_n")
+    same = [F.col(k).eqNullSafe(F.col(f"_h{i}")) for i, k in enumerate(keys)]
+    total = hot.agg(F.sum("_n")).first()[0]
+    if not total:
+        return df.withColumn(out, F.struct(F.col(coarse).alias("coarse"), F.lit(0).alias("part")))
+    key = F.struct(*[F.col(c).alias(f"f{i}") for i, c in enumerate(fine)])
+    drawn = (df.filter(F.pmod(F.xxhash64(*keys, *fine, F.lit(seed)), F.lit(max(1, total // sample_rows))) == 0)
+               .join(F.broadcast(hot), same).select(*[f"_h{i}" for i in range(len(keys))], "_n", key.alias("_k")))
+    drawn = (drawn.groupBy(*[f"_h{i}" for i in range(len(keys))], "_n").agg(F.array_sort(F.collect_list("_k")).alias("_s"))
+                  .withColumn("_parts", F.ceil(F.col("_n") / F.lit(cell_rows)).cast("int")))
+    cut = lambda i: F.col("_s")[F.floor(i * F.size("_s") / F.col("_parts")).cast("int")]
+    cuts = F.array_distinct(F.transform(F.sequence(F.lit(1), F.col("_parts") - 1), cut))
+    cuts = drawn.select(*[f"_h{i}" for i in range(len(keys))], cuts.alias("_cuts"))
+    part = F.coalesce(F.size(F.filter("_cuts", lambda c: c <= key)), F.lit(0))
+    cell = F.struct(F.col(coarse).alias("coarse"), F.when(F.col("_cuts").isNull(), 0).otherwise(part).alias("part"))
+    return df.join(F.broadcast(cuts), same, "left").select(*df.columns, cell.alias(out))
+
+
 def dense_ids(df: DataFrame, key: str, out: str, start: int = 1,
               num_partitions: int | None = None) -> DataFrame:
     """``row_number() over (order by key)`` over the distinct keys: a dense

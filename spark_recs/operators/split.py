@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from spark_recs.functions.columns import hash_key, hash_unit, split_is_train, split_is_val
-from spark_recs.operators.sequence import sequence_within
+from spark_recs.operators.sequence import sequence_within, with_quantile_cells
 from spark_recs.sources import schemas
 
 SEQUENCE_COLUMNS = ["user_id", "recording_msid", "timestamp", "recording_mbid", "count", "row_number"]
@@ -21,9 +21,11 @@ TRAIN_PERCENT = 80
 def _sequenced(canon: DataFrame, order: list, cell, materialize: bool) -> DataFrame:
     # a null user has no per-user count and belongs to no split
     rows = canon.filter(F.col("user_id").isNotNull())
+    if materialize:  # the numbering reads its rows twice: the joins behind them run once
+        rows = schemas.materialize(rows, "canonical")
     seq = sequence_within(rows, ["user_id"], order, cell)
     seq = seq.select(*SEQUENCE_COLUMNS)
-    # written only for callers that read it in several jobs
+    # written only for callers that read it several times
     return schemas.materialize(seq, "sequenced") if materialize else seq
 
 
@@ -33,6 +35,14 @@ def temporal_sequence(canon: DataFrame, materialize: bool = False) -> DataFrame:
     return _sequenced(canon, ["timestamp", "recording_msid", "recording_mbid"], F.col("timestamp"), materialize)
 
 
+def temporal_sequence_by_quantiles(canon: DataFrame, cell_rows: int = 1_000_000) -> DataFrame:
+    """``temporal_sequence`` where one user's listens of one day may be many:
+    such a day is cut into parts by sampled quantiles of the listens' order."""
+    order = ["recording_msid", "recording_mbid"]
+    rows = with_quantile_cells(canon.filter(F.col("user_id").isNotNull()), ["user_id"], "timestamp", order, "_part", cell_rows)
+    return sequence_within(rows, ["user_id"], ["timestamp", *order], F.col("_part")).select(*SEQUENCE_COLUMNS)
+
+
 def random_sequence(canon: DataFrame, seed: int = RANDOM_SEED,
                     materialize: bool = False) -> DataFrame:
     """Number each user's listens in a seeded pseudo-random order (md5 of

@@ -16,14 +16,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from spark_recs.functions.columns import dot
-from spark_recs.operators import als, ann, ids, matrix, metrics, popularity, prepare, scoring, split
+from spark_recs.operators import als, ann, ann_index, bitmaps, ids, matrix, metrics, popularity, prepare, profiles, scoring, split
 from spark_recs.operators.sequence import sequence_within
 from spark_recs.session import scratch_path
+from spark_recs.sources import bucketed, daily
 from spark_recs.sources import fixtures as fx
 from spark_recs.sources import schemas
 
 K = 100           # list length of the popularity baselines and metrics
 SAMPLE_SEED = 45  # seed of the subsamples
+CELL_ROWS = 4     # listens per part of a (user, day) in the quantile-cell key: the tables have few a day
 BETAS = [0, 10, 100, 1000]
 
 
@@ -40,10 +42,12 @@ def _big(c: str) -> F.Column:
 
 
 class Tables:
-    """Intermediate tables of one query, built lazily from the fixtures."""
+    """Intermediate tables of one query, built lazily from the fixtures.
+    ``stored``: for queries that use the sequence more than once, it is written
+    and read again instead of being built by each use."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
-        self.spark, self.sf_dir = spark, sf_dir
+    def __init__(self, spark: SparkSession, sf_dir: str, stored: bool = False):
+        self.spark, self.sf_dir, self.stored = spark, sf_dir, stored
 
     @cached_property
     def tracks(self) -> DataFrame:
@@ -71,7 +75,7 @@ class Tables:
 
     @cached_property
     def seq(self) -> DataFrame:
-        return split.temporal_sequence(self.canon)
+        return split.temporal_sequence(self.canon, materialize=self.stored)
 
     @cached_property
     def train(self) -> DataFrame:
@@ -178,7 +182,60 @@ def parquet_roundtrip(spark, sf_dir):
     return _seq_out(back.filter(F.col("split") == "train"))
 
 
+def sequence_quantile_cells(spark, sf_dir):
+    """The temporal sequence with every (user, day) of over ``CELL_ROWS``
+    listens cut into parts by sampled quantiles."""
+    return _seq_out(split.temporal_sequence_by_quantiles(Tables(spark, sf_dir).canon, CELL_ROWS))
+
+
+def _bucketed(spark, sf_dir):
+    return bucketed.read_bucketed_log(spark, bucketed.write_bucketed_log(Tables(spark, sf_dir).canon))
+
+
+def sequence_bucketed(spark, sf_dir):
+    """The temporal sequence read from the bucketed log: no listen is shuffled."""
+    return _seq_out(split.temporal_sequence(_bucketed(spark, sf_dir)))
+
+
+def user_counts_bucketed(spark, sf_dir):
+    """Listens per user, counted in the buckets."""
+    return bucketed.user_counts(_bucketed(spark, sf_dir))
+
+
+def daily_sink(spark, sf_dir):
+    """The event log written by day, its odd days written a second time, and
+    read back with each day's row count checked."""
+    path = scratch_path(spark, "daily_log")
+    log = fx.event_interactions(spark, sf_dir)
+    daily.write_days(log, path, "ts")
+    daily.write_days(log.filter(F.dayofmonth("ts") % 2 == 1), path, "ts")
+    back = daily.read_days(spark, path, log.schema)
+    return back.select(_big("user_id"), "item_id", F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("ts"))
+
+
+def daily_profile(spark, sf_dir):
+    """Percentiles of events per user and day, merged from stored day sketches,
+    the second half of the month added after the first: what was merged, and
+    whether every percentile is within the sketch's rank error."""
+    log = fx.event_interactions(spark, sf_dir).filter(F.col("user_id").isNotNull())
+    path = scratch_path(spark, "day_sketches")
+    for half in (F.dayofmonth("ts") <= 15, F.dayofmonth("ts") > 15):
+        profiles.add_days(log.filter(half), path, "ts")
+    merged = profiles.merged_profile(profiles.stored_sketches(spark, path))
+    worst = max(profiles.rank_errors(merged, profiles.user_day_counts(log, "ts")).values(), default=0.0)
+    return merged.select("n_days", "n_values", F.lit(worst <= profiles.RANK_ERROR).alias("within_error"))
+
+
 # -------------------------------------------------------------- popularity
+def popularity_distinct_users_bitmap(spark, sf_dir):
+    """Popularity by distinct listeners from stored bitmaps per item and day,
+    kept by year, as the tables have few listens a day."""
+    train = Tables(spark, sf_dir, stored=True).train
+    path = scratch_path(spark, "day_bitmaps")
+    schema = bitmaps.add_days(ids.encode(train, ids.user_id_map(train), "user_id", "inner"), path, unit="year")
+    return popularity.from_stats(bitmaps.distinct_users(bitmaps.stored_bitmaps(spark, path, schema)), "distinct_users", K)
+
+
 def popularity_interactions(spark, sf_dir):
     return popularity.popularity(Tables(spark, sf_dir).train, "interactions", K)
 
@@ -209,22 +266,30 @@ def item_id_map_sql(spark, sf_dir):
     return ids.item_id_map_sql(Tables(spark, sf_dir).seq)
 
 
+def item_id_map_grown(spark, sf_dir):
+    """The item map of the training log grown by the test log's new items."""
+    t = Tables(spark, sf_dir)
+    path = scratch_path(spark, "grown_map")
+    ids.grow_id_map(t.canon.filter(F.col("user_id").isNotNull()), path, 0)
+    return ids.grow_id_map(t.test, path, 1).select("track_id", "recording_mbid", _big("batch"))
+
+
 def user_id_map(spark, sf_dir):
     return ids.user_id_map(Tables(spark, sf_dir).train)
 
 
 def encode_train(spark, sf_dir):
-    t = Tables(spark, sf_dir)
+    t = Tables(spark, sf_dir, stored=True)
     return split.train_split(t.encoded).select(_big("user_id"), _big("track_id"))
 
 
 def als_train_counts(spark, sf_dir):
-    t = Tables(spark, sf_dir)
+    t = Tables(spark, sf_dir, stored=True)
     return matrix.count_matrix(split.train_split(t.encoded))
 
 
 def als_val_counts(spark, sf_dir):
-    t = Tables(spark, sf_dir)
+    t = Tables(spark, sf_dir, stored=True)
     return matrix.count_matrix(split.val_split(t.encoded))
 
 
@@ -234,7 +299,7 @@ def encode_test_counts(spark, sf_dir):
 
 
 def val_known_only(spark, sf_dir):
-    t = Tables(spark, sf_dir)
+    t = Tables(spark, sf_dir, stored=True)
     v = t.val.select("user_id", "recording_mbid")
     return ids.known_only(v, t.train, "user_id", "recording_mbid").select(_big("user_id"), "recording_mbid")
 
@@ -256,7 +321,7 @@ def matrix_shape_approx(spark, sf_dir):
     """Matrix shape from HyperLogLog++ sketches (``approx_count_distinct``,
     1 % standard error): whether both counts lie within five errors (or one) of
     the exact shape."""
-    train = Tables(spark, sf_dir).train
+    train = Tables(spark, sf_dir, stored=True).train
     approx = matrix.matrix_shape(train, approx=True, rsd=0.01).withColumnsRenamed({"num_users": "_u", "num_items": "_i"})
     near = lambda a, b: F.abs(F.col(a) - F.col(b)) <= F.greatest(0.05 * F.col(b), F.lit(1.0))
     both = matrix.matrix_shape(train).unionByName(approx, allowMissingColumns=True)  # one row each
@@ -265,7 +330,7 @@ def matrix_shape_approx(spark, sf_dir):
 
 
 def interactions_coo(spark, sf_dir):
-    t = Tables(spark, sf_dir)
+    t = Tables(spark, sf_dir, stored=True)
     umap = ids.user_id_map(t.train, start=0)
     imap = ids.item_id_map(t.train, out="item_idx").withColumn("item_idx", F.col("item_idx") - 1)
     return matrix.coo(t.train, umap, imap)
@@ -274,7 +339,7 @@ def interactions_coo(spark, sf_dir):
 def interactions_coo_weighted(spark, sf_dir):
     """Weighted COO of a subsample: the 50 % user sample's count table
     (user, interactions_count, item) summed into (user_idx, item_idx, weight)."""
-    t = Tables(spark, sf_dir)
+    t = Tables(spark, sf_dir, stored=True)
     sub = split.sample(t.train, 50, SAMPLE_SEED, by="user")
     counts = matrix.count_matrix(sub, ("user_id", "recording_mbid"), "interactions_count")
     umap = ids.user_id_map(sub, start=0)
@@ -296,21 +361,21 @@ def eval_popularity(spark, sf_dir):
 
 
 def metrics_per_user(spark, sf_dir):
-    t = Tables(spark, sf_dir)
+    t = Tables(spark, sf_dir, stored=True)
     ranked = popularity.popularity(t.train, "damped", K, beta=1000)
     pu = metrics.per_user_metrics_shared(ranked, t.val, K, rec_users=t.train, users="both")
     return pu.select(_big("user_id"), "n_labels", "n_hits", _r6("precision"), _r6("ap"), _r6("ndcg"))
 
 
 def metrics_at_k(spark, sf_dir):
-    t = Tables(spark, sf_dir)
+    t = Tables(spark, sf_dir, stored=True)
     ranked = popularity.popularity(t.train, "damped", K, beta=1000)
     return _metric_row(metrics.per_user_metrics_shared(ranked, t.val, K, rec_users=t.train, users="both"))
 
 
 def eval_topk_left(spark, sf_dir):
     """Every user with recommendations counts, labelled or not."""
-    t = Tables(spark, sf_dir)
+    t = Tables(spark, sf_dir, stored=True)
     ranked = popularity.popularity(t.train, "distinct_users", K)
     return _metric_row(metrics.per_user_metrics_shared(ranked, t.val, K, rec_users=t.train,
                                                        users="recommended"))
@@ -334,7 +399,8 @@ def events_sequence(spark, sf_dir):
 
 # ------------------------------------------------- factor scoring and ANN
 TOPK_VECTORS = 100           # neighbours per vector (the source's list length)
-ANN_TABLES, ANN_SEED = 8, 20
+ANN_TABLES, ANN_SEED = 8, 20  # most tables; the effort is fitted to the recall target
+ANN_RECALL = 0.9
 EVAL_K_VECTORS = 100         # neighbours in the evaluation keys
 
 
@@ -349,7 +415,7 @@ def _exact(spark, sf_dir, k=TOPK_VECTORS):
 
 def _ann(spark, sf_dir, k=TOPK_VECTORS):
     v = _vectors(spark, sf_dir)
-    return ann.ann_topk(v, v, k, ANN_TABLES, ANN_SEED, exclude_self=True)
+    return ann.ann_topk(v, v, k, ANN_TABLES, ANN_SEED, exclude_self=True, recall=ANN_RECALL)
 
 
 def _recs_out(df: DataFrame) -> DataFrame:
@@ -361,6 +427,12 @@ def exact_topk(spark, sf_dir):
     return _recs_out(_exact(spark, sf_dir))
 
 
+def exact_topk_norm_bound(spark, sf_dir):
+    """The exact lists, without the products that the norms exclude."""
+    v = _vectors(spark, sf_dir)
+    return _recs_out(scoring.NormBound(v, v, TOPK_VECTORS, exclude_self=True).top_k())
+
+
 def _biased(spark, sf_dir, k=TOPK_VECTORS):
     """Both sides under their dense indexes, scored, and given their own ids
     back through the two maps; a vector is not recommended to itself."""
@@ -390,7 +462,7 @@ def recs_long(spark, sf_dir):
 def ann_candidates(spark, sf_dir):
     """How many items each query meets in the buckets that it probes."""
     v = _vectors(spark, sf_dir)
-    return ann.candidate_counts(v, v, ANN_TABLES, ANN_SEED)
+    return ann.candidate_counts(v, v, ANN_TABLES, ANN_SEED, recall=ANN_RECALL, k=TOPK_VECTORS)
 
 
 def ann_topk(spark, sf_dir):
@@ -402,6 +474,31 @@ def ann_recall(spark, sf_dir):
     return r.select(_r6("recall"), _big("n_queries"))
 
 
+def _indexed(spark, sf_dir):
+    """Lists from an index that was built, stored and loaded again."""
+    v = _vectors(spark, sf_dir)
+    path = ann_index.build(v, scratch_path(spark, "ann_index"), k=TOPK_VECTORS)
+    return ann_index.search(spark, ann_index.load(spark, path), v, TOPK_VECTORS, recall=ANN_RECALL, exclude_self=True)
+
+
+def ann_index_topk(spark, sf_dir):
+    """Top-100 from the stored index: per vector, how many items its list has,
+    whether they differ, and whether each score is the product of the two."""
+    v = _vectors(spark, sf_dir)
+    u = v.select(F.col("id").alias("user_id"), F.col("features").alias("uf"))
+    i = v.select(F.col("id").alias("item_id"), F.col("features").alias("vf"))
+    rows = _indexed(spark, sf_dir).join(u, "user_id").join(i, "item_id")
+    return rows.groupBy(_big("user_id")).agg(
+        F.count(F.lit(1)).alias("n_recs"), F.countDistinct("item_id").alias("n_items"),
+        F.bool_and(F.abs(F.col("score") - dot(F.col("uf"), F.col("vf"))) < 1e-6).alias("scores_match"))
+
+
+def ann_index_recall(spark, sf_dir):
+    """Whether the stored index reaches its recall target over all vectors."""
+    r = ann.recall_at_k(_indexed(spark, sf_dir), _exact(spark, sf_dir))
+    return r.select(_big("n_queries"), (F.col("recall") >= ANN_RECALL).alias("recall_reached"))
+
+
 def eval_topk_inner(spark, sf_dir):
     """Per-user rec table (approximate top-100) scored against the exact
     top-100 as labels; users with both count."""
@@ -414,13 +511,13 @@ def eval_topk_inner(spark, sf_dir):
 # -------------------------------------------------------------------- ALS
 ALS_K = 100
 ALS_SUBSET_K = 20
-ALS_ANN_FLIPS, ANN_RECALL = 2, 0.9
+ALS_BOUND_BLOCK = 1024
 SWEEP = ((10, 25), (0.5, 1.0), (0.05, 0.1))  # rank, alpha, reg
 _MODELS: dict = {}
 
 
 def _als_data(spark, sf_dir):
-    t = Tables(spark, sf_dir)
+    t = Tables(spark, sf_dir, stored=True)
     tr = matrix.count_matrix(split.train_split(t.encoded))
     va = matrix.count_matrix(split.val_split(t.encoded))
     return tr, va
@@ -432,7 +529,7 @@ def _als_model(spark, sf_dir, params=None):
     params = params or als.ALSParams()
     key = (spark.sparkContext.applicationId, sf_dir, params)
     if key not in _MODELS:
-        t = Tables(spark, sf_dir)
+        t = Tables(spark, sf_dir, stored=True)
         tr = matrix.count_matrix(split.train_split(t.encoded)).persist()
         als.check_int_ids(tr)
         model = als.fit(tr, params)
@@ -531,7 +628,7 @@ def _als_ann(spark, sf_dir, k=ALS_K):
     item vectors (maximum inner product through the norm augmentation)."""
     model = _als_model(spark, sf_dir)
     u, i = model.userFactors, model.itemFactors
-    recs = ann.ann_topk(u, i, k, ANN_TABLES, ANN_SEED, flips=ALS_ANN_FLIPS, exclude_self=False)
+    recs = ann.ann_topk(u, i, k, ANN_TABLES, ANN_SEED, exclude_self=False, recall=ANN_RECALL)
     return recs, u, i
 
 
@@ -549,6 +646,19 @@ def als_ann_recall(spark, sf_dir):
     return ann.recall_at_k(recs, exact).select(_big("n_queries"), (F.col("recall") >= ANN_RECALL).alias("recall_reached"))
 
 
+def als_norm_bound(spark, sf_dir):
+    """The norm-bounded search over the fitted factors: all products there are,
+    whether those computed are no more, and whether the lists are the exact ones."""
+    model = _als_model(spark, sf_dir)
+    u, i = model.userFactors, model.itemFactors
+    search = scoring.NormBound(u, i, ALS_K, block=ALS_BOUND_BLOCK)
+    flag = lambda df, c: df.select("user_id", "rank", "item_id", F.lit(1).alias(c))
+    both = flag(search.top_k(), "a").join(flag(scoring.blocked_topk(u, i, ALS_K), "b"), ["user_id", "rank", "item_id"], "full")
+    odd = both.filter("a IS NULL OR b IS NULL").limit(1).count()
+    return search.products().select("n_products", F.col("n_scored").between(1, F.col("n_products")).alias("none_repeated"),
+                                    F.lit(odd == 0).alias("lists_equal"))
+
+
 def als_eval(spark, sf_dir):
     """ALS top-100 scored on the validation counts (every rec user counts)."""
     _, va = _als_data(spark, sf_dir)
@@ -582,7 +692,7 @@ def als_stored_eval(spark, sf_dir):
 def als_weighted_fit(spark, sf_dir):
     """A model of the 50 % user subsample's counts: one row per user / item
     of it with its vector length."""
-    sub = split.sample(split.train_split(Tables(spark, sf_dir).encoded), 50, SAMPLE_SEED, by="user")
+    sub = split.sample(split.train_split(Tables(spark, sf_dir, stored=True).encoded), 50, SAMPLE_SEED, by="user")
     return _factor_shape(als.fit(matrix.count_matrix(sub), als.ALSParams()))
 
 
@@ -611,7 +721,7 @@ def als_sweep(spark, sf_dir):
 def experiment_results_csv(spark, sf_dir):
     """Popularity beta sweep evaluated on validation, written as CSV with a
     header and read back."""
-    t = Tables(spark, sf_dir)
+    t = Tables(spark, sf_dir, stored=True)
     betas = [float(b) for b in BETAS]
     lists = popularity.beta_sweep(t.train, betas, K)
     rows = metrics.summarize(metrics.per_user_metrics_sweep(lists, t.val, K, "beta", betas, t.train), ("beta",))

@@ -210,6 +210,18 @@ def oracle_sql() -> dict[str, str]:
                 f"recording_mbid) AS \"rank\" FROM item_stats QUALIFY \"rank\" <= {K})", "val", "both")) + ")"
             for b in BETAS)),
         "eval_topk_left": _q(_metric_row(_shared_eval("pop_users", "val", "recommended"))),
+        "sequence_quantile_cells": _q(_seq_cols("seq")),
+        "sequence_bucketed": _q(_seq_cols("seq")),
+        "user_counts_bucketed": _q("SELECT user_id, count(*) AS n_listens FROM canon GROUP BY user_id"),
+        "daily_sink": _q("SELECT CAST(user_id AS BIGINT) AS user_id, item_id, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS ts FROM event_interactions"),
+        "daily_profile": _q("SELECT count(DISTINCT day) AS n_days, count(*) AS n_values, true AS within_error "
+                            "FROM (SELECT DISTINCT user_id, CAST(ts AS DATE) AS day FROM event_interactions WHERE user_id IS NOT NULL)"),
+        "popularity_distinct_users_bitmap": _q('SELECT recording_mbid, score, CAST("rank" AS BIGINT) AS "rank" FROM pop_users'),
+        "item_id_map_grown": _q(
+            "SELECT track_id, recording_mbid, 0::BIGINT AS batch FROM item_map UNION ALL "
+            "SELECT (SELECT count(*) FROM item_map) + row_number() OVER (ORDER BY recording_mbid), recording_mbid, 1::BIGINT "
+            "FROM (SELECT DISTINCT recording_mbid FROM test_canon WHERE recording_mbid IS NOT NULL "
+            "AND recording_mbid NOT IN (SELECT recording_mbid FROM item_map))"),
         "events_counts": _q("SELECT user_id, item_id, count(*) AS interactions_count FROM event_interactions "
                             "GROUP BY user_id, item_id"),
         "events_sequence": _q(
@@ -226,61 +238,75 @@ def oracle_sql() -> dict[str, str]:
 
 # ----------------------------------------------------------- vector queries
 TOPK_VECTORS, EVAL_K_VECTORS = 100, 100
-ANN_TABLES, ANN_BITS, ANN_SEED = 8, 6, 20  # bits: enough for 16,384 items; fewer are used
+ANN_TABLES, ANN_SEED, ANN_RECALL = 8, 20, 0.9
 
 
 def _vec_prelude(dim: int) -> str:
-    from spark_recs.operators.ann import hyperplanes
+    from spark_recs.operators.ann import BUCKET_ITEMS, MAX_BITS, SAMPLE_QUERIES, SLACK, hyperplanes
     from spark_recs.sources.fixtures import ITEM_BIAS_MOD, USER_BIAS_MOD
-    planes = hyperplanes(dim, ANN_TABLES, ANN_BITS, ANN_SEED)
-
-    def codes(v: str) -> str:
-        out = []
-        for t in range(planes.shape[0]):
-            terms = []
-            for j in range(planes.shape[1]):
-                lit = "[" + ", ".join(repr(float(x)) for x in planes[t, j]) + "]::DOUBLE[]"
-                terms.append(f"(CASE WHEN list_inner_product({v}, {lit}) > 0 THEN {1 << j} ELSE 0 END)")
-            out.append("(" + " + ".join(terms or ["0"]) + ")")
-        return "[" + ", ".join(out) + "]"
+    planes = hyperplanes(dim, ANN_TABLES, MAX_BITS, ANN_SEED)
+    constants = ", ".join(f"({t}, {j}, [{', '.join(repr(float(x)) for x in planes[t, j])}]::DOUBLE[])"
+                          for t in range(ANN_TABLES) for j in range(MAX_BITS))
+    tried = ", ".join(f"({1 << e})" for e in range(ANN_TABLES.bit_length()) if 1 << e <= ANN_TABLES)
 
     def topk(src: str, k: int) -> str:
         return (f'SELECT user_id, item_id, score, row_number() OVER (PARTITION BY user_id '
                 f'ORDER BY score DESC, item_id) AS "rank" FROM {src} QUALIFY "rank" <= {k}')
 
-    masked = "CAST(unnest(codes) AS BIGINT) & ((1::BIGINT << (SELECT b FROM ann_bits)) - 1)"
     m2 = "(SELECT max(list_inner_product(features, features)) FROM factors)"
     return f""",
-vec_scores AS (
+vec_scores AS MATERIALIZED (
   SELECT q.id AS user_id, i.id AS item_id, list_inner_product(q.features, i.features) AS score,
          CAST(q.id % {USER_BIAS_MOD} AS DOUBLE) / 100.0 AS ub, CAST(i.id % {ITEM_BIAS_MOD} AS DOUBLE) / 100.0 AS ib
   FROM factors q JOIN factors i ON q.id <> i.id),
-exact_k AS ({topk("vec_scores", TOPK_VECTORS)}),
+exact_k AS MATERIALIZED ({topk("vec_scores", TOPK_VECTORS)}),
 exact_e AS ({topk("vec_scores", EVAL_K_VECTORS)}),
-ann_bits AS (SELECT greatest(0, CAST(ceil(log2(count(*) / 256.0)) AS BIGINT)) AS b FROM factors),
 biased_k AS ({topk("(SELECT user_id, item_id, score + ub + ib AS score FROM vec_scores)", TOPK_VECTORS)}),
-qcodes AS (
-  SELECT id AS user_id, unnest(range({ANN_TABLES})) AS "table", {masked} AS code
-  FROM (SELECT id, {codes("list_append(features, 0.0)")} AS codes FROM factors)),
-icodes AS (
-  SELECT id AS item_id, unnest(range({ANN_TABLES})) AS "table", {masked} AS code
-  FROM (SELECT id, {codes(f"list_append(features, sqrt(greatest({m2} - list_inner_product(features, features), 0.0)))")} AS codes
-        FROM factors)),
-qprobes AS (
-  SELECT user_id, "table", xor(code, CASE WHEN j < 0 THEN 0 ELSE (1::BIGINT << greatest(j, 0)) END) AS code FROM (
-    SELECT user_id, "table", code, unnest(range(-1, (SELECT b FROM ann_bits))) AS j FROM qcodes)),
+ann_bits AS MATERIALIZED (
+  SELECT least({MAX_BITS}, greatest(0, CAST(ceil(log2(count(*) / {BUCKET_ITEMS}.0)) AS BIGINT))) AS b FROM factors),
+planes AS MATERIALIZED (
+  SELECT t, j, v FROM (VALUES {constants}) p(t, j, v) WHERE j < (SELECT b FROM ann_bits)),
+slots AS (SELECT id, unnest(range({ANN_TABLES})) AS t FROM factors),
+qproj AS MATERIALIZED (
+  SELECT id, t, j, list_inner_product(x, v) AS p FROM (SELECT id, list_append(features, 0.0) AS x FROM factors), planes),
+iproj AS MATERIALIZED (
+  SELECT id, t, j, list_inner_product(x, v) AS p
+  FROM (SELECT id, list_append(features, sqrt(greatest({m2} - list_inner_product(features, features), 0.0))) AS x FROM factors), planes),
+qcodes AS MATERIALIZED (
+  SELECT id, t, CAST(coalesce(sum(CASE WHEN p > 0 THEN 1::BIGINT << j ELSE 0 END), 0) AS BIGINT) AS code
+  FROM slots LEFT JOIN qproj USING (id, t) GROUP BY id, t),
+icodes AS MATERIALIZED (
+  SELECT id AS item_id, t AS "table", CAST(coalesce(sum(CASE WHEN p > 0 THEN 1::BIGINT << j ELSE 0 END), 0) AS BIGINT) AS code
+  FROM slots LEFT JOIN iproj USING (id, t) GROUP BY id, t),
+masks AS (SELECT unnest(range(1::BIGINT << (SELECT b FROM ann_bits))) AS mask),
+-- a query's buckets by what it costs to reach them: the squared margins of the bits that differ
+qorder AS MATERIALIZED (
+  SELECT id AS user_id, t, xor(code, mask) AS code, row_number() OVER (PARTITION BY id, t ORDER BY cost, mask) AS r
+  FROM (SELECT s.id, s.t, m.mask, coalesce(sum(CASE WHEN (m.mask >> q.j) & 1 = 1 THEN q.p * q.p END), 0) AS cost
+        FROM slots s CROSS JOIN masks m LEFT JOIN qproj q ON q.id = s.id AND q.t = s.t GROUP BY s.id, s.t, m.mask)
+  JOIN qcodes USING (id, t)),
+ann_sample AS MATERIALIZED (
+  SELECT id FROM factors ORDER BY md5(concat_ws('|', '{ANN_SEED}', id)), id LIMIT {SAMPLE_QUERIES}),
+pair_ranks AS MATERIALIZED (
+  SELECT e.user_id, e.item_id, q.t, q.r FROM exact_k e JOIN ann_sample s ON s.id = e.user_id
+  JOIN icodes i ON i.item_id = e.item_id JOIN qorder q ON q.user_id = e.user_id AND q.t = i."table" AND q.code = i.code),
+ann_effort AS MATERIALIZED (
+  SELECT tables, min(r) AS probes FROM (
+    SELECT tables, r, sum(count(*)) OVER (PARTITION BY tables ORDER BY r) AS met, sum(count(*)) OVER (PARTITION BY tables) AS n
+    FROM (SELECT tables, user_id, item_id, min(r) AS r FROM pair_ranks, (VALUES {tried}) x(tables) WHERE t < tables GROUP BY ALL)
+    GROUP BY tables, r)
+  WHERE met >= {ANN_RECALL + SLACK!r}::DOUBLE * n GROUP BY tables ORDER BY tables * min(r), tables LIMIT 1),
+qprobes AS MATERIALIZED (
+  SELECT user_id, t AS "table", code FROM qorder, ann_effort WHERE t < tables AND r <= probes),
 ann_pairs AS (
   SELECT DISTINCT q.user_id, i.item_id FROM qprobes q JOIN icodes i ON q."table" = i."table" AND q.code = i.code
   WHERE q.user_id <> i.item_id),
-ann_scored AS (
-  SELECT p.user_id, p.item_id, list_inner_product(q.features, i.features) AS score
-  FROM ann_pairs p JOIN factors q ON q.id = p.user_id JOIN factors i ON i.id = p.item_id),
-ann_found AS ({topk("ann_scored", TOPK_VECTORS)}),
+ann_found AS MATERIALIZED ({topk("(SELECT * FROM ann_pairs JOIN vec_scores USING (user_id, item_id))", TOPK_VECTORS)}),
 ann_full AS (SELECT user_id FROM ann_found WHERE "rank" = {TOPK_VECTORS}),
 ann_k AS (
-  SELECT * FROM ann_found WHERE user_id IN (SELECT user_id FROM ann_full)
-  UNION ALL SELECT * FROM exact_k WHERE user_id NOT IN (SELECT user_id FROM ann_full)),
-ann_e AS (SELECT * FROM ann_k)
+  SELECT user_id, item_id, score, "rank" FROM ann_found WHERE user_id IN (SELECT user_id FROM ann_full)
+  UNION ALL SELECT user_id, item_id, score, "rank" FROM exact_k WHERE user_id NOT IN (SELECT user_id FROM ann_full)),
+ann_e AS MATERIALIZED (SELECT * FROM ann_k)
 """
 
 
@@ -298,6 +324,10 @@ def _vector_sql(dim: int = 64) -> dict[str, str]:
     return {
         "exact_topk": q(recs("exact_k")),
         "biased_topk": q(recs("biased_k")),
+        "exact_topk_norm_bound": q(recs("exact_k")),
+        "ann_index_topk": q(f"SELECT CAST(id AS BIGINT) AS user_id, least({TOPK_VECTORS}, count(*) OVER () - 1) AS n_recs, "
+                            f"least({TOPK_VECTORS}, count(*) OVER () - 1) AS n_items, true AS scores_match FROM factors"),
+        "ann_index_recall": q("SELECT count(*) AS n_queries, true AS recall_reached FROM factors"),
         "recs_long": q('SELECT CAST(user_id AS BIGINT) AS user_id, CAST("rank" AS BIGINT) AS "rank", '
                        "CAST(item_id AS BIGINT) AS item_id FROM exact_k"),
         "ann_candidates": q(
@@ -348,6 +378,7 @@ def _als_sql() -> dict[str, str]:
         "als_recommend_ids": lists,
         "als_ann_topk": lists,
         "als_ann_recall": _q(f"SELECT count(*) AS n_queries, true AS recall_reached FROM {users}"),
+        "als_norm_bound": _q(f"SELECT (SELECT count(*) FROM {users}) * {n_items} AS n_products, true AS none_repeated, true AS lists_equal"),
         "als_eval": _q(f"SELECT count(*) AS n_users, true AS metrics_in_range FROM {users}"),
         "als_eval_test": _q(f"{tested} JOIN item_map m ON m.recording_mbid = t.recording_mbid WHERE t.user_id IN {users}"),
         "als_stored_eval": _q(f"{tested} WHERE t.recording_mbid IS NOT NULL AND t.user_id IN {users}"),

@@ -94,6 +94,13 @@ def write_parquet(df: DataFrame, path: str, mode: str = "errorifexists",
     return path
 
 
+def replace_partitions(df: DataFrame, path: str, by: list[str]) -> str:
+    """Writes the partitions that ``df`` holds in place of those under ``path``;
+    other partitions stay (dynamic partition overwrite)."""
+    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(path)
+    return path
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet under the shared checkpoint root and read it
     back: lineage is cut (a lost executor re-reads instead of recomputing
