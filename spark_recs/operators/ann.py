@@ -268,8 +268,9 @@ def ann_topk(queries: DataFrame, items: DataFrame, k: int, tables: int, seed: in
     if not complete:
         return _final_topk(dedup, k)
     path = scratch_path(spark, "ann_lists")
-    _final_topk(dedup, k).write.parquet(path)
-    found = spark.read.parquet(path)
+    lists = _final_topk(dedup, k)
+    lists.write.parquet(path)
+    found = spark.read.schema(lists.schema).parquet(path)
     full = found.filter(F.col("rank") == k).select("user_id")
     rest = queries.join(full.select(F.col("user_id").alias("id")), "id", "left_anti")
     return (found.join(full, "user_id", "left_semi").select("user_id", "rank", "item_id", "score")

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from spark_recs.functions.columns import dot
-from spark_recs.session import scratch_path
+from spark_recs.sources.schemas import materialize
 
 MAX_TILE_CELLS = 1 << 23      # scores held at once in a task (64 MiB of float64)
 MAX_BLOCK = 1 << 16           # users or items per block: a block of rank-25 vectors is 13 MB
@@ -206,17 +206,13 @@ class NormBound:
         self.k, self.exclude_self = k, exclude_self
         self.n_users, self.n_items = users.count(), items.count()
         self.ub = max(1, math.ceil(self.n_users / max_block), min(spark.sparkContext.defaultParallelism, self.n_users))
-        path = scratch_path(spark, "norm_blocks")
-        norm_blocks(items, self.n_items, block).write.parquet(path)
-        self.items = spark.read.parquet(path)
+        self.items = materialize(norm_blocks(items, self.n_items, block), "norm_blocks")
         # one row per block: (block, items, largest norm)
         self.blocks = sorted(tuple(r) for r in self.items.groupBy("block").agg(F.count(F.lit(1)), F.max("norm")).collect())
         u = users.select(F.col("id").cast("long").alias("user_id"), F.col("features").alias("features"),
                          F.sqrt(dot(F.col("features"), F.col("features"))).alias("unorm"))
         self.users = u.withColumn("ub", F.pmod(F.xxhash64("user_id"), F.lit(self.ub)))
-        path = scratch_path(spark, "norm_first")
-        self._score(self.users.withColumn("block", F.lit(0).cast("long"))).write.parquet(path)
-        self.first = spark.read.parquet(path)
+        self.first = materialize(self._score(self.users.withColumn("block", F.lit(0).cast("long"))), "norm_first")
 
     def _score(self, left: DataFrame) -> DataFrame:
         """Lists of (user, block) pairs, each within its block."""

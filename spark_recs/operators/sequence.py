@@ -50,7 +50,7 @@ def global_rank(df: DataFrame, order: Sequence[str | Column], out: str = "_grank
                 .withColumn("_pos", F.monotonically_increasing_id().bitwiseAND(F.lit(_LOW_BITS))))
     path = scratch_path(spark, "ranked")
     ranked.write.mode("errorifexists").parquet(path)
-    stored = spark.read.parquet(path)
+    stored = spark.read.schema(ranked.schema).parquet(path)
     # Row count of each range partition: one number per partition, the same
     # metadata RDD.zipWithIndex gathers.  Their running sums are joined on the
     # partition id: one row per partition, so they are broadcast, and no
@@ -74,24 +74,26 @@ def sequence_within(df: DataFrame, group: Sequence[str], order: Sequence[str | C
     the day of a time stamp).  Rows are shuffled and numbered by (group,
     cell), so a hot group is spread over as many tasks as it has cells; the
     rows of a group's earlier cells, summed over one row per cell, are then
-    added.  The input is read twice: once whole, once for the keys alone,
-    whose counts are combined before their shuffle.  Rows whose group keys
-    are null are numbered as one group.
+    added.  A cell's row is its first listen, with the cell's count, so that
+    both sides of the join come from one shuffle (the exchange is reused) and
+    the input is read once.  Rows whose group keys are null are numbered as
+    one group.
     """
     spread = df.withColumn("_cell", cell)
     keys = [*group, "_cell"]
-    cells = spread.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
+    inside = Window.partitionBy(*keys).orderBy(*_as_cols(order))
+    whole = inside.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    numbered = spread.select("*", F.row_number().over(inside).alias("_inside"), F.count(F.lit(1)).over(whole).alias("_rows"))
+    cells = numbered.filter(F.col("_inside") == 1).select(*keys, "_rows")
     earlier = Window.partitionBy(*group).orderBy(F.col("_cell").asc_nulls_first())
     cells = (cells.withColumn("_before", F.sum("_rows").over(earlier) - F.col("_rows"))
                   .withColumn("_total", F.sum("_rows").over(Window.partitionBy(*group)))
                   .select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], "_before", "_total"))
-    inside = Window.partitionBy(*keys).orderBy(*_as_cols(order))
-    numbered = spread.withColumn("_inside", F.row_number().over(inside))
     joined = numbered.join(cells, [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)])
     res = joined.withColumn(out, F.col("_inside") + F.col("_before"))
     if count_out:
         res = res.withColumn(count_out, F.col("_total"))
-    return res.drop("_inside", "_cell", "_before", "_total", *[f"_k{i}" for i in range(len(keys))])
+    return res.drop("_inside", "_rows", "_cell", "_before", "_total", *[f"_k{i}" for i in range(len(keys))])
 
 
 MAX_CUTS = 100_000  # cut points that are broadcast

@@ -21,8 +21,6 @@ TRAIN_PERCENT = 80
 def _sequenced(canon: DataFrame, order: list, cell, materialize: bool) -> DataFrame:
     # a null user has no per-user count and belongs to no split
     rows = canon.filter(F.col("user_id").isNotNull())
-    if materialize:  # the numbering reads its rows twice: the joins behind them run once
-        rows = schemas.materialize(rows, "canonical")
     seq = sequence_within(rows, ["user_id"], order, cell)
     seq = seq.select(*SEQUENCE_COLUMNS)
     # written only for callers that read it several times

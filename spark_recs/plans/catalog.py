@@ -512,6 +512,7 @@ def eval_topk_inner(spark, sf_dir):
 ALS_K = 100
 ALS_SUBSET_K = 20
 ALS_BOUND_BLOCK = 1024
+SWEEP_CONCURRENT = 4
 SWEEP = ((10, 25), (0.5, 1.0), (0.05, 0.1))  # rank, alpha, reg
 _MODELS: dict = {}
 
@@ -702,18 +703,19 @@ def _MODELS_path(spark, sf_dir, params=None):
 
 
 def als_sweep(spark, sf_dir):
-    """Grid over rank, alpha and reg: one CSV row per setting with model id,
-    stage times and metrics, read back; what the settings fix is returned."""
+    """Grid over rank, alpha and reg, ``SWEEP_CONCURRENT`` settings at a time: one
+    CSV row per setting with model id, stage times, observed counts and metrics,
+    read back; what the settings and the data fix is returned."""
     tr, va = (x.persist() for x in _als_data(spark, sf_dir))
     grid = [als.ALSParams(rank=r, alpha=a, reg=g) for r, a, g in product(*SWEEP)]
-    rows = als.sweep(tr, va, grid, ALS_K)
+    rows = als.sweep(tr, va, grid, ALS_K, SWEEP_CONCURRENT)
     tr.unpersist(), va.unpersist()
     path = scratch_path(spark, "als_sweep_csv")
     schemas.write_csv(rows, path)
     back = schemas.read_csv(spark, path, rows.schema)
     timed = (F.col("train_time") > 0) & (F.col("recommendation_time") > 0) & (F.col("evaluation_time") > 0)
     m = [F.col(c).between(0, 1) for c in ("precision_at_k", "map_at_k", "ndcg_at_k")]
-    return back.select(_big("rank"), "alpha", "reg", _big("max_iter"), "n_users", timed.alias("timed"),
+    return back.select(_big("rank"), "alpha", "reg", _big("max_iter"), "n_users", "users_scored", "val_rows", "cold_rows", timed.alias("timed"),
                        (m[0] & m[1] & m[2]).alias("metrics_in_range"),
                        F.regexp_extract("model_id", "alpha_.*", 0).alias("model_suffix"))
 

@@ -382,7 +382,9 @@ def _als_sql() -> dict[str, str]:
         "als_eval": _q(f"SELECT count(*) AS n_users, true AS metrics_in_range FROM {users}"),
         "als_eval_test": _q(f"{tested} JOIN item_map m ON m.recording_mbid = t.recording_mbid WHERE t.user_id IN {users}"),
         "als_stored_eval": _q(f"{tested} WHERE t.recording_mbid IS NOT NULL AND t.user_id IN {users}"),
-        "als_sweep": _q(f"SELECT g.rank, g.alpha, g.reg, 10::BIGINT AS max_iter, (SELECT count(*) FROM {users}) AS n_users, "
-                        "true AS timed, true AS metrics_in_range, replace(g.suffix, '.', '_') AS model_suffix "
-                        f"FROM (VALUES {grid}) g(rank, alpha, reg, suffix)"),
+        "als_sweep": _q(f"SELECT g.rank, g.alpha, g.reg, 10::BIGINT AS max_iter, (SELECT count(*) FROM {users}) AS n_users, (SELECT count(*) FROM {users}) AS users_scored, "
+                        "v.val_rows, v.cold_rows, true AS timed, true AS metrics_in_range, replace(g.suffix, '.', '_') AS model_suffix "
+                        f"FROM (VALUES {grid}) g(rank, alpha, reg, suffix), ("
+                        f"SELECT count(*) AS val_rows, count(*) FILTER (track_id NOT IN (SELECT track_id FROM {tr})) AS cold_rows "
+                        'FROM (SELECT DISTINCT track_id, user_id FROM enc WHERE row_number * 100 > "count" * 80)) v'),
     }

@@ -15,6 +15,7 @@ _DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.showConsoleProgress": "false",
+    "spark.scheduler.mode": "FAIR",  # jobs of concurrent threads share the slots; one thread's run in order
 }
 
 
