@@ -1,13 +1,14 @@
 """Token ids of whole texts by the tokenizers library, each distinct word
 encoded once per cache.
 
-A text is cut where white space follows something else: no token spans such a
-place, as the pre-tokenizers of both vocabulary files begin a new piece there
-and merges stay inside a piece.  A chunk (one word with what precedes it) then
-always has the same ids, so they are kept in a cache of at most `CACHE_WORDS`
-chunks and pieces per worker.  The pieces of a chunk of plain Latin text are
-passed to the library's BPE model; any other chunk is encoded by the whole
-tokenizer, and so is a text with white space other than space, \\n, \\t, \\r.
+A text of plain Latin characters is cut into pieces by the vocabulary's
+pre-tokenizer pattern, and each piece is passed to the library's BPE model; merges
+stay inside a piece, so a piece always has the same ids, which are kept in a cache
+of at most `CACHE_WORDS` per worker.  Any other text is cut where white space
+follows something else, as no token spans such a place, and the chunks (one word
+with what precedes it) are encoded alike, or by the whole tokenizer where they
+aren't plain.  A text with white space other than space, \\n, \\t, \\r is encoded by
+the whole tokenizer.
 An added token's content in a text (`<|endoftext|>`) is plain text, or with
 `special` the token's id, as the library has it unless told otherwise; such a
 text is encoded by the whole tokenizer.
@@ -23,7 +24,7 @@ from spark_recs.llm.text import process_state, row_slices, text_buffers
 
 CACHE_WORDS = 800_000
 CACHE_CHARS = 64        # longer chunks are encoded each time
-_STRANGE = re.compile(r"[^\S \n\t\r]")
+_STRANGE = re.compile("[\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")  # white space but space, \n, \t, \r
 _CHUNK = re.compile(r"[ \n\t\r]*[^ \n\t\r]+|[ \n\t\r]+")
 _L = "A-Za-zÀ-ÖØ-öø-ÿ"
 _PLAIN = re.compile(f"[ -~\n{_L}]*")
@@ -45,6 +46,36 @@ def _byte_chars() -> dict[int, str]:
     return {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(hidden)}
 
 
+class Cache:
+    """At most about `size` values by key, in two generations: what the younger
+    one lacks is taken over from the older, and a full younger one becomes the
+    older.  Keys of over `CACHE_CHARS` characters aren't kept."""
+
+    def __init__(self, size: int):
+        self.half = size // 2
+        self.new: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+
+    def all(self, keys: list[str], make) -> list[bytes]:
+        new = self.new
+        got = list(map(new.get, keys))
+        if None in got:
+            if len(new) > self.half:
+                self.old, self.new = new, {}
+                new = self.new
+            for i, key in enumerate(keys):
+                if got[i] is None:
+                    value = new.get(key)
+                    if value is None:
+                        value = self.old.get(key)
+                        if value is None:
+                            value = make(key)
+                        if len(key) <= CACHE_CHARS:
+                            new[key] = value
+                    got[i] = value
+        return got
+
+
 class ChunkEncoder:
     """`path`: a tokenizers file.  `kind`: the array type code that ids are kept
     as, "I" (32 bits) or "H" (16 bits, for vocabularies of up to 65,536).
@@ -67,31 +98,21 @@ class ChunkEncoder:
             self.pieces = _WORD_PIECE
         else:
             self.pieces = None
-        self.kind, self.half = kind, cache_words // 2
-        self.new, self.old = {}, {}
-
-    def _get(self, chunk: str) -> bytes | None:
-        ids = self.new.get(chunk)
-        if ids is None and (ids := self.old.get(chunk)) is not None:
-            self.new[chunk] = ids
-        return ids
+        self.kind = kind
+        self.chunks, self.parts = Cache(cache_words), Cache(cache_words)
 
     def _whole(self, chunk: str) -> bytes:
         return array(self.kind, self.tok.encode(chunk, add_special_tokens=False).ids).tobytes()
 
-    def _encode(self, chunk: str) -> bytes:
-        if self.pieces is None or not _PLAIN.fullmatch(chunk):
-            return self._whole(chunk)
-        out = []
-        for piece in self.pieces.findall(chunk.lower() if self.lower else chunk):
-            ids = self._get(piece)
-            if ids is None:
-                shown = piece.encode().decode("latin-1").translate(self.bytes)
-                ids = array(self.kind, [t.id for t in self.model.tokenize(shown)]).tobytes()
-                if len(piece) <= CACHE_CHARS:
-                    self.new[piece] = ids
-            out.append(ids)
-        return b"".join(out)
+    def _piece(self, piece: str) -> bytes:
+        shown = piece.encode().decode("latin-1").translate(self.bytes)
+        return array(self.kind, [t.id for t in self.model.tokenize(shown)]).tobytes()
+
+    def _plain(self, text: str) -> bytes:
+        return b"".join(self.parts.all(self.pieces.findall(text.lower() if self.lower else text), self._piece))
+
+    def _chunk(self, chunk: str) -> bytes:
+        return self._plain(chunk) if self.pieces is not None and _PLAIN.fullmatch(chunk) else self._whole(chunk)
 
     def batch(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each text as bytes; a null is empty."""
@@ -101,33 +122,11 @@ class ChunkEncoder:
         for content in self.added:
             if content in text:
                 return self._whole(text)
-        words = text.split()
-        chunks = text.split(" ")
-        if len(words) == len(text.replace("\n", " ").split(" ")):  # single spaces and newlines only
-            chunks[1:] = [" " + c for c in chunks[1:]]
-        elif not _STRANGE.search(text):
-            chunks = _CHUNK.findall(text)
-        else:
+        if self.pieces is not None and _PLAIN.fullmatch(text):
+            return self._plain(text)
+        if _STRANGE.search(text):
             return self._whole(text)
-        have = self.new
-        try:
-            return b"".join([have[c] for c in chunks])
-        except KeyError:
-            pass
-        if len(have) > self.half:  # keep one generation of what was used
-            self.old, self.new = self.new, {}
-            have = self.new
-        out = []
-        for c in chunks:
-            ids = have.get(c)
-            if ids is None:
-                ids = self.old.get(c)
-                if ids is None:
-                    ids = self._encode(c)
-                if len(c) <= CACHE_CHARS:
-                    have[c] = ids
-            out.append(ids)
-        return b"".join(out)
+        return b"".join(self.chunks.all(_CHUNK.findall(text), self._chunk))
 
 
 def encoder(path: str, kind: str = "I", special: bool = False) -> ChunkEncoder:
