@@ -3,8 +3,9 @@
 A document's pieces are its ids cut into full sequences, the first piece taking
 the remainder.  Pieces are hashed into blocks of about `BLOCK_PIECES`; a block
 is packed by one task.  There a piece goes where the sum over gaps g of
-(open sequences with g places left) squared becomes smallest, be it an open
-sequence or a new one; of equal choices, the tightest.  Large pieces come first.
+(open sequences with g places left) squared becomes smallest; of equal choices,
+the tightest.  A new sequence is begun only where no open one has room.  Large
+pieces come first.
 
 What a block leaves in sequences with over `LOOSE` of their places free is
 packed again, whole sequences as pieces, over far fewer blocks, so the loss at
@@ -72,8 +73,7 @@ def sum_of_squares(sizes: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarr
             change[0] = 1 - 2 * count[s]
             change[count[s:length] == 0] = far
             k = int(change.argmin())
-            new = 2 * count[length - s] + 1
-        if s < length and change[k] <= new:
+        if s < length and change[k] < far:
             b = open_at[s + k].pop()
             count[s + k] -= 1
             seq[i], off[i], left = b, length - s - k, k
