@@ -1,7 +1,9 @@
 """Plan checks: the physical plans are the ones meant for scale."""
 
+import pytest
+
 from spark_recs.plans import catalog
-from spark_recs.plans.inspect import executed_plan
+from spark_recs.plans.inspect import executed_plan, final_plan
 
 from conftest import SF_SMALL
 
@@ -15,7 +17,16 @@ def test_sequence_is_numbered_by_user_and_day(spark):
     import re
     plan = executed_plan(catalog.Tables(spark, SF_SMALL).seq)
     assert re.search(r"row_number\(\) windowspecdefinition\(user_id#\w+, _cell#", plan)
-    assert "partial_count" in plan and "SinglePartition" not in plan
+    assert "SinglePartition" not in plan
+    # rows and cells come from one shuffle of the log, which is read once
+    final = final_plan(catalog.Tables(spark, SF_SMALL).seq)
+    assert final.count("FileScan") == 3 and "ReusedExchange" in final
+
+
+@pytest.mark.parametrize("key, most", [("user_sequence", 3), ("split_temporal_train", 3), ("popularity_damped", 3), ("metrics_per_user", 6),
+                                       ("metrics_at_k", 6), ("eval_topk_left", 6), ("eval_popularity", 6), ("als_train_counts", 3)])
+def test_tables_are_scanned_a_few_times(spark, key, most):
+    assert 0 < final_plan(catalog.QUERIES[key](spark, SF_SMALL)).count("FileScan") <= most
 
 
 def test_topk_is_partial_before_exchange(spark):
