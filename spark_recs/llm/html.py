@@ -6,12 +6,16 @@ id or role, menus, adverts, sidebars, notices, comments) are left out.  A class
 or id alone drops no article or main element and nothing that holds one, nor
 an element that is named as content too and has over half of the page's text;
 `has-sidebar`, `with-`, `no-` and the like say nothing; and if no paragraph is
-left, class and id are not heeded.  Every
-paragraph gives points for its length and its commas to its ancestors: all to
-the parent, half to the grandparent, a third, quarter ... of that further up.
-A container's points are discounted by its link density.  The best container is
-kept, and of its siblings those with enough points or a long paragraph's text;
-beside a container that is no article also those of a sentence or more.
+left, class and id are not heeded.  An article named as comments or related
+posts goes if there is another one beside it, and what follows a heading such as
+`3 Responses` goes with it.  Every paragraph gives points for its length and its
+commas to its ancestors: all to the parent, half to the grandparent, a third,
+quarter ... of that further up, `LEVELS` in all.  A container's points are
+discounted by its link density.  The best container is kept, but the page's only
+article (or main) before any other, unless that has `FAR` times its text.  Of the
+siblings those with enough points or a long paragraph's text are kept, for an
+article only inside its main; beside a container that is no article also those of
+a sentence or more.  A heading before the kept parts stays with them.
 
 Defined results: null or empty html gives an empty text; a page without
 paragraphs gives the text of its body; markup that never closes ends with the
@@ -33,21 +37,25 @@ VOID = set("area base br col embed hr img input link meta param source track wbr
 BLOCKS = set("""address article aside blockquote body center dd details dialog div dl dt fieldset figcaption
 figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main nav ol p pre section summary table
 tbody td tfoot th thead tr ul""".split())
-DROPPED = set("""aside audio button canvas dialog footer form head iframe input label math menu nav noscript
+DROPPED = set("""aside audio canvas dialog footer form head iframe input menu nav noscript
 object option script select style svg template textarea title video""".split())
 CLOSED_BY_BLOCK = {"p"}
 PEERS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"},
          "th": {"td", "th"}, "option": {"option"}}
 SCOPES = set("ul ol dl table div section article main body html td blockquote".split())
 BAD_WORDS = set("""ad ads adv advert adverts advertisement advertising adsense alert alerts banner banners
-breadcrumb breadcrumbs comment comments consent cookie cookies disqus footer gdpr masthead menu menus modal
+breadcrumb breadcrumbs comment comments consent cookie cookies discussion disqus footer gdpr masthead menu menus modal
 nav navbar navigation newsletter notice notices notification notifications pager pagination popup promo
-promoted promotion promotions recommended related reply replies respond rss share sharing shoutbox sidebar
+promoted promotion promotions recommended related reply replies respond responses rss share sharing shoutbox sidebar
 sidebars signup skyscraper social sponsor sponsored subscribe subscription toolbar topbar widget widgets""".split())
 BAD_ROLES = set("""alert alertdialog banner complementary contentinfo dialog form menu menubar navigation search
 toolbar""".split())
 GOOD_WORDS = set("article body content entry main post story text".split())
-COMMENT_WORDS = set("comment comments disqus replies reply respond shoutbox".split())
+COMMENT_WORDS = set("comment comments discussion disqus replies reply respond responses shoutbox".split())
+HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
+LEVELS, FAR, BYLINE = 32, 10, 80
+_COMMENT_HEAD = re.compile(r"(?:\d+ |reader |user |your |all |latest )?(?:comments?|responses|replies)(?: ?\(\d+\)|: ?\d+)?|\d+ response|\d+ reply"
+                           r"|(?:leave|post|write|add) (?:a|your) (?:reply|comment|response)|join the (?:discussion|conversation)", re.I)
 WORD = re.compile(r"[a-z]+")
 _MODIFIER = re.compile(r"(?<![a-z])(?:has|with|without|no|hide|show)[-_]\S*")
 _SENTENCE = re.compile(r"[.!?。！？][\"'”’»)]*(?:\s|$)")
@@ -87,6 +95,13 @@ class Tree(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.root = self.at = Node("html")
         self.whole, self.suspects = [], []  # articles; elements named as no content
+        self.open: dict[str, int] = {}      # elements above `at`, it included, by tag
+
+    def _leave(self, node: Node) -> None:
+        """Closes `node` and all inside it."""
+        while self.at is not node.parent:
+            self.open[self.at.tag] -= 1
+            self.at = self.at.parent
 
     def _close(self, tags, scopes) -> None:
         node = self.at
@@ -95,14 +110,14 @@ class Tree(HTMLParser):
                 return
             node = node.parent
         if node is not self.root:
-            self.at = node.parent
+            self._leave(node)
 
     def handle_starttag(self, tag, attrs):
         if tag in ("html", "body") and not self.at.dropped:
             return  # one tree whatever the markup says
         if tag == "body":
             while self.at.dropped and self.at.tag == "head":
-                self.at = self.at.parent
+                self._leave(self.at)
             return
         if tag == "br":
             self.at.parts.append(" ")
@@ -121,12 +136,13 @@ class Tree(HTMLParser):
         node = Node(tag, self.at, whole or not GOOD_WORDS.isdisjoint(names), self.at.dropped or _is_dropped(tag, attrs, self.at))
         node.names = names
         if not node.dropped:
-            if whole and BAD_WORDS.isdisjoint(names):
-                self.whole.append(node)
-            elif not whole and not BAD_WORDS.isdisjoint(names):
+            if not BAD_WORDS.isdisjoint(names):
                 self.suspects.append(node)
+            elif whole:
+                self.whole.append(node)
         self.at.parts.append(node)
         self.at = node
+        self.open[tag] = self.open.get(tag, 0) + 1
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
@@ -134,13 +150,12 @@ class Tree(HTMLParser):
             self.handle_endtag(tag)
 
     def handle_endtag(self, tag):
-        if tag in ("html", "body") or tag in VOID:
+        if tag in ("html", "body") or tag in VOID or not self.open.get(tag):
             return
         node = self.at
-        while node is not self.root and node.tag != tag:
+        while node.tag != tag:
             node = node.parent
-        if node is not self.root:
-            self.at = node.parent
+        self._leave(node)
 
     def handle_data(self, data):
         if not self.at.dropped:
@@ -223,10 +238,26 @@ def _is_paragraph(node: Node) -> bool:
     return False
 
 
+def _above(node: Node):
+    while node.parent is not None:
+        node = node.parent
+        yield node
+
+
+def _drop_comments(nodes: list[Node], holds: set[int]) -> None:
+    """Leaves out what follows a heading of reader comments inside its parent,
+    from the heading on, unless an article is among it."""
+    for node in nodes:
+        if node.tag in HEADINGS and node.parent is not None and not node.dropped and node.chars < 60:
+            if _COMMENT_HEAD.fullmatch(" ".join(_blocks(node))):
+                parts = node.parent.parts
+                rest = parts[next(i for i, x in enumerate(parts) if x is node):]
+                if not any(isinstance(x, Node) and id(x) in holds for x in rest):
+                    node.parent.parts = parts[: len(parts) - len(rest)]
+
+
 def _drop_suspects(tree: Tree) -> None:
-    """Leaves out what its class or id names as no content."""
-    if not tree.suspects:
-        return
+    """Leaves out what its class or id names as no content, and comments by their heading."""
     holds = set()
     for node in tree.whole:
         while node is not None and id(node) not in holds:
@@ -235,9 +266,13 @@ def _drop_suspects(tree: Tree) -> None:
     nodes = _walk(tree.root)
     _measure(nodes)
     half = (tree.root.chars - tree.root.linked) / 2
+    articles = [n for n in tree.whole if n.tag == "article" and n.chars]
     for node in tree.suspects:
         named = not GOOD_WORDS.isdisjoint(node.names) and COMMENT_WORDS.isdisjoint(node.names)
         node.dropped = id(node) not in holds and not (named and node.chars - node.linked > half)
+        if node.tag in ("article", "main"):  # only beside another article
+            node.dropped = node.dropped and any(a not in _above(node) for a in articles[:LEVELS])
+    _drop_comments(nodes, holds)
     for node in nodes:
         node.chars = node.linked = node.commas = 0
 
@@ -251,7 +286,7 @@ def _score(tree: Tree) -> tuple[list[Node], list[Node]]:
         if node.chars and _is_paragraph(node):
             points = (1 + node.commas + min(node.chars / 100, 3)) * (1 - _density(node))
             level, up = 0, node.parent
-            while up is not None:
+            while up is not None and level < LEVELS:
                 if up.score == 0:
                     scored.append(up)
                     up.score += 5 if up.good else 0
@@ -282,35 +317,48 @@ def main_text(html: str | None) -> str:
     best = max(scored, key=lambda n: value[id(n)])
     if best.parent is None:
         return "\n".join(_blocks(best))
-    # a sole article that holds the best container (its heading or another part) is the article itself
-    up = best.parent
-    while up is not None:
-        if up.tag in ("article", "main"):
-            best = up
-            break
-        up = up.parent
+    # an article that holds the best container (its heading or another part) is the article itself
+    best = next((up for up in _above(best) if up.tag in ("article", "main")), best) if best.tag not in ("article", "main") else best
+    sole = _sole(tree, value)
+    if sole is not None and sole is not best and best not in _above(sole) and best.chars <= FAR * sole.chars:
+        best = sole
+    if sole is not None and best in _above(sole) and best.tag != "main":
+        best = sole
     if best.parent is None:
         return "\n".join(_blocks(best))
+    article = best.tag in ("article", "main")
+    beside = not article or any(up.tag == "main" for up in _above(best))
     least = max(10.0, 0.2 * value.get(id(best), 0.0))
     out: list[str] = []
     loose: list[str] = []
     for x in best.parent.parts:
         if not isinstance(x, Node) or x.dropped:
             continue
-        heading = x.tag in ("h1", "h2", "h3", "h4", "h5", "h6")
+        heading = x.tag in HEADINGS
         if x is best:
             out += loose + _blocks(x)
-        elif value.get(id(x), 0.0) >= least or (x.tag == "p" and x.chars >= 80 and _density(x) < 0.25):
+        elif beside and (value.get(id(x), 0.0) >= least or (x.tag == "p" and x.chars >= 80 and _density(x) < 0.25)):
             out += loose + _blocks(x)
-        elif best.tag not in ("article", "main") and x.tag in BLOCKS and not heading and _density(x) < 0.25 and any(map(_SENTENCE.search, _blocks(x))):
+        elif not article and x.tag in BLOCKS and not heading and _density(x) < 0.25 and any(map(_SENTENCE.search, _blocks(x))):
             out += loose + _blocks(x)
-        elif heading and not out:  # a heading right before the kept parts belongs to them
+        elif heading and not out:  # a heading before the kept parts belongs to them, a byline between them or not
             loose = _blocks(x)
             continue
+        elif x.chars < BYLINE:
+            continue
         loose = []
     return "\n".join(out)
 
 
+def _sole(tree: Tree, value: dict[int, float]) -> Node | None:
+    """The page's only article with points, or its only main if it has none."""
+    some = [n for n in tree.whole if id(n) in value and not n.dropped]
+    some = [n for n in some if n.tag == "article"] or some
+    outer = {id(n) for n in some}
+    some = [n for n in some if not any(id(up) in outer for up in _above(n))]
+    return some[0] if len(some) == 1 else None
+
+
 def _extract(batches):
     for b in batches:
         for lo in range(0, b.num_rows, 256):

@@ -141,7 +141,8 @@ def test_sum_of_squares_choice():
     for i in np.lexsort((np.arange(len(sizes)), -sizes)):
         s = int(sizes[i])
         options = [(total({**gaps, b: g - s}), g, b) for b, g in gaps.items() if g >= s]
-        options.append((total({**gaps, "new": 12 - s}), 12, "new"))
+        if not options:  # a new sequence only where no open one has room
+            options.append((total({**gaps, "new": 12 - s}), 12, "new"))
         best = min(options[:], key=lambda x: (x[0], x[1]))
         had = gaps.get(int(seq[i]), 12)
         assert (total({**gaps, int(seq[i]): had - s}), had) == best[:2]
@@ -220,10 +221,44 @@ def test_short_content_siblings_stay():
     assert html.main_text(page).split("\n")[1:] == ["A short close."]
 
 
+_P = "This is a paragraph of the article, with commas, and more than a few words in it, so that it counts as text."
+
+
+@pytest.mark.parametrize("page, want", [
+    (f"<article>{f'<p>{_P}</p>' * 4}</article><section>{'<p>Nice one, thanks.</p>' * 6}</section>", [_P] * 4),
+    (f"<article>{f'<p>{_P}</p>' * 4}</article><div class='discussion'>{'<p>Nice one, thanks.</p>' * 6}</div>", [_P] * 4),
+    (f"<article><p>Short, but the article.</p></article><section><h3>3 Responses</h3><ul>{f'<li>{_P * 3}</li>' * 2}</ul></section>", ["Short, but the article."]),
+    (f"<div class='txt'><p>{_P}</p><p>{_P}</p><h3>Comments (2)</h3><ul>{f'<li>{_P}</li>' * 2}</ul></div>", [_P] * 2),
+    (f"<main><article class='post'><p>{_P}</p></article><article class='comment'><p>{_P}, I think</p></article></main>", [_P]),
+    (f"<main><article class='post'><p>{_P}</p></article><article class='related'><p>{_P}</p></article></main>", [_P]),
+    (f"<main><article class='comment'><p>{_P}</p></article></main>", [_P]),
+    (f"<h1>Title</h1><div class='byline'>By Anna Writer</div><div class='txt'><p>{_P}</p><p>{_P}</p></div>", ["Title", _P, _P]),
+    (f"<article><p>{_P}</p><p>Let <math><mi>x</mi></math> be <label>one</label> <button>two</button>.</p></article>", [_P, "Let x be one two."]),
+    (f"<article><h2>Discussion</h2><p>{_P}</p></article>", ["Discussion", _P]),
+])
+def test_articles_without_comments_and_with_their_own_text(page, want):
+    assert html.main_text(f"<html><body>{page}</body></html>").split("\n") == want
+
+
+def test_deep_nesting_takes_linear_time():
+    import time
+    t0 = time.process_time()
+    text = html.main_text("<html><body>" + "".join(f"<div>line {i}, here</span>" for i in range(20_000)))
+    assert text and time.process_time() - t0 < 4
+
+
+def test_extraction_of_empty_and_repeated_rows(spark):
+    schema = "page_id long, url string, html string"
+    assert html.extract(spark.createDataFrame([], schema)).collect() == []
+    rows = [(1, "u", f"<article><p>{_P}</p></article>")] * 3 + [(None, None, None)]
+    got = html.extract(spark.createDataFrame(rows, schema)).collect()
+    assert [r["text"] for r in got].count(_P) == 3 and [r["text"] for r in got].count("") == 1
+
+
 def test_extraction_on_pages(spark):
     import html as h
     pages = spark.read.parquet("/root/testdata/sf0.001/pages.parquet").withColumn("text", F.lit("clash"))
-    extra = spark.createDataFrame([(None, None, None, None), (5, "u", "", "x")], pages.schema)
+    extra = spark.createDataFrame([(None, None, None, None), (5, "u", "", "x")], "page_id long, url string, html string, text string")
     got = {(r["page_id"], r["url"]): r for r in html.extract(pages.unionByName(extra)).collect()}
     for r in pages.collect():
         article = re.search(r"<article>(.*?)(</article>|<footer>|$)", r["html"], re.S)[1]
@@ -248,13 +283,16 @@ def test_warc(spark):
         again = body in ref and key != ref[body]
         want.append((key, len(data), hashlib.sha1(data).hexdigest(), "revisit" if again else "response", ref[body] if again else None))
     assert got == sorted(want, key=str)
+    records = warc.read_records(spark, root)
+    assert sorted((tuple(r) for r in records.drop("url").collect()), key=str) == got
+    assert sorted(r["url"] for r in records.collect()) == sorted((u or "").replace("\n", " ") for _, u, _ in rows)
     assert spark.read.parquet(f"{root}/payloads").count() == 4
     files = warc.export_warc(spark, root, scratch_path(spark, "warc-out")).collect()
     blocks = [x for f in files for x in warc.parse_warc(open(re.sub("^file:/+", "/", f["path"]), "rb").read())]
     assert sorted(len(b) for h, b in blocks if h["WARC-Type"] == "response") == sorted(w[1] for w in want if w[3] == "response")
     assert all(b == b"" for h, b in blocks if h["WARC-Type"] == "revisit") and len(blocks) == len(rows)
     empty = warc.write_archive(pages.limit(0))
-    assert warc.read_archive(spark, empty).count() == 0
+    assert warc.read_archive(spark, empty).count() == warc.read_records(spark, empty).count() == 0
 
 
 def _plain_counts(model, word):
