@@ -32,7 +32,7 @@ def op2_binary_records(spark, sf_dir):
 
 def op3_warc_archive(spark, sf_dir):
     root = warc.write_archive(_table(spark, sf_dir, "pages"))
-    return warc.read_archive(spark, root).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+    return warc.read_records(spark, root).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
 def op4_token_counts(spark, sf_dir):

@@ -7,8 +7,9 @@ An archive is two tables in a shared folder:
   its payload.
 
 A record's bytes are header + block + CRLF CRLF, where the block is the payload
-for a response and empty for a revisit; `reconstruct` restores them by a join
-and `export_warc` writes them as ordinary .warc files.  Reading recomputes both
+for a response and empty for a revisit; `reconstruct` restores them by a join,
+`read_records` reads fields, length and digest from the restored bytes, and
+`export_warc` writes them as ordinary .warc files.  Reading recomputes both
 digests of every stored payload and fails on a difference.
 
 Of records with equal payloads of at least `MIN_REVISIT` bytes the one with the
@@ -61,7 +62,8 @@ def _header() -> Column:
         line("WARC-Page-ID", F.coalesce(F.col("page_id").cast("string"), F.lit(""))),
         line("WARC-Payload-Digest", F.concat(F.lit("sha1:"), F.col("sha1"))),
         F.when(revisit, F.concat(line("WARC-Profile", F.lit(PROFILE)),
-                                 line("WARC-Refers-To-Page", F.col("refers_to").cast("string")))).otherwise(F.lit("")),
+                                 line("WARC-Refers-To-Page", F.col("refers_to").cast("string")),
+                                 line("WARC-Payload-Length", F.col("payload_bytes").cast("string")))).otherwise(F.lit("")),
         line("Content-Type", F.lit("text/html; charset=utf-8")),
         line("Content-Length", F.when(revisit, F.lit("0")).otherwise(F.col("payload_bytes").cast("string"))),
         F.lit(CRLF))
@@ -137,6 +139,29 @@ def reconstruct(spark: SparkSession, root: str) -> DataFrame:
     return full.unionByName(records.filter(revisit).select("page_id", F.concat("header", end).alias("record")))
 
 
+_FIELDS = "page_id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long"
+
+
+def _parse(batches):
+    for b in batches:
+        rows = []
+        for r in b.column(0):
+            for head, block in parse_warc(r.as_buffer().to_pybytes()):
+                page, again = head["WARC-Page-ID"], head["WARC-Type"] == "revisit"
+                rows.append((int(page) if page else None, head["WARC-Target-URI"], int(head["WARC-Payload-Length"]) if again else len(block),
+                             head["WARC-Payload-Digest"].removeprefix("sha1:"), head["WARC-Type"], int(head["WARC-Refers-To-Page"]) if again else None))
+        cols = list(zip(*rows)) or [()] * 6
+        types = (pa.int64(), pa.string(), pa.int64(), pa.string(), pa.string(), pa.int64())
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)], [f.split()[0] for f in _FIELDS.split(", ")])
+
+
+def read_records(spark: SparkSession, root: str) -> DataFrame:
+    """One row per record, from its restored bytes: page_id, url, payload_bytes,
+    payload_digest, record_type, refers_to.  A response's length and digest are
+    those of its block, a revisit's those that its header states."""
+    return reconstruct(spark, root).select("record").mapInArrow(_parse, _FIELDS)
+
+
 def _export(folder: str):
     def run(batches):
         name, out, n = f"{folder}/part-{TaskContext.get().partitionId():06d}-{uuid.uuid4().hex}.warc", None, 0
