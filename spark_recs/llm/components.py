@@ -16,6 +16,11 @@ def components(edges: DataFrame) -> DataFrame:
     Each round takes the smallest node that a node or one of its neighbours is
     labelled with, then the label of that label (pointer jumping), and writes
     the labels to the shared folder.  It ends when no label changes.
+
+    Defined results: no edges give no rows; an edge of a node with itself gives
+    none (such a node is absent unless it has another edge); an edge with a null
+    is left out; repeated and reversed edges count once; further columns are
+    ignored.
     """
     both = materialize(edges.select("a", "b").filter("a <> b")
                             .select(F.explode(F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b")))).alias("e"))

@@ -27,9 +27,11 @@ the only ways to miss or add a link.
 
 Defined results: null or blank text has an empty set and is linked with
 nothing; a text with fewer words than a shingle has one shingle, all its words;
-equal doc_ids are one node; a null doc_id is kept, linked with nothing, and
+rows of equal doc_id are one node, linked by the text of each (a row without
+words keeps its doc_id as component); a null doc_id is kept, linked with nothing, and
 its component is null; an empty table gives no rows; further columns are
-ignored by `near_duplicates` and kept by `keep_first`.
+ignored by `near_duplicates` and kept by `keep_first`, which drops the rows of
+one doc_id together.
 """
 
 from __future__ import annotations
@@ -253,7 +255,7 @@ def linked(sets: list[np.ndarray], num: int = NUM, den: int = DEN, step: int = 4
 
 def _verify(num: int, den: int):
     def run(key, g):
-        g = g.drop_duplicates("id").sort_values("id", ignore_index=True)
+        g = g.drop_duplicates(["id", "set"]).sort_values(["id", "set"], ignore_index=True)
         ids = g["id"].to_numpy(np.int64)
         i, j = linked([np.frombuffer(s, dtype=_U) for s in g["set"]], num, den)
         root = roots(i, j, len(ids))
@@ -280,6 +282,17 @@ def links(docs: DataFrame, members: DataFrame, k: int = SHINGLE, num: int = NUM,
     return dealt.groupBy("cluster", "i", "j").applyInPandas(_verify(num, den), "a long, b long")
 
 
+def _one_node(rows: DataFrame, classes: DataFrame, same: list[str]) -> DataFrame:
+    """(a, b) between the classes that hold texts of one doc_id.  Rows are told
+    apart by the extremes of their sets' hashes; only such doc_ids go further."""
+    ends = [f(c).alias(f"{n}_{c}") for c in same for n, f in (("lo", F.min), ("hi", F.max))]
+    differ = " OR ".join(f"lo_{c} <> hi_{c}" for c in same)
+    twice = rows.groupBy("doc_id").agg(*ends).filter(differ).select("doc_id")
+    held = rows.join(twice, "doc_id", "left_semi").join(classes, same).select("doc_id", "id")
+    low = held.groupBy("doc_id").agg(F.min("id").alias("a"))
+    return held.join(low, "doc_id").select("a", F.col("id").alias("b"))
+
+
 def near_duplicates(docs: DataFrame, k: int = SHINGLE, num: int = NUM, den: int = DEN) -> DataFrame:
     """doc_id, n_shingles, component_id, kept of each row of `docs` (doc_id, text)."""
     places = chunks_for(num, den) * WIDTH
@@ -298,10 +311,9 @@ def near_duplicates(docs: DataFrame, k: int = SHINGLE, num: int = NUM, den: int
     clusters = components(found.unionByName(many).distinct())
     members = materialize(clusters.select(F.col("node").alias("id"), F.col("component").alias("cluster"))
                                   .join(signed.groupBy("id").agg(F.sum("n_shingles").alias("n")), "id"), "members")
-    joined = components(links(docs, members, k, num, den))
+    joined = components(links(docs, members, k, num, den).unionByName(_one_node(rows, classes, same)))
     named = classes.join(joined.select(F.col("node").alias("id"), "component"), "id", "left").select(
         *same, F.coalesce("component", "id").alias("component"))
-    # equal doc_ids with different sets are one node: they share the smallest of their components
     result = described.join(named, same, "left").select(
         "doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0), F.col("component")).alias("component"))
     return result.select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id")).withColumn(
