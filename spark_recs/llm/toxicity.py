@@ -29,6 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from spark_recs.llm.store import materialize
 from spark_recs.llm.text import WordHasher, process_state, punctuation_separators, row_slices, text_buffers
 
 GRADES, HASH_BITS, FEATURES, SAMPLE = 4, 18, 256, 8192
@@ -121,8 +122,9 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model | Non
     for cond in (F.col("_label") > 0, F.col("_label") <= 0):
         part = known.filter(cond).orderBy(F.xxhash64("_id"), "_id").limit(sample)
         chosen = part if chosen is None else chosen.unionByName(part)
-    # 2 * sample rows of (long, int), whatever the size of the labels
+    # 2 * sample rows of (long, int), whatever the size of the labels; their texts are fetched in one scan and stored
     src = docs.select(F.col("doc_id").cast("long").alias("_id"), "text").join(F.broadcast(chosen), "_id").select("_id", "_label", "text")
+    src = materialize(src, "toxicity-sample")
     schema = "id long, label int, buckets array<int>"
     by = (src.mapInArrow(_features(None), schema).select("label", F.explode("buckets").alias("bucket")).groupBy("bucket")
              .agg(F.sum((F.col("label") > 0).cast("int")).alias("t"), F.sum((F.col("label") <= 0).cast("int")).alias("c"))
