@@ -8,8 +8,11 @@ document's score is the mean of log p_target - log p_raw over its n-grams, kept
 as whole micro-nats so that a sum doesn't depend on its order.  A document is
 kept if it passes the base rules and its score is at least `MIN_SCORE`.
 
-Everything is DataFrame functions.  The corpus is counted with partial
-aggregates of at most `BUCKETS` rows.  The finished weights, `BUCKETS` numbers
+Everything is DataFrame functions.  The corpus is counted where it is read, with
+partial aggregates of at most `BUCKETS` rows.  Only the trusted documents' texts
+are shuffled, to meet their labels: a bitmap of the trusted ids' hashes, `PARTS` x
+4 KB whatever their number, lets nearly all others go before (where the trusted
+ids outnumber its bits, it lets all pass, and the join alone decides).  The finished weights, `BUCKETS` numbers
 whatever the corpus, become a constant of the scoring plan, so that scoring
 and filtering are one pass without a shuffle.
 
@@ -33,6 +36,7 @@ ALPHA = 0.05          # of the mean count of a bucket
 MIN_SCORE = -0.12     # nats per n-gram
 MIN_WORDS, MAX_REPEAT_PCT = 50, 50
 MICRO = 1_000_000
+PARTS, PART_BITS = 256, 1 << 15  # of the bitmap: 1 MB
 VERDICT = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"]
 _SPACE = r"[\x20\x09-\x0D]+"
 #: Always true, but not deterministic to the optimizer: a filter on a column made with it stays above the
@@ -84,16 +88,36 @@ def _with_base(docs: DataFrame) -> DataFrame:
                          | (100 * F.col("n_repeat_words") > MAX_REPEAT_PCT * F.col("n_words")))
 
 
-def bucket_counts(docs: DataFrame, trusted: DataFrame, buckets: int = BUCKETS) -> DataFrame:
-    """(bucket, raw, target): n-grams of all documents and of the trusted ones."""
-    ids = trusted.select("doc_id").filter("doc_id IS NOT NULL").distinct().withColumn("_trusted", F.lit(1))
+def _place(doc_id: Column) -> tuple[Column, Column]:
+    """(part, bit) of an id in the bitmap."""
+    at = F.pmod(F.xxhash64(doc_id.cast("long")), F.lit(PARTS * PART_BITS))
+    return F.floor(at / PART_BITS).cast("int"), F.pmod(at, F.lit(PART_BITS)).cast("int")
+
+
+def of_trusted(docs: DataFrame, trusted: DataFrame) -> DataFrame:
+    """doc_id and text of the rows of `docs` whose doc_id is in `trusted`."""
+    ids = trusted.select("doc_id").filter("doc_id IS NOT NULL").distinct()
+    part, bit = _place(F.col("doc_id"))
+    bits = materialize(ids.groupBy(part.alias("_part")).agg(F.bitmap_construct_agg(bit.cast("long")).alias("_bits")), "trusted-bits")
+    byte = F.conv(F.hex(F.substring("_bits", F.floor(bit / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    maybe = (docs.select("doc_id", "text").withColumn("_part", part)
+                 .join(F.broadcast(bits), "_part")  # at most PARTS rows of 4 KB
+                 .filter(F.pmod(F.floor(byte / F.pow(F.lit(2.0), F.pmod(bit, F.lit(8)))), F.lit(2)) == 1))
     # a sort-merge join at every size: the labels grow with the corpus
-    marked = docs.select("doc_id", "text").join(ids.hint("merge"), "doc_id", "left")
+    return maybe.select("doc_id", "text").join(ids.hint("merge"), "doc_id", "left_semi")
+
+
+def _by_bucket(docs: DataFrame, buckets: int, name: str) -> DataFrame:
     # explode_outer: explode adds a filter on its array, which the optimizer would push below the
     # projections and evaluate with every array expression written out
-    grams = _hashes(marked).select(F.explode_outer(F.concat("_h", "_b")).alias("x"), "_trusted")
-    return (grams.groupBy(F.pmod("x", F.lit(buckets)).alias("bucket")).agg(F.count(F.lit(1)).alias("raw"), F.count("_trusted").alias("target"))
-                 .filter("bucket IS NOT NULL"))
+    grams = _hashes(docs.select("text")).select(F.explode_outer(F.concat("_h", "_b")).alias("x"))
+    return grams.groupBy(F.pmod("x", F.lit(buckets)).alias("bucket")).agg(F.count(F.lit(1)).alias(name)).filter("bucket IS NOT NULL")
+
+
+def bucket_counts(docs: DataFrame, trusted: DataFrame, buckets: int = BUCKETS) -> DataFrame:
+    """(bucket, raw, target): n-grams of all documents and of the trusted ones."""
+    target = _by_bucket(of_trusted(docs, trusted), buckets, "target")
+    return _by_bucket(docs, buckets, "raw").join(target, "bucket", "left").withColumn("target", F.coalesce("target", F.lit(0)))
 
 
 def weights(counts: DataFrame, buckets: int = BUCKETS, alpha: float = ALPHA) -> list[int]:

@@ -70,6 +70,14 @@ def test_quality_brute_force(spark, docs_of):
     assert {r["score"] for r in quality.judge(docs, trusted.limit(0)).collect()} == {0, None}
 
 
+def test_trusted_documents_alone_are_shuffled(spark, docs_of):
+    docs = docs_of([(i, f"text {i}") for i in range(400)] + [(None, "no id"), (7, "again"), (-3, "below zero")])
+    wanted = [*range(0, 400, 7), -3]
+    got = quality.of_trusted(docs, spark.createDataFrame([(i,) for i in [*wanted, 7, None, 10 ** 12]], "doc_id long"))
+    assert sorted((r["doc_id"], r["text"]) for r in got.collect()) == sorted([*((i, f"text {i}") for i in wanted[:-1]), (7, "again"), (-3, "below zero")])
+    assert quality.of_trusted(docs, spark.createDataFrame([], "doc_id long")).count() == 0
+
+
 def test_quality_is_native(spark):
     from spark_recs.llm import queries
     plan = queries.op9_quality_rules(spark, SF)._jdf.queryExecution().toString()
@@ -128,6 +136,21 @@ def test_near_duplicates_edges(docs_of):
         [(None, None, True), (1, 1, True), (1, 1, True), (2, 2, True), (2, 2, True)], key=str)
 
 
+def test_rows_of_one_doc_id_are_one_node(docs_of):
+    a, b, c = ("a1 a2 a3 a4 a5 a6", "b1 b2 b3 b4 b5 b6", "c1 c2 c3 c4 c5 c6")
+    got = neardup.near_duplicates(docs_of([(0, a), (1, a), (1, b), (2, b), (5, c), (5, "x y z u v"), (6, c), (7, "x y z u v"), (8, "d e f g")]))
+    assert sorted((r["doc_id"], r["component_id"], r["kept"]) for r in got.collect()) == [
+        (0, 0, True), (1, 0, False), (1, 0, False), (2, 0, False), (5, 5, True), (5, 5, True), (6, 5, False), (7, 5, False), (8, 8, True)]
+
+
+def test_near_links_of_each_text_of_a_doc_id(docs_of):
+    rng = random.Random(8)
+    one, two = sentence(rng, 100), sentence(rng, 100)
+    rows = [(3, one), (3, two), (4, one + " tail"), (9, two + " tail"), (10, sentence(rng, 100))]
+    got = {(r["doc_id"], r["component_id"]) for r in neardup.near_duplicates(docs_of(rows)).collect()}
+    assert got == {(3, 3), (4, 3), (9, 3), (10, 10)}
+
+
 def test_pairs_within_the_distance_share_a_key():
     rng = np.random.default_rng(0)
     a = rng.integers(0, 256, (400, neardup.PLACES)).astype(np.uint8)
@@ -423,6 +446,31 @@ def test_ordinal_fit_recovers_order():
     assert np.abs(w - [2, 1, 0, 0, -1, -2]).max() < 0.5 and (np.diff(t) > 0).all() and np.abs(t - [-0.5, 1, 2.5]).max() < 0.6
 
 
+def test_toxicity_equals_plain_logistic_sums(docs_of):
+    rng = random.Random(12)
+    words = [f"{a}{b}" for a in ("grim", "lovely", "Ünicode", "tea", "x9") for b in ("", "ed", "ings")]
+    of = {}
+    for word in words:  # the buckets of one word: itself and its beginnings
+        raw = word.encode()
+        of[word] = set(toxicity._present(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]))[1].tolist())
+    every = sorted(set().union(*of.values()))
+    buckets = np.array(every[::2])
+    w = np.array([rng.uniform(-2, 2) for _ in buckets])
+    model = toxicity.Model(buckets, w, np.array([0.3, 0.9, 2.0]))
+    weight = dict(zip(buckets.tolist(), w))
+    rows = [(i, [rng.choice(words) for _ in range(rng.randrange(0, 12))]) for i in range(60)]
+    rows += [(70, [words[0]] * 300_000), (71, [])]
+    got = {r["doc_id"]: r for r in toxicity.score(docs_of([(i, ", ".join(t)) for i, t in rows] + [(72, None)]), model).collect()}
+    for i, t in [*rows, (72, [])]:
+        present = set().union(*(of[x] for x in t)) if t else set()
+        eta = sum(weight.get(b, 0) for b in present)
+        above = [1 / (1 + math.exp(x - eta)) for x in (0.3, 0.9, 2.0)]
+        if not present:
+            above[0] = min(above[0], 0.49)
+        assert abs(got[i]["expected_severity"] - sum(above)) < 2e-6
+        assert (got[i]["grade"], got[i]["toxic"]) == (sum(x >= 0.5 for x in above), above[0] >= 0.5)
+
+
 # ----------------------------------------------------------------- pipeline
 def test_pipeline(spark):
     import corpus_pipeline as P
@@ -449,3 +497,23 @@ def test_pipeline(spark):
         assert len(r["text"]) == len(rows[r["doc_id"]]["text"]) and all(r["text"][a:b] != rows[r["doc_id"]]["text"][a:b] for a, b, _, _ in found)
         assert found or r["text"] == rows[r["doc_id"]]["text"]
     assert {r["doc_id"] for r in after["best_fit_packing"].collect()} == clean
+
+
+def test_pipeline_on_empty_odd_and_repeated_rows(spark, docs_of, tmp_path):
+    import corpus_pipeline as P
+    for name in ("labels", "benchmark"):
+        spark.read.parquet(f"{SF}/{name}.parquet").write.parquet(f"{tmp_path}/odd/{name}.parquet")
+        spark.read.parquet(f"{SF}/{name}.parquet").limit(0).write.parquet(f"{tmp_path}/none/{name}.parquet")
+    docs_of([]).write.parquet(f"{tmp_path}/none/documents.parquet")
+    assert P.run(spark, f"{tmp_path}/none").count() == 0
+    rng = random.Random(13)
+    good = [r["text"] for r in P.quality_rules(spark, spark.read.parquet(f"{SF}/documents.parquet"), SF).orderBy("doc_id").limit(3).collect()]
+    rows = [(1, good[0]), (1, good[0]), (2, None), (3, ""), (None, good[1]), (4, sentence(rng, 200_000)), (5, good[0])]
+    odd = docs_of(rows).withColumn("kept", F.lit("clash")).withColumn("component", F.lit(1)).withColumn("sequence_id", F.lit(2))
+    odd.write.parquet(f"{tmp_path}/odd/documents.parquet")
+    got = P.run(spark, f"{tmp_path}/odd").collect()
+    by_doc = collections.defaultdict(list)
+    for r in got:
+        by_doc[r["doc_id"]].append(r)
+    assert not {2, 3, 5} & set(by_doc)
+    assert len({(r["sequence_id"], r["offset"]) for r in got}) == len(got)
