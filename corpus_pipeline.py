@@ -4,6 +4,12 @@ removal, benchmark decontamination, surrogates for personal data, packing.
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame, which `run`
 writes as Parquet to the folder that all executors share and reads again as the
 next stage's docs.  All stages but the last return the columns of documents.
+
+Defined results: an empty table gives no rows; null and blank texts are rejected
+by the quality rules; a null doc_id passes the second stage (linked with
+nothing) and the others like any; rows repeated as a whole share their doc_id
+and go or stay together; further columns of documents, whatever their names, are
+kept up to the last stage.
 """
 
 from __future__ import annotations
