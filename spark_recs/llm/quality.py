@@ -103,8 +103,9 @@ def of_trusted(docs: DataFrame, trusted: DataFrame) -> DataFrame:
     maybe = (docs.select("doc_id", "text").withColumn("_part", part)
                  .join(F.broadcast(bits), "_part")  # at most PARTS rows of 4 KB
                  .filter(F.pmod(F.floor(byte / F.pow(F.lit(2.0), F.pmod(bit, F.lit(8)))), F.lit(2)) == 1))
-    # a sort-merge join at every size: the labels grow with the corpus
-    return maybe.select("doc_id", "text").join(ids.hint("merge"), "doc_id", "left_semi")
+    # a sort-merge join at every size: the labels grow with the corpus.  Inner, as `ids` are distinct: the
+    # optimizer moves a left semi join below the bitmap's, where every text would be shuffled
+    return maybe.select("doc_id", "text").join(ids.hint("merge"), "doc_id")
 
 
 def _by_bucket(docs: DataFrame, buckets: int, name: str) -> DataFrame:

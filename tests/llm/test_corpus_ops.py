@@ -76,6 +76,10 @@ def test_trusted_documents_alone_are_shuffled(spark, docs_of):
     got = quality.of_trusted(docs, spark.createDataFrame([(i,) for i in [*wanted, 7, None, 10 ** 12]], "doc_id long"))
     assert sorted((r["doc_id"], r["text"]) for r in got.collect()) == sorted([*((i, f"text {i}") for i in wanted[:-1]), (7, "again"), (-3, "below zero")])
     assert quality.of_trusted(docs, spark.createDataFrame([], "doc_id long")).count() == 0
+    table = spark.read.parquet(f"{SF}/documents.parquet")
+    plan = quality.of_trusted(table, table.select("doc_id"))._jdf.queryExecution().executedPlan().toString()
+    side = plan[plan.index("SortMergeJoin"):]
+    assert side.index("Exchange hashpartitioning(doc_id") < side.index("BroadcastHashJoin") < side.index("documents.parquet")
 
 
 def test_quality_is_native(spark):
