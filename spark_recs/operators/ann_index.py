@@ -10,8 +10,9 @@ search effort to a recall target.
 
 ``search`` orders the cells by their distance to the query, takes as many as the
 target asks for (more where they hold fewer than k items, so that every list is
-full), and reads the posting lists of the probed cells only.  Cells are scored a
-bounded tile at a time; a hot cell is split by rows on both sides.
+full), and reads the posting lists of the probed cells only.  A task holds a
+block of queries with their cells and lists and reads the posting lists past it,
+cell by cell, a bounded tile at a time; a hot cell's queries are spread by blocks.
 """
 
 from __future__ import annotations
@@ -27,8 +28,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from spark_recs.operators.ann import SAMPLE_QUERIES, SLACK, _final_topk, item_stats, sample_queries
-from spark_recs.operators.scoring import _OUT, _tile_topk, blocked_topk
+from spark_recs.operators.ann import SAMPLE_QUERIES, SLACK, item_stats, sample_queries, search_buckets
+from spark_recs.operators.scoring import blocked_topk
 
 SAMPLE_ROWS = 1 << 16         # items that the centres are fitted on, about
 ROWS_PER_CENTRE = 32          # of the sample, at least: bounds the cells
@@ -148,9 +149,9 @@ def load(spark: SparkSession, path: str) -> Index:
     return Index(path, meta["m2"], meta["n_items"], centres, np.array([r["n_items"] for r in cells], dtype=np.int64), [r["recall"] for r in effort])
 
 
-def probed_cells(queries: DataFrame, index: Index, probes: int, k: int) -> DataFrame:
-    """(user_id, features, cell): each query's nearest ``probes`` cells, and
-    further ones until they hold more than ``k`` items (itself may be one)."""
+def cells_of(queries: DataFrame, index: Index, probes: int, k: int) -> DataFrame:
+    """(id, features, probes): each query's nearest ``probes`` cells, and further
+    ones until they hold more than ``k`` items (itself may be one)."""
     @F.pandas_udf(T.ArrayType(T.IntegerType()))
     def cells(features: pd.Series) -> pd.Series:
         out = []
@@ -160,7 +161,12 @@ def probed_cells(queries: DataFrame, index: Index, probes: int, k: int) -> DataF
             out += [o[: max(probes, e)].tolist() for o, e in zip(order, enough.tolist())]
         return pd.Series(out)
 
-    return queries.select(F.col("id").cast("long").alias("user_id"), "features", F.explode(cells("features")).alias("cell"))
+    return queries.select("id", "features", cells("features").alias("probes"))
+
+
+def probed_cells(queries: DataFrame, index: Index, probes: int, k: int) -> DataFrame:
+    """(user_id, features, cell): one row per query and probed cell."""
+    return cells_of(queries, index, probes, k).select(F.col("id").cast("long").alias("user_id"), "features", F.explode("probes").alias("cell"))
 
 
 def read_postings(spark: SparkSession, index: Index, cells: list[int]) -> DataFrame:
@@ -174,18 +180,10 @@ def search(spark: SparkSession, index: Index, queries: DataFrame, k: int, recall
     items of its probed cells, by inner product, ties to the smaller id."""
     if not index.n_items:
         return spark.createDataFrame([], "user_id long, rank long, item_id long, score double")
-    probed = probed_cells(queries, index, probes or index.probes_for(recall), k)
+    asked = cells_of(queries, index, probes or index.probes_for(recall), k)
     # one row per cell: which are probed, and by how many
-    asked = dict(probed.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).collect())
-    salts = [(c, -(-n // cell_rows), max(1, -(-int(index.sizes[c]) // cell_rows))) for c, n in asked.items()]
-    salts = F.broadcast(spark.createDataFrame(salts, "cell int, q_salts int, i_salts int"))
-    upto = lambda c: F.explode(F.sequence(F.lit(0), F.col(c) - 1))
-    left = (probed.join(salts, "cell").withColumn("qs", F.pmod(F.xxhash64("user_id"), F.col("q_salts")).cast("int"))
-                  .select("cell", "qs", upto("i_salts").alias("is"), "user_id", "features", F.lit(0.0).alias("bias")))
-    right = (read_postings(spark, index, sorted(asked)).join(salts, "cell")
-             .withColumn("is", F.pmod(F.xxhash64("item_id"), F.col("i_salts")).cast("int"))
-             .select("cell", upto("q_salts").alias("qs"), "is", F.lit(None).cast("long").alias("user_id"), "item_id", "features",
-                     F.lit(0.0).alias("bias"), F.lit(0).alias("kind")))
-    keys = ["cell", "qs", "is"]
-    scored = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(_tile_topk(k, exclude_self), _OUT)
-    return _final_topk(scored, k)
+    by_cell = dict(asked.select(F.explode("probes").alias("cell")).groupBy("cell").agg(F.count(F.lit(1)).alias("n")).collect())
+    n_queries = queries.count()
+    items = read_postings(spark, index, sorted(by_cell)).select("item_id", "features", F.col("cell").alias("bucket"))
+    return search_buckets(asked, items, k, n_queries, sum(int(index.sizes[c]) for c in by_cell),
+                          -(-sum(by_cell.values()) // max(1, n_queries)), exclude_self, cell_rows)

@@ -162,3 +162,66 @@ def test_tile_scores_stay_within_the_bound(monkeypatch):
     side = lambda n, c: pd.DataFrame({c: range(n), "features": [np.ones(3) * j for j in range(n)], "bias": 0.0})
     out = scoring._tile_topk(2, False, max_tile_cells=50)(side(30, "user_id"), side(20, "item_id").assign(kind=0, user_id=None))
     assert max(seen) <= 50 and len(out) == 60
+
+
+def test_streamed_lists_with_repeated_ids_ties_and_left_out_pairs(spark):
+    rs = np.random.RandomState(9)
+    U, V = rs.randint(-3, 4, (30, 4)).astype(float), rs.randint(-3, 4, (60, 4)).astype(float)  # many equal scores
+    users = spark.createDataFrame([(i, [float(x) for x in U[i]]) for i in range(30)], "id long, features array<float>")
+    items = spark.createDataFrame([(i, [float(x) for x in V[i]]) for i in range(60)], "id long, features array<float>")
+    left_out = {(u, i) for u in range(30) for i in range(60) if (u * 7 + i) % 3 == 0}
+    ex = spark.createDataFrame(sorted(left_out), "user_id long, item_id long")
+    for bu, bi in ((1, 1), (3, 1), (2, 3)):
+        rows = items.selectExpr("id AS item_id", "features", "0D AS bias", "0D AS place")
+        got = scoring.stream_topk(scoring.user_rows(users.repartition(4)), rows.repartition(3), 6, bu, bi, exclude=ex).collect()
+        by_user = {}
+        for r in sorted(got, key=lambda r: (r.user_id, r["rank"])):
+            by_user.setdefault(r.user_id, []).append(r.item_id)
+        assert by_user == _brute(U, V, 6, exclude=left_out)
+    # rows of one user are one list
+    twice = scoring.blocked_topk(users.unionByName(users), items, 6).groupBy("user_id").count().collect()
+    assert {r["count"] for r in twice} == {6}
+
+
+def test_streamed_kernel_drops_unusable_rows_and_survives_large_values():
+    run = lambda U, V, **kw: list(_kernel(U, V, 3, **kw))
+    rs = np.random.RandomState(1)
+    U, V = rs.standard_normal((50, 5)), rs.standard_normal((3000, 5))
+    V[7], U[3] = np.nan, np.inf
+    got = run(U, V)
+    S = np.where(np.isfinite(S := np.nan_to_num(U, posinf=0) @ np.nan_to_num(V).T), S, -np.inf)
+    S[:, 7] = -np.inf
+    want = {u: np.lexsort((np.arange(3000), -S[u]))[:3].tolist() for u in range(50) if u != 3}
+    assert {u: [i for v, _, i in got if v == u] for u in want} == want and 3 not in {u for u, _, _ in got}
+    # beyond single precision
+    big = run(U * 1e25, V * 1e25)
+    assert [(u, i) for u, _, i in big] == [(u, i) for u, _, i in got]
+
+
+def _kernel(U, V, k, step=700):
+    none = [np.array([], np.int64)] * 2
+    lists = scoring._Lists(np.arange(len(U)), U, np.zeros(len(U)), np.full(len(U), -np.inf), none, k, False, False, 1 << 20)
+    for a in range(0, len(V), step):
+        lists.meet(np.arange(a, min(a + step, len(V))), V[a: a + step], np.zeros(len(V[a: a + step])))
+    for cols in lists.lists():
+        yield from zip(*(c.tolist() for c in cols[:3]))
+
+
+def _plan_text(df):
+    return df._jdf.queryExecution().toString()
+
+
+def test_lists_leave_the_task_once_and_nothing_is_broadcast_or_paired(spark):
+    """Neither pairs of blocks nor probed buckets travel: one exchange, whose rows
+    are the users and, for each user block, the items."""
+    vecs, _ = _vectors(spark, 400, 6, 12)
+    exact = scoring.blocked_topk(vecs, vecs, 100, max_block=50)
+    approx = ann.ann_topk(vecs, vecs, 100, tables=2, bits=4, seed=3, complete=False)
+    bound = scoring.NormBound(vecs, vecs, 5, block=20)
+    for df in (exact, approx, bound.first):
+        assert "CoGroups" not in _plan_text(df)
+    for df in (exact, approx):
+        text = _plan_text(df).split("== Physical Plan ==")[1]
+        assert text.count("Exchange ") == 1 and "Broadcast" not in text and "Window" not in text
+    assert scoring.stream_blocks(900_000, 780_000, 12, 100) == (14, 1)
+    assert scoring.stream_blocks(256, 23_000_000, 400, 100)[0] <= 4
