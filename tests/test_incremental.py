@@ -80,6 +80,13 @@ def test_bitmaps_count_distinct_users_over_any_days(spark):
     assert {tuple(r) for r in bitmaps.distinct_users(stored.filter(two)).collect()} == want(log.filter(F.col("timestamp").isin(D[1:3])))
 
 
+def test_a_lone_listener_costs_a_few_bytes_not_a_whole_bitmap(spark):
+    log = _log(spark, [(u * 1_000, f"i{u}", D[0]) for u in range(50)]).withColumn("user_idx", F.col("user_id"))
+    rows = bitmaps.day_bitmaps(log)
+    assert rows.schema["listeners"].dataType.simpleString() == "bigint" and rows.count() == 50
+    assert bitmaps.distinct_users(rows).agg(F.sum("n_users")).first()[0] == 50
+
+
 def test_growing_id_map_is_dense_and_stable(spark):
     path = scratch_path(spark, "map")
     batch = lambda ks: spark.createDataFrame([(k,) for k in ks], "recording_mbid string")
