@@ -96,6 +96,16 @@ def test_index_reads_only_probed_cells_and_fills_lists(spark):
     assert ann_index.search(spark, ann_index.load(spark, empty), vecs, 5).collect() == []
 
 
+def test_rows_of_one_id_are_entries_of_their_own_in_the_index(spark):
+    vecs = _small(spark, 80, 4, 2)
+    twice = vecs.unionByName(vecs)
+    index = ann_index.load(spark, ann_index.build(twice, scratch_path(spark, "index"), cells=4, k=6))
+    got = ann_index.search(spark, index, twice, 6, probes=4, exclude_self=True)
+    assert _pairs(got) == _pairs(scoring.blocked_topk(twice, twice, 6, exclude_self=True))
+    once = ann.ann_topk(twice, twice, 6, tables=2, bits=1, seed=3)
+    assert once.groupBy("user_id", "item_id").count().filter("count > 1").count() == 0
+
+
 def test_effort_is_the_cheapest_that_reaches_the_share():
     assert ann._effort(2, [(1, 50), (2, 30), (4, 20)], 0.8) == (4, 2, 2)
     assert ann._effort(1, [(1, 50), (2, 30), (4, 20)], 0.81) == (4, 1, 4)
