@@ -162,3 +162,14 @@ def test_concurrent_sweep_gives_the_same_rows_sooner(spark):
 
 def test_als_blocks_follow_the_data():
     assert als.block_count(1_000, 8) == 8 and als.block_count(179_000_000, 8) == 45
+
+
+def test_a_fit_has_few_blocks_however_many_slots(spark, monkeypatch):
+    monkeypatch.setattr(type(spark.sparkContext), "defaultParallelism", property(lambda _: 16))
+    counts = spark.createDataFrame([(u, i, 1 + (u + i) % 3) for u in range(40) for i in range(30) if (u + i) % 4 == 0],
+                                   "user_id long, track_id long, interactions_count long").persist()
+    model = als.fit(counts, als.ALSParams(rank=2, max_iter=2))
+    assert model.userFactors.rdd.getNumPartitions() == model.itemFactors.rdd.getNumPartitions() == als.FIT_BLOCKS < 16
+    assert (model.userFactors.count(), model.itemFactors.count()) == (40, 30)
+    blocks = als.fit(counts, als.ALSParams(rank=2, max_iter=2, num_blocks=5)).userFactors.rdd.getNumPartitions()
+    assert blocks == 5  # as asked for
