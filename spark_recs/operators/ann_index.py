@@ -12,7 +12,7 @@ search effort to a recall target.
 target asks for (more where they hold fewer than k items, so that every list is
 full), and reads the posting lists of the probed cells only.  A task holds a
 block of queries with their cells and lists and reads the posting lists past it,
-cell by cell, a bounded tile at a time; a hot cell's queries are spread by blocks.
+a bounded tile at a time; a hot cell's queries are spread by blocks.
 """
 
 from __future__ import annotations
@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from spark_recs.operators.ann import SAMPLE_QUERIES, SLACK, item_stats, sample_queries, search_buckets
+from spark_recs.operators.ann import SAMPLE_QUERIES, SLACK, ProbeBits, item_stats, sample_queries, search_buckets
 from spark_recs.operators.scoring import blocked_topk
 
 SAMPLE_ROWS = 1 << 16         # items that the centres are fitted on, about
@@ -149,17 +149,39 @@ def load(spark: SparkSession, path: str) -> Index:
     return Index(path, meta["m2"], meta["n_items"], centres, np.array([r["n_items"] for r in cells], dtype=np.int64), [r["recall"] for r in effort])
 
 
+def _nearest_cells(index: Index, probes: int, k: int):
+    def of(features: np.ndarray) -> list[list[int]]:
+        order = _cell_order(features, index.centres, index.m2)
+        enough = (np.cumsum(index.sizes[order], axis=1) <= k).sum(axis=1) + 1
+        return [o[: max(probes, e)].tolist() for o, e in zip(order, enough.tolist())]
+    return of
+
+
+def _cell_bits(index: Index, probes: int, k: int):
+    """For a block of queries their nearest cells, as ``ProbeBits``."""
+    nearest = _nearest_cells(index, probes, k)
+
+    def of(features: np.ndarray) -> ProbeBits:
+        bits = np.zeros((len(features), -(-len(index.sizes) // 8)), np.uint8)
+        for a in range(0, len(features), 1024):
+            some = nearest(features[a: a + 1024])
+            met = np.zeros((len(some), len(index.sizes)), bool)
+            for row, cells in zip(met, some):
+                row[cells] = True
+            bits[a: a + 1024] = np.packbits(met, axis=1, bitorder="little")
+        return ProbeBits(bits)
+    return of
+
+
 def cells_of(queries: DataFrame, index: Index, probes: int, k: int) -> DataFrame:
     """(id, features, probes): each query's nearest ``probes`` cells, and further
     ones until they hold more than ``k`` items (itself may be one)."""
+    nearest = _nearest_cells(index, probes, k)
+
     @F.pandas_udf(T.ArrayType(T.IntegerType()))
     def cells(features: pd.Series) -> pd.Series:
-        out = []
-        for a in range(0, len(features), 1024):
-            order = _cell_order(np.vstack(features.iloc[a: a + 1024].to_numpy()).astype(np.float64), index.centres, index.m2)
-            enough = (np.cumsum(index.sizes[order], axis=1) <= k).sum(axis=1) + 1
-            out += [o[: max(probes, e)].tolist() for o, e in zip(order, enough.tolist())]
-        return pd.Series(out)
+        return pd.Series([c for a in range(0, len(features), 1024)
+                          for c in nearest(np.vstack(features.iloc[a: a + 1024].to_numpy()).astype(np.float64))], dtype=object)
 
     return queries.select("id", "features", cells("features").alias("probes"))
 
@@ -184,6 +206,6 @@ def search(spark: SparkSession, index: Index, queries: DataFrame, k: int, recall
     # one row per cell: which are probed, and by how many
     by_cell = dict(asked.select(F.explode("probes").alias("cell")).groupBy("cell").agg(F.count(F.lit(1)).alias("n")).collect())
     n_queries = queries.count()
-    items = read_postings(spark, index, sorted(by_cell)).select("item_id", "features", F.col("cell").alias("bucket"))
-    return search_buckets(asked, items, k, n_queries, sum(int(index.sizes[c]) for c in by_cell),
-                          -(-sum(by_cell.values()) // max(1, n_queries)), exclude_self, cell_rows)
+    items = read_postings(spark, index, sorted(by_cell)).select("item_id", "features", F.array("cell").alias("codes"))
+    return search_buckets(queries, items, k, n_queries, sum(int(index.sizes[c]) for c in by_cell),
+                          _cell_bits(index, probes or index.probes_for(recall), k), len(index.sizes), exclude_self, cell_rows)

@@ -1,5 +1,6 @@
 """Search effort tied to recall, the stored index, norm-bounded exact lists, the concurrent sweep."""
 
+import re
 import time
 
 import numpy as np
@@ -173,3 +174,47 @@ def test_a_fit_has_few_blocks_however_many_slots(spark, monkeypatch):
     assert (model.userFactors.count(), model.itemFactors.count()) == (40, 30)
     blocks = als.fit(counts, als.ALSParams(rank=2, max_iter=2, num_blocks=5)).userFactors.rdd.getNumPartitions()
     assert blocks == 5  # as asked for
+
+
+def _alike(n, clusters, d, seed):
+    way, rs = np.random.RandomState(0).standard_normal((clusters, d)), np.random.RandomState(seed)
+    x = way[rs.randint(0, clusters, n)] + 0.05 * rs.standard_normal((n, d))
+    return x / np.linalg.norm(x, axis=1)[:, None] * rs.uniform(0.9, 1.0, (n, 1))
+
+
+def test_groups_of_like_direction_skip_products_and_keep_the_lists():
+    U, V = _alike(1500, 12, 16, 1), _alike(6000, 12, 16, 2)   # norms alone exclude next to nothing
+    rs = np.random.RandomState(3)
+    none = [np.array([], np.int64)] * 2
+    for ub, ib in ((np.zeros(1500), np.zeros(6000)), (rs.uniform(-1, 1, 1500), rs.uniform(-0.1, 0.1, 6000))):
+        lists = scoring._Lists(np.arange(1500), U, ub, np.full(1500, -np.inf), none, 10, True, False, scoring.MAX_TILE_CELLS, bool(ib.any()))
+        for a in range(0, 6000, 1000):
+            lists.meet(np.arange(a, a + 1000), V[a: a + 1000], ib[a: a + 1000])
+        got = {}
+        for u, r, i, _ in (row for cols in lists.lists() for row in zip(*(c.tolist() for c in cols))):
+            got.setdefault(u, {})[r] = i
+        S = U @ V.T + ub[:, None] + ib[None, :]
+        S[np.arange(1500), np.arange(1500)] = -np.inf
+        want = [np.lexsort((np.arange(6000), -s))[:10].tolist() for s in S]
+        assert [[got[u][r] for r in range(1, 11)] for u in range(1500)] == want
+        assert sum(m * n for m, n in zip(lists.met, np.diff(lists.cuts))) < 0.5 * S.size
+
+
+def test_probed_buckets_are_found_in_the_task(spark):
+    """The bits are the buckets that are listed; neither buckets nor probes are
+    exploded, so an item is one row for all tables."""
+    X = np.random.RandomState(5).standard_normal((40, 6))
+    X[3] = 0  # every cost is equal
+    rows = pd.Series(list(X))
+    planes = ann.hyperplanes(6, 3, 4, 7)
+    every = np.arange(3 << 4)
+    for bits, listed in ((ann.cheapest_bits(planes, 5), ann.probe_buckets(planes, 5)), (ann.flipped_codes(planes, 2), ann.flip_buckets(planes, 2))):
+        want = [set(p) for p in listed.func(rows)]
+        held = bits(X)
+        codes = every.reshape(3, 16).T  # an item's buckets: one of each table
+        for u in range(40):
+            assert held.has(np.full(16, u), codes).tolist() == [any(int(b) in want[u] for b in c) for c in codes]
+        assert held.union(0, 3)(codes).tolist() == [any(int(b) in want[0] | want[1] | want[2] for b in c) for c in codes]
+    vecs = _small(spark, 200, 6, 8)
+    plan = executed_plan(ann.ann_topk(vecs, vecs, 5, tables=8, bits=4, seed=3, complete=False))
+    assert len(re.findall(r"^\(\d+\) Generate", plan, re.M)) == 2 and "probes" not in plan  # users by item slice, items by user block
