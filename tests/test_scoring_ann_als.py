@@ -225,3 +225,27 @@ def test_lists_leave_the_task_once_and_nothing_is_broadcast_or_paired(spark):
         assert text.count("Exchange ") == 1 and "Broadcast" not in text and "Window" not in text
     assert scoring.stream_blocks(900_000, 780_000, 12, 100) == (14, 1)
     assert scoring.stream_blocks(256, 23_000_000, 400, 100)[0] <= 4
+
+
+def test_listed_scores_are_checked_where_the_items_are(spark):
+    rs = np.random.RandomState(4)
+    U, V = rs.standard_normal((50, 4)).astype(np.float32), rs.standard_normal((40, 4)).astype(np.float32)
+    S = U.astype(np.float64) @ V.astype(np.float64).T
+    listed = [rs.choice(40, 6, False).tolist() for _ in range(50)]
+    rows = [(u, u % 2 == 0, U[u].tolist(), [*listed[u], 1000], [*(float(S[u, i]) + (0.1 if (u, n) == (7, 2) else 0.0) for n, i in enumerate(listed[u])), 1.0])
+            for u in range(50)]
+    lists = spark.createDataFrame(rows, "user_id long, flag boolean, features array<float>, items array<long>, scores array<double>").repartition(3)
+    items = spark.createDataFrame([(i, V[i].tolist()) for i in range(40)], "id long, features array<float>")
+    for block in (7, 1000):
+        got = scoring.listed_products(lists, items, 1e-6, block).groupBy("user_id", "flag").agg(F.sum("n").alias("n"), F.sum("n_off").alias("off"))
+        assert sorted(tuple(r) for r in got.collect()) == [(u, u % 2 == 0, 6, int(u == 7)) for u in range(50)]  # item 1000 is unknown
+
+
+def test_recall_counts_pairs_and_shuffles_lists_once(spark):
+    exact = spark.createDataFrame([(u, i) for u in range(5) for i in range(4)], "user_id long, item_id long")
+    approx = spark.createDataFrame([(u, i) for u in range(4) for i in range(1, 6)], "user_id long, item_id long")
+    r = ann.recall_at_k(approx, exact)
+    assert _plan_text(r).split("== Physical Plan ==")[1].count("Exchange hashpartitioning") == 1
+    assert tuple(r.first()) == (12 / 20, 5)
+    twice = ann.recall_at_k(approx.unionByName(approx), exact.unionByName(exact))
+    assert tuple(twice.first()) == (48 / 64, 5)  # every pairing of the rows counts, as in a join
