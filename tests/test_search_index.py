@@ -161,6 +161,17 @@ def test_concurrent_sweep_gives_the_same_rows_sooner(spark):
     assert (r["val_rows"], r["cold_rows"], r["users_scored"]) == (120, 60, 60)
 
 
+def test_a_sweep_ships_vectors_to_two_blocks_and_keeps_narrow_lists(spark, monkeypatch):
+    fits, kept = [], []
+    fit, evaluated = als.fit, als.metrics.per_user_metrics
+    monkeypatch.setattr(als, "fit", lambda *a, **b: fits.append(fit(*a, **b)) or fits[-1])
+    monkeypatch.setattr(als.metrics, "per_user_metrics", lambda recs, *a, **b: kept.append(recs.columns) or evaluated(recs, *a, **b))
+    train = spark.createDataFrame([(u, i, 1) for u in range(20) for i in range(12) if (u + i) % 3], "user_id long, track_id long, interactions_count long")
+    row = als.sweep(train, train, [als.ALSParams(rank=2, max_iter=1)], 5).first()
+    assert fits[0].userFactors.rdd.getNumPartitions() == 2 and row["users_scored"] == 20
+    assert kept == [["user_id", "rank", "item_id"]]
+
+
 def test_als_blocks_follow_the_data():
     assert als.block_count(1_000, 8) == 8 and als.block_count(179_000_000, 8) == 45
 
